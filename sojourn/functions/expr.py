@@ -75,15 +75,25 @@ def surrogate_key(prefix: str, natural: Column, suffix: Column | None = None, wi
     return F.concat(*parts)
 
 
-def literal_map(mapping: Mapping[str, str], key: Column) -> Column:
-    """Look a key up in a small fixed dictionary; unknown keys give null."""
-    pairs = [F.lit(part) for item in mapping.items() for part in item]
-    return F.try_element_at(F.create_map(*pairs), key)
+def sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def keyed_hash(seed: int, key: Column) -> Column:
+def literal_map(mapping: Mapping[str, str], key: str) -> Column:
+    """Look a column up in a small fixed dictionary; unknown keys give null."""
+    arms = " ".join(f"WHEN {sql_text(k)} THEN {sql_text(v)}" for k, v in mapping.items())
+    return F.expr(f"CASE {key} {arms} END")
+
+
+def literal_item(values: Sequence[str], number: str) -> Column:
+    """Value at a position of a small fixed list; null past its end."""
+    items = ", ".join(sql_text(v) for v in values)
+    return F.expr(f"get(array({items}), cast({number} AS INT))")
+
+
+def keyed_hash(seed: int, key: str) -> Column:
     """Hex digest that orders keys at random but identically on every run."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
+    return F.expr(f"md5(concat('{seed}:', cast({key} AS STRING)))")
 
 
 def hex_to_long(digest: Column, digits: int) -> Column:
@@ -91,17 +101,16 @@ def hex_to_long(digest: Column, digits: int) -> Column:
     return F.conv(F.substring(digest, 1, digits), 16, 10).cast("bigint")
 
 
-def weighted_bucket(key: Column, seed: int, weights: Mapping[str, float]) -> Column:
+def weighted_bucket(key: str, seed: int, weights: Mapping[str, float]) -> Column:
     """Allocate a key to a label in proportion to the weights, by hash."""
-    draw = hex_to_long(keyed_hash(seed, key), 8)
+    draw = f"cast(conv(substring(md5(concat('{seed}:', cast({key} AS STRING))), 1, 8), 16, 10) AS BIGINT)"
     labels = list(weights)
-    expr: Column | None = None
-    cumulative = 0.0
+    arms, cumulative = "", 0.0
     for label in labels[:-1]:
         cumulative += weights[label]
-        limit = F.lit(bucket_limit(cumulative)).cast("bigint")
-        expr = F.when(draw < limit, label) if expr is None else expr.when(draw < limit, label)
-    return F.lit(labels[-1]) if expr is None else expr.otherwise(labels[-1])
+        arms += f" WHEN {draw} < {bucket_limit(cumulative)} THEN {sql_text(label)}"
+    last = sql_text(labels[-1])
+    return F.expr(f"CASE{arms} ELSE {last} END" if arms else last)
 
 
 def bucket_limit(cumulative: float) -> int:

@@ -44,35 +44,36 @@ def derive_mhspc(diagnosis: DataFrame) -> DataFrame:
     return diagnosis.withColumn("mhspc_flag", mhspc())
 
 
-def build_eligibility(patient: DataFrame, diagnosis: DataFrame, params: Params) -> DataFrame:
-    """One eligibility row per patient with a diagnosis.
+def eligibility_columns(params: Params) -> dict[str, Column]:
+    """Eligibility of one row holding a patient's and its diagnosis's attributes.
 
-    ``patient`` brings ``age_at_index`` and ``contraindication_flag``. The
-    eligibility date is the latest known of diagnosis, metastasis and confirmation.
+    The eligibility date is the latest known of diagnosis, metastasis and confirmation.
     """
-    date = F.greatest(
-        F.col("diagnosis_date"),
-        F.col("metastatic_date"),
-        F.col("hormone_sensitive_confirmation_date"),
-    )
-    possible = days_between(F.lit(params.observation_end_date), F.col("eligibility_date"))
-    eligible = truth(
-        F.col("mhspc_flag")
+    date = F.greatest("diagnosis_date", "metastatic_date", "hormone_sensitive_confirmation_date")
+    possible = days_between(F.lit(params.observation_end_date), date)
+    contraindicated = truth(F.col("contraindication_flag"))
+    eligible = (
+        mhspc()
         & (F.col("age_at_index") >= 18)
-        & ~F.col("synthetic_contraindication_flag")
+        & ~contraindicated
         & (possible >= params.minimum_follow_up_days)
     )
-    facts = diagnosis.select("patient_id", mhspc().alias("mhspc_flag"), date.alias("eligibility_date"))
-    person = patient.select(
-        "patient_id",
-        "age_at_index",
-        truth(F.col("contraindication_flag")).alias("synthetic_contraindication_flag"),
-    )
-    return person.join(facts, "patient_id").select(
-        "patient_id",
-        "mhspc_flag",
-        "eligibility_date",
-        "synthetic_contraindication_flag",
-        eligible.alias("eligible_for_arpi"),
-        F.lit(params.eligibility_rule_version).alias("eligibility_rule_version"),
+    return {
+        "mhspc_flag": mhspc(),
+        "eligibility_date": date,
+        "synthetic_contraindication_flag": contraindicated,
+        "eligible_for_arpi": truth(eligible),
+        "eligibility_rule_version": F.lit(params.eligibility_rule_version),
+    }
+
+
+def build_eligibility(patient: DataFrame, diagnosis: DataFrame, params: Params) -> DataFrame:
+    """One eligibility row per patient with a diagnosis.
+
+    ``patient`` brings ``age_at_index`` and ``contraindication_flag``.
+    """
+    person = patient.select("patient_id", "age_at_index", "contraindication_flag")
+    columns = eligibility_columns(params)
+    return person.join(diagnosis, "patient_id").select(
+        "patient_id", *[column.alias(name) for name, column in columns.items()]
     )

@@ -12,8 +12,6 @@ of all fills one patient holds.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,19 +33,18 @@ def fill_days(fills: DataFrame, params: Params) -> DataFrame:
 
 def treatment_episodes(
     fills: DataFrame, index: DataFrame, params: Params, index_date: str = "index_date",
-    carry: Sequence[str] = (), grace: bool = False,
+    grace: bool = False,
 ) -> DataFrame:
     """Contiguous exposure per patient: a new episode starts past the allowable gap.
 
-    ``index`` has one row per patient; its ``carry`` columns come along
-    unchanged. Coverage runs to the latest supply end seen so far (overlapping
-    fills do not shorten it) and is capped at the end of observation;
-    ``grace`` extends it by the allowable gap.
+    ``index`` has one row per patient. Coverage runs to the latest supply end
+    seen so far (overlapping fills do not shorten it) and is capped at the end
+    of observation; ``grace`` extends it by the allowable gap.
     """
     end = F.lit(params.observation_end_date)
     gap = params.allowable_gap_days
     days = fill_days(fills.filter(F.col("fill_date") < end), params)
-    anchors = index.select("patient_id", F.col(index_date).alias("_index"), *carry)
+    anchors = index.select("patient_id", F.col(index_date).alias("_index"))
     exposed = days.join(anchors, "patient_id").filter(F.col("fill_date") >= F.col("_index"))
 
     # Every window below has the same partitioning and order: one sort serves them all.
@@ -82,7 +79,6 @@ def treatment_episodes(
             "episode_no",
             F.col("_first_drug").alias("drug_name"),
             F.col("_first_provider").alias("provider_id"),
-            *carry,
         )
         .agg(
             F.min("fill_date").alias("episode_start_date"),
@@ -97,41 +93,47 @@ def treatment_episodes(
     )
 
 
-def drug_class(drug: Column) -> Column:
-    return literal_map(DRUG_CLASS, drug)
+def with_drug_class(df: DataFrame) -> DataFrame:
+    return df.withColumn("drug_class", literal_map(DRUG_CLASS, "drug_name"))
 
 
-def regimen_name(drug: Column) -> Column:
+def regimen_name(drug: str = "drug_name") -> Column:
     return F.concat(F.lit("synthetic_"), drug, F.lit("_regimen"))
 
 
-def discontinuation(episodes: DataFrame, params: Params, censor_date: str = "censor_date") -> DataFrame:
-    """Definitive stops: one drug, and the whole allowable gap observed before censoring."""
-    observed = F.date_add("covered_until_date", params.allowable_gap_days) <= F.col(censor_date)
+def with_neighbours(episodes: DataFrame) -> DataFrame:
+    """Add each episode's drug class, the next episode's start and class, and last activity."""
+    in_order = Window.partitionBy("patient_id").orderBy("episode_no")
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return with_drug_class(episodes).withColumns(
+        {
+            "next_episode_date": F.lead("episode_start_date").over(in_order),
+            "next_drug_class": F.lead("drug_class").over(in_order),
+            "last_activity_date": F.max("last_fill_date").over(whole),
+        }
+    )
+
+
+def discontinuation(episodes: DataFrame, params: Params) -> DataFrame:
+    """Definitive stops: one drug, and the whole allowable gap observed before ``censor_date``."""
+    observed = F.date_add("covered_until_date", params.allowable_gap_days) <= F.col("censor_date")
     stop = truth(observed & ~F.col("has_other_drug"))
     return episodes.withColumn("discontinuation_flag", stop).withColumn(
-        "discontinuation_date", F.when(stop, F.col("covered_until_date"))
+        "discontinuation_date", F.when(F.col("discontinuation_flag"), F.col("covered_until_date"))
     )
 
 
 def restart(stopped: DataFrame, params: Params) -> DataFrame:
     """Stops followed by an episode of the same class within observation."""
-    in_order = Window.partitionBy("patient_id").orderBy("episode_no")
-    next_start = F.lead("episode_start_date").over(in_order)
-    next_class = F.lead("drug_class").over(in_order)
     again = truth(
         F.col("discontinuation_flag")
-        & (F.col("_next_class") == F.col("drug_class"))
-        & (F.col("_next_start") <= F.lit(params.observation_end_date))
+        & (F.col("next_drug_class") == F.col("drug_class"))
+        & (F.col("next_episode_date") <= F.lit(params.observation_end_date))
     )
     return (
-        stopped.withColumn("drug_class", drug_class(F.col("drug_name")))
-        .withColumn("_next_start", next_start)
-        .withColumn("_next_class", next_class)
-        .withColumn("restart_flag", again)
-        .withColumn("restart_date", F.when(again, F.col("_next_start")))
+        stopped.withColumn("restart_flag", again)
+        .withColumn("restart_date", F.when(F.col("restart_flag"), F.col("next_episode_date")))
         .withColumn("temporary_gap_flag", F.col("restart_flag"))
-        .drop("_next_start", "_next_class")
     )
 
 
@@ -148,23 +150,54 @@ def refill_calendar(episodes: DataFrame, params: Params) -> DataFrame:
     )
 
 
+def with_course(rows: DataFrame, params: Params) -> DataFrame:
+    """Follow-up, stop and restart of episode rows that also carry ``death_date``."""
+    followed = rows.withColumns(follow_up(F.col("death_date"), F.col("last_activity_date"), params))
+    return restart(discontinuation(followed, params), params)
+
+
 def treatment_history(
     fills: DataFrame, spine: DataFrame, params: Params, index_date: str = "eligibility_date"
 ) -> DataFrame:
-    """Episodes with follow-up, stops and restarts, all in one distribution by patient.
+    """All episodes with follow-up, stops and restarts, in one distribution by patient.
 
     ``spine`` has one row per patient with the index date, death_date and
-    adverse_event_date. Every step after the first regroups by patient only,
-    so it reuses that distribution.
+    adverse_event_date.
     """
-    episodes = treatment_episodes(
-        fills, spine, params, index_date, carry=("death_date", "adverse_event_date")
-    )
-    everything = Window.partitionBy("patient_id")
-    observed = episodes.withColumn(
-        "last_activity_date", F.max("last_fill_date").over(everything)
-    ).withColumns(follow_up(F.col("death_date"), F.col("last_activity_date"), params))
-    return restart(discontinuation(observed, params), params)
+    episodes = with_neighbours(treatment_episodes(fills, spine, params, index_date))
+    dates = spine.select("patient_id", "death_date", "adverse_event_date")
+    return with_course(episodes.join(dates, "patient_id"), params)
+
+
+def treatment_columns(params: Params) -> dict[str, Column]:
+    """Treatment attributes of one episode row with its course and adverse_event_date."""
+    switch, stop = F.col("has_other_drug"), F.col("discontinuation_flag")
+    stopped_on, covered = F.col("discontinuation_date"), F.col("covered_until_date")
+    reason = F.when(F.col("adverse_event_date") <= stopped_on, "adverse_event").otherwise("other")
+    return {
+        "drug_name": F.col("drug_name"),
+        "drug_class": F.col("drug_class"),
+        "regimen_name": regimen_name(),
+        "treatment_line": F.col("episode_no"),
+        "treatment_start_date": F.col("episode_start_date"),
+        "treatment_end_date": F.when(stop & ~F.col("restart_flag"), stopped_on).otherwise(covered),
+        "days_supply": F.lit(params.days_supply),
+        "refill_date": F.col("episode_start_date"),
+        "covered_until_date": covered,
+        "prescribing_provider_id": F.col("provider_id"),
+        "discontinuation_flag": stop,
+        "discontinuation_date": stopped_on,
+        "discontinuation_reason": F.when(stop, reason),
+        "switch_flag": switch,
+        "switch_date": F.col("other_drug_date"),
+        "previous_drug": F.when(switch, F.col("drug_name")),
+        "switched_to_drug": F.col("other_drug"),
+        "restart_flag": F.col("restart_flag"),
+        "restart_date": F.col("restart_date"),
+        "temporary_gap_flag": F.col("temporary_gap_flag"),
+        "max_refill_gap_days": F.col("max_refill_gap_days"),
+        "synthetic_event_flag": F.lit(True),
+    }
 
 
 def treated_patients(history: DataFrame) -> DataFrame:
@@ -180,35 +213,10 @@ def treated_patients(history: DataFrame) -> DataFrame:
 
 def build_treatments(history: DataFrame, params: Params) -> DataFrame:
     """Treatment rows, one per episode, without the prescriber's attributes."""
-    switch = F.col("has_other_drug")
-    stopped_on = F.col("discontinuation_date")
-    final_stop = F.col("discontinuation_flag") & ~F.col("restart_flag")
-    reason = F.when(F.col("adverse_event_date") <= stopped_on, "adverse_event").otherwise("other")
+    key = surrogate_key("TR", F.col("patient_id"), F.col("episode_no") - 1)
+    columns = treatment_columns(params)
     return history.select(
-        surrogate_key("TR", F.col("patient_id"), F.col("episode_no") - 1).alias("treatment_id"),
-        "patient_id",
-        "drug_name",
-        "drug_class",
-        regimen_name(F.col("drug_name")).alias("regimen_name"),
-        F.col("episode_no").alias("treatment_line"),
-        F.col("episode_start_date").alias("treatment_start_date"),
-        F.when(final_stop, stopped_on).otherwise(F.col("covered_until_date")).alias("treatment_end_date"),
-        F.lit(params.days_supply).alias("days_supply"),
-        F.col("episode_start_date").alias("refill_date"),
-        "covered_until_date",
-        F.col("provider_id").alias("prescribing_provider_id"),
-        "discontinuation_flag",
-        "discontinuation_date",
-        F.when(F.col("discontinuation_flag"), reason).alias("discontinuation_reason"),
-        switch.alias("switch_flag"),
-        F.col("other_drug_date").alias("switch_date"),
-        F.when(switch, F.col("drug_name")).alias("previous_drug"),
-        F.col("other_drug").alias("switched_to_drug"),
-        "restart_flag",
-        "restart_date",
-        "temporary_gap_flag",
-        "max_refill_gap_days",
-        F.lit(True).alias("synthetic_event_flag"),
+        key.alias("treatment_id"), "patient_id", *[c.alias(name) for name, c in columns.items()]
     )
 
 

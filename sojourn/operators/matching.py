@@ -32,7 +32,7 @@ def match_with_fallback(
         .select(coarse, "_cell", "_position", candidate_key)
     )
     size = F.coalesce(F.col("_n_fine"), F.col("_n_coarse"))
-    draw = hex_to_long(keyed_hash(seed, F.col(subject_key)), 15)
+    draw = hex_to_long(keyed_hash(seed, subject_key), 15)
     drawn = (
         subjects.select(subject_key, coarse, fine)
         .join(sizes_fine, [coarse, fine], "left")

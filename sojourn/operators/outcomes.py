@@ -60,6 +60,45 @@ def outcome_status(treated: Column) -> Column:
     )
 
 
+OUTCOME_COLUMNS = (
+    "progression_event",
+    "progression_date",
+    "castration_resistant_transition",
+    "castration_resistant_date",
+    "hospitalisation_flag",
+    "first_hospitalisation_date",
+    "adverse_event_flag",
+    "adverse_event_type",
+    "death_flag",
+    "death_date",
+    "lost_to_follow_up_flag",
+    "last_observed_date",
+    "censor_date",
+    "outcome_status",
+)
+
+
+def with_outcome(rows: DataFrame, params: Params) -> DataFrame:
+    """Outcome columns of rows holding mhspc_flag, clinical dates, last activity and first-treatment flags."""
+    progressed, resistant = F.col("progression_date"), F.col("castration_resistant_date")
+    transition = truth(F.col("mhspc_flag") & (resistant >= progressed))
+    adverse = F.col("adverse_event_date").isNotNull()
+    followed = rows.withColumns(
+        {
+            "progression_event": progressed.isNotNull(),
+            "castration_resistant_transition": transition,
+            "castration_resistant_date": F.when(transition, resistant),
+            "hospitalisation_flag": F.col("first_hospitalisation_date").isNotNull(),
+            "adverse_event_flag": adverse,
+            "adverse_event_type": F.when(adverse, F.col("adverse_event_type")),
+            "death_flag": F.col("death_date").isNotNull(),
+            **follow_up(F.col("death_date"), F.col("last_activity_date"), params),
+        }
+    )
+    treated = F.col("last_activity_date").isNotNull()
+    return followed.withColumn("outcome_status", outcome_status(treated))
+
+
 def derive_outcome(spine: DataFrame, treated: DataFrame, params: Params) -> DataFrame:
     """One outcome row per patient.
 
@@ -67,40 +106,5 @@ def derive_outcome(spine: DataFrame, treated: DataFrame, params: Params) -> Data
     adverse_event_type; ``treated`` has one row per treated patient with
     last_activity_date and the flags of the first treatment.
     """
-    resistant = (
-        F.col("mhspc_flag")
-        & F.col("progression_date").isNotNull()
-        & (F.col("castration_resistant_date") >= F.col("progression_date"))
-    )
-    joined = (
-        spine.join(treated, "patient_id", "left")
-        .withColumns(follow_up(F.col("death_date"), F.col("last_activity_date"), params))
-        .withColumns(
-            {
-                "progression_event": F.col("progression_date").isNotNull(),
-                "castration_resistant_transition": truth(resistant),
-                "hospitalisation_flag": F.col("first_hospitalisation_date").isNotNull(),
-                "adverse_event_flag": F.col("adverse_event_date").isNotNull(),
-                "death_flag": F.col("death_date").isNotNull(),
-            }
-        )
-    )
-    return joined.select(
-        "patient_id",
-        "progression_event",
-        "progression_date",
-        "castration_resistant_transition",
-        F.when(F.col("castration_resistant_transition"), F.col("castration_resistant_date")).alias(
-            "castration_resistant_date"
-        ),
-        "hospitalisation_flag",
-        "first_hospitalisation_date",
-        "adverse_event_flag",
-        F.when(F.col("adverse_event_flag"), F.col("adverse_event_type")).alias("adverse_event_type"),
-        "death_flag",
-        "death_date",
-        "lost_to_follow_up_flag",
-        "last_observed_date",
-        "censor_date",
-        outcome_status(F.col("last_activity_date").isNotNull()).alias("outcome_status"),
-    )
+    rows = with_outcome(spine.join(treated, "patient_id", "left"), params)
+    return rows.select("patient_id", *OUTCOME_COLUMNS)

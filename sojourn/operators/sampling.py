@@ -20,7 +20,7 @@ BUCKETS = 16**BUCKET_DIGITS
 
 
 def _hashed(df: DataFrame, key: str, seed: int) -> DataFrame:
-    return df.withColumn("_hash", keyed_hash(seed, F.col(key))).withColumn(
+    return df.withColumn("_hash", keyed_hash(seed, key)).withColumn(
         "_bucket", hex_to_long(F.col("_hash"), BUCKET_DIGITS)
     )
 
@@ -76,7 +76,7 @@ def oversample_exact(df: DataFrame, key: str, size: int, seed: int) -> DataFrame
     spark = df.sparkSession
     indexed = dense_index(df, key, seed, name="_position")
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    pick = F.try_mod(hex_to_long(keyed_hash(seed, F.col("draw")), 15), total)
+    pick = F.try_mod(hex_to_long(keyed_hash(seed, "draw"), 15), total)
     draws = spark.range(size).withColumnRenamed("id", "draw").withColumn("_position", pick)
     return draws.join(indexed, "_position").drop("_position")
 

@@ -110,9 +110,9 @@ FIRST_TREATMENT = {
 
 
 def first_treatment(treatment: DataFrame) -> DataFrame:
-    """The whole first treatment row per patient, by start date and then id."""
+    """The whole first treatment row per patient, by start date and then line."""
     row = first_record(
-        treatment, "patient_id", ("treatment_start_date", "treatment_id"), tuple(FIRST_TREATMENT)
+        treatment, "patient_id", ("treatment_start_date", "treatment_line"), tuple(FIRST_TREATMENT)
     )
     return row.select("patient_id", *[F.col(c).alias(name) for c, name in FIRST_TREATMENT.items()])
 
@@ -160,54 +160,74 @@ def elapsed_columns() -> dict[str, Column]:
     }
 
 
+def finish_journey(rows: DataFrame, params: Params) -> DataFrame:
+    """Derived journey columns of rows that hold every input of one patient."""
+    days_on = F.col("days_to_discontinuation")
+    return (
+        rows.withColumns(
+            {
+                "referral_completed_flag": F.col("first_oncology_date").isNotNull(),
+                "referral_delay_days": days_between("first_oncology_date", "first_urology_date"),
+                **initiation_columns(params),
+                **elapsed_columns(),
+                "final_outcome_status": F.col("outcome_status"),
+                "synthetic_data_flag": F.lit(True),
+            }
+        )
+        .withColumns(
+            {
+                **persistence_columns(params),
+                "discontinued_within_12m": truth(F.col("discontinuation_flag") & (days_on <= 365)),
+            }
+        )
+        .select(*JOURNEY_COLUMNS)
+    )
+
+
+PERSON_COLUMNS = (
+    "patient_id", "age_at_index", "comorbidity_score", "frailty_proxy", "region",
+    "insurance_type", "synthetic_scenario_version",
+)
+DISEASE_COLUMNS = (
+    "patient_id", "prostate_stage", "metastatic_flag", "hormone_sensitive_flag",
+    "castration_resistant_flag",
+)
+
+
+def initial_provider(assignment: DataFrame) -> DataFrame:
+    return assignment.select(
+        "patient_id",
+        F.col("care_setting").alias("initial_care_setting"),
+        F.col("provider_specialty").alias("initial_provider_specialty"),
+        "multidisciplinary_team_flag",
+    )
+
+
 def build_patient_journey(
     patient: DataFrame, diagnosis: DataFrame, assignment: DataFrame, eligibility: DataFrame,
     encounter: DataFrame, treatment: DataFrame, outcome: DataFrame, params: Params,
 ) -> DataFrame:
-    """One row per patient with a diagnosis and an eligibility record, 65 columns.
+    """The journey from finished tables: one row per patient with a diagnosis and eligibility.
 
     Every input is joined on patient_id after reduction to one row per patient,
     so the joins share one distribution.
     """
-    person = patient.select(
-        "patient_id", "age_at_index", "comorbidity_score", "frailty_proxy", "region",
-        "insurance_type", "synthetic_scenario_version",
-    )
-    disease = diagnosis.select(
-        "patient_id", "prostate_stage", "metastatic_flag", "hormone_sensitive_flag",
-        "castration_resistant_flag",
-    )
-    provider = assignment.select(
-        "patient_id",
-        F.col("care_setting").alias("initial_care_setting"),
-        F.col("provider_specialty").alias("initial_provider_specialty"),
-        "multidisciplinary_team_flag",
-    )
     visits = first_events(
         encounter,
         {"urology_follow_up": "first_urology_date", "oncology_consultation": "first_oncology_date"},
         kind="encounter_type",
         date="encounter_date",
     )
-    joined = (
-        person.join(disease, "patient_id")
+    rows = (
+        patient.select(*PERSON_COLUMNS)
+        .join(diagnosis.select(*DISEASE_COLUMNS), "patient_id")
         .join(eligibility.drop("synthetic_contraindication_flag"), "patient_id")
         .join(visits, "patient_id", "left")
         .join(first_treatment(treatment), "patient_id", "left")
-        .join(outcome.withColumnRenamed("outcome_status", "final_outcome_status"), "patient_id", "left")
-        .join(provider, "patient_id", "left")
-    )
-    days_on = F.col("days_to_discontinuation")
-    return (
-        joined.withColumn("referral_completed_flag", F.col("first_oncology_date").isNotNull())
-        .withColumn("referral_delay_days", days_between("first_oncology_date", "first_urology_date"))
-        .withColumns(initiation_columns(params))
-        .withColumns(elapsed_columns())
-        .withColumns(persistence_columns(params))
-        .withColumn("discontinued_within_12m", truth(F.col("discontinuation_flag") & (days_on <= 365)))
-        .withColumn("synthetic_data_flag", F.lit(True))
-        .select(*JOURNEY_COLUMNS)
+        .join(outcome, "patient_id", "left")
+        .join(initial_provider(assignment), "patient_id", "left")
     )
+    return finish_journey(rows, params)
 
 
 def model_ready_features(journey: DataFrame, as_of: str | None = None) -> DataFrame:

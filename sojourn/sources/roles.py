@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sojourn.functions.expr import literal_map, weighted_bucket
+from sojourn.functions.expr import literal_item, literal_map, weighted_bucket
 from sojourn.operators.cohort import normalize_patients
 from sojourn.operators.eligibility import flag_stage
 from sojourn.operators.matching import match_with_fallback
@@ -73,13 +73,24 @@ SETTING_SEED, SPECIALTY_SEED = 7, 11
 # --------------------------------------------------------------- end of fixed
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+#: Declared schemas spare a footer-reading job per table.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
 
 
-def _pick(values: tuple[str, ...], number: Column) -> Column:
-    """Value at ``number``; null past the end of the list."""
-    return F.get(F.array(*[F.lit(v) for v in values]), number.cast("int"))
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,14 +117,14 @@ def raw_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer.join(place, customer["c_nationkey"] == place["nation"], "left").select(
         key.alias("Id"),
         F.when(balance < -990, "unknown").otherwise(born.cast("string")).alias("BIRTHDATE"),
-        literal_map(GENDER_OF_SEGMENT, F.col("c_mktsegment")).alias("GENDER"),
+        literal_map(GENDER_OF_SEGMENT, "c_mktsegment").alias("GENDER"),
         F.col("c_mktsegment").alias("RACE"),
         F.col("region").alias("STATE"),
         zip_code.alias("ZIP"),
-        _pick(INSURANCE, F.col("c_nationkey") % 5).alias("insurance_type"),
+        literal_item(INSURANCE, "c_nationkey % 5").alias("insurance_type"),
         burden.cast("int").alias("comorbidity_score"),
         (F.floor((balance + 1000) / 11) / 1000.0).alias("frailty_proxy"),
-        _pick(SOCIOECONOMIC, key % 3).alias("socioeconomic_proxy"),
+        literal_item(SOCIOECONOMIC, "c_custkey % 3").alias("socioeconomic_proxy"),
         (balance < -500).alias("contraindication_flag"),
         F.col("c_nationkey").alias("nation"),
     )
@@ -132,18 +143,18 @@ def index_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, price, priority = F.col("o_orderkey"), F.col("o_totalprice"), F.col("o_orderpriority")
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
     record = index_records(spark, sf_dir).select(
         F.concat(F.lit("DX-"), key.cast("string")).alias("diagnosis_id"),
         F.col("o_custkey").alias("patient_id"),
         F.col("o_orderdate").alias("diagnosis_date"),
         F.lit(True).alias("prostate_cancer_flag"),
-        literal_map(STAGE_OF_PRIORITY, priority).alias("prostate_stage"),
+        literal_map(STAGE_OF_PRIORITY, "o_orderpriority").alias("prostate_stage"),
         F.date_add("o_orderdate", (key % 61).cast("int")).alias("metastatic_date"),
-        _pick(METASTATIC_SITES, key % 5).alias("_site"),
+        literal_item(METASTATIC_SITES, "o_orderkey % 5").alias("_site"),
         F.col("o_orderstatus").isin("F", "P").alias("hormone_sensitive_flag"),
         (price > 450000.5).alias("castration_resistant_flag"),
-        literal_map(RISK_OF_PRIORITY, priority).alias("risk_group"),
+        literal_map(RISK_OF_PRIORITY, "o_orderpriority").alias("risk_group"),
         (F.floor(price / 100) / 10.0).alias("psa_value"),
         F.when(key % 20 != 0, 6 + key % 5).alias("gleason_score"),
     )
@@ -177,11 +188,11 @@ def providers(spark: SparkSession, sf_dir: str, params: Params = BOUND) -> DataF
     """Suppliers as the provider network, plus the nation used as the coarse match cell."""
     supplier, place = read(spark, sf_dir, "supplier"), places(spark, sf_dir)
     key = F.col("s_suppkey")
-    setting = weighted_bucket(key, SETTING_SEED, params.care_setting_weights)
+    setting = weighted_bucket("s_suppkey", SETTING_SEED, params.care_setting_weights)
     return supplier.join(place, supplier["s_nationkey"] == place["nation"], "left").select(
         key.alias("provider_id"),
         F.concat(F.lit("ORG-"), organization_number(key).cast("string")).alias("organization_id"),
-        weighted_bucket(key, SPECIALTY_SEED, params.specialty_weights).alias("provider_specialty"),
+        weighted_bucket("s_suppkey", SPECIALTY_SEED, params.specialty_weights).alias("provider_specialty"),
         setting.alias("care_setting"),
         academic_flag(setting).alias("academic_flag"),
         "region",
@@ -198,7 +209,7 @@ def wanted_settings(spark: SparkSession, sf_dir: str, params: Params = BOUND) ->
     return read(spark, sf_dir, "customer").select(
         key.alias("patient_id"),
         F.col("c_nationkey").alias("nation"),
-        weighted_bucket(key, SETTING_SEED, params.care_setting_weights).alias("care_setting"),
+        weighted_bucket("c_custkey", SETTING_SEED, params.care_setting_weights).alias("care_setting"),
     )
 
 
@@ -219,7 +230,7 @@ def assignments(spark: SparkSession, sf_dir: str, params: Params = BOUND) -> Dat
 def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").filter(F.col("event_type").isin(*VISIT_OF_EVENT)).select(
         F.col("user_id").alias("patient_id"),
-        literal_map(VISIT_OF_EVENT, F.col("event_type")).alias("event_type"),
+        literal_map(VISIT_OF_EVENT, "event_type").alias("event_type"),
         F.col("ts").cast("date").alias("event_date"),
     )
 
@@ -241,7 +252,7 @@ def fills(spark: SparkSession, sf_dir: str, params: Params = BOUND) -> DataFrame
         "patient_id",
         F.col("l_shipdate").cast("date").alias("fill_date"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("fill_seq"),
-        literal_map(DRUG_OF_TYPE, F.col("p_type")).alias("drug_name"),
+        literal_map(DRUG_OF_TYPE, "p_type").alias("drug_name"),
         F.col("l_suppkey").alias("provider_id"),
         F.lit(params.days_supply).alias("days_supply"),
     )
@@ -273,7 +284,7 @@ def clinical_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "patient_id",
         F.explode("kinds").alias("event_type"),
         F.col("l_shipdate").cast("date").alias("event_date"),
-        _pick(ADVERSE_TYPES, F.col("l_linenumber") % 4).alias("event_detail"),
+        literal_item(ADVERSE_TYPES, "l_linenumber % 4").alias("event_detail"),
     )
 
 
