@@ -47,49 +47,54 @@ def treatment_episodes(
     anchors = index.select("patient_id", F.col(index_date).alias("_index"))
     exposed = days.join(anchors, "patient_id").filter(F.col("fill_date") >= F.col("_index"))
 
-    # Every window below has the same partitioning and order: one sort serves them all.
+    # Both windows share one partitioning and order, so one sort serves them.
     in_order = Window.partitionBy("patient_id").orderBy("fill_date", "first_seq", "drug_name")
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    def at_opening(value: Column) -> Column:
-        return F.last(F.when(F.col("_opens"), value), ignorenulls=True).over(so_far)
+    def at_opening(column: str) -> Column:
+        return F.last(F.when(F.col("_opens"), F.col(column)), ignorenulls=True).over(so_far)
 
     past_gap = F.col("fill_date") > F.date_add("_covered_before", gap)
-    since_cover = days_between("fill_date", "_covered_before")
     marked = (
         exposed.withColumn("_covered_before", F.max("covered_date").over(earlier))
         .withColumn("_opens", F.col("_covered_before").isNull() | past_gap)
-        .withColumn("episode_no", F.sum(F.col("_opens").cast("int")).over(so_far).cast("int"))
-        .withColumn("_first_drug", at_opening(F.col("drug_name")))
-        .withColumn("_first_provider", at_opening(F.col("provider_id")))
-        .withColumn("_other", (F.col("drug_name") != F.col("_first_drug")).cast("int"))
-        .withColumn("_others", F.sum("_other").over(so_far))
-        .withColumn("_others_before", at_opening(F.col("_others")))
+        .withColumns(
+            {
+                "episode_no": F.sum(F.col("_opens").cast("int")).over(so_far),
+                "_drug": at_opening("drug_name"),
+                "_provider": at_opening("provider_id"),
+            }
+        )
     )
-    switches = (F.col("_other") == 1) & (F.col("_others") - F.col("_others_before") == 1)
+    other = F.struct("fill_date", "first_seq", "drug_name")
+    since_cover = days_between("fill_date", "_covered_before")
     # The gap before an opening fill lies between episodes, not inside one.
     inner_gap = F.when(~F.col("_opens") & (since_cover > 0), since_cover)
     covered = F.max("covered_date")
     if grace:
         covered = F.date_add(covered, gap)
-    return (
-        marked.groupBy(
-            "patient_id",
-            "episode_no",
-            F.col("_first_drug").alias("drug_name"),
-            F.col("_first_provider").alias("provider_id"),
-        )
-        .agg(
-            F.min("fill_date").alias("episode_start_date"),
-            F.max("fill_date").alias("last_fill_date"),
-            F.least(covered, end).alias("covered_until_date"),
-            F.sum("n_fills").alias("n_fills"),
-            F.coalesce(F.max(inner_gap), F.lit(0)).cast("bigint").alias("max_refill_gap_days"),
-            F.min(F.when(switches, F.col("fill_date"))).alias("other_drug_date"),
-            F.max(F.when(switches, F.col("drug_name"))).alias("other_drug"),
-        )
-        .withColumn("has_other_drug", F.col("other_drug").isNotNull())
+    grouped = marked.groupBy("patient_id", "episode_no", "_drug", "_provider").agg(
+        F.min("fill_date").alias("episode_start_date"),
+        F.max("fill_date").alias("last_fill_date"),
+        F.least(covered, end).alias("covered_until_date"),
+        F.sum("n_fills").alias("n_fills"),
+        F.coalesce(F.max(inner_gap), F.lit(0)).cast("bigint").alias("max_refill_gap_days"),
+        F.min(F.when(F.col("drug_name") != F.col("_drug"), other)).alias("_other"),
+    )
+    return grouped.select(
+        "patient_id",
+        F.col("episode_no").cast("int").alias("episode_no"),
+        F.col("_drug").alias("drug_name"),
+        F.col("_provider").alias("provider_id"),
+        "episode_start_date",
+        "last_fill_date",
+        "covered_until_date",
+        "n_fills",
+        "max_refill_gap_days",
+        F.col("_other.fill_date").alias("other_drug_date"),
+        F.col("_other.drug_name").alias("other_drug"),
+        F.col("_other").isNotNull().alias("has_other_drug"),
     )
 
 

@@ -1,4 +1,11 @@
-"""Lines of therapy: runs of one drug over the full order of a patient's fills."""
+"""Lines of therapy: runs of one drug over the full order of a patient's fills.
+
+A run needs every fill in order, so fills cannot be folded to days first. An
+ordinary patient is handled in one window. A patient with very many fills is
+cut into calendar days: runs are found inside each day, and runs that meet at
+a day border are joined by a window over day summaries alone, so no task ever
+holds all fills of such a patient.
+"""
 
 from __future__ import annotations
 
@@ -8,131 +15,138 @@ from pyspark.sql import functions as F
 from sojourn.functions.expr import days_between, truth
 from sojourn.params import Params
 
-#: Fills a patient may hold before its order is cut into calendar days.
+#: Fills above which a patient is cut into days.
 SPLIT_ABOVE = 1_000_000
 
+RUN_COLUMNS = (
+    "patient_id", "line_no", "drug_name", "line_start_date", "last_fill_date",
+    "covered_date", "n_fills", "next_drug", "next_start_date",
+)
 
-def _sliced(fills: DataFrame, split_above: int) -> DataFrame:
-    """Add ``slice``: constant for an ordinary patient, the fill day for a very large one.
 
-    Slices follow the fill order, so each is a contiguous run of it. There are
-    at most (all fills / split_above) large patients, which bounds the broadcast.
-    """
-    large = (
-        fills.groupBy("patient_id")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > split_above)
-        .select("patient_id", F.lit(True).alias("_large"))
-    )
-    day = F.datediff(F.col("fill_date"), F.lit("1970-01-01").cast("date"))
+def _runs(rows: DataFrame, group: list[str]) -> DataFrame:
+    """Runs of one drug within a group, numbered from 1, with the run that follows."""
+    in_order = Window.partitionBy(*group).orderBy("fill_date", "fill_seq", "drug_name")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.lag("drug_name").over(in_order)
+    by_run = Window.partitionBy(*group).orderBy("line_no")
     return (
-        fills.join(F.broadcast(large), "patient_id", "left")
-        .withColumn("slice", F.when(F.col("_large"), day).otherwise(F.lit(0)))
-        .drop("_large")
-    )
-
-
-def lines_of_therapy(
-    fills: DataFrame, index: DataFrame, params: Params, index_date: str = "index_date",
-    split_above: int = SPLIT_ABOVE,
-) -> DataFrame:
-    """One row per line: drug, span, fills, and the switch to the next line if there is one.
-
-    A line ends where the next fill is of another drug. It is a switch when the
-    next line starts within the switch window after coverage.
-
-    Runs are found inside slices of a patient's fill order, then runs that
-    meet across a slice border are joined by a second window over slice
-    summaries alone, so no task has to hold a very large patient.
-    """
-    supply = F.coalesce(F.col("days_supply"), F.lit(params.days_supply)).cast("int")
-    end = F.lit(params.observation_end_date)
-    anchors = index.select("patient_id", F.col(index_date).alias("_index"))
-    rows = _sliced(
-        fills.filter(F.col("fill_date") < end).select(
-            "patient_id",
-            "fill_date",
-            "fill_seq",
-            "drug_name",
-            F.date_add("fill_date", supply).alias("covered_date"),
-        ),
-        split_above,
-    )
-
-    in_slice = Window.partitionBy("patient_id", "slice").orderBy("fill_date", "fill_seq", "drug_name")
-    so_far = in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = F.lag("drug_name").over(in_slice)
-    runs = (
-        rows.join(anchors, "patient_id")
-        .filter(F.col("fill_date") >= F.col("_index"))
-        .withColumn("_new", (before.isNull() | (before != F.col("drug_name"))).cast("bigint"))
-        .withColumn("_run", F.sum("_new").over(so_far))
-        .groupBy("patient_id", "slice", "_run", "drug_name")
+        rows.withColumn("_new", (before.isNull() | (before != F.col("drug_name"))).cast("bigint"))
+        .withColumn("line_no", F.sum("_new").over(so_far))
+        .groupBy(*group, "line_no", "drug_name")
         .agg(
             F.min("fill_date").alias("line_start_date"),
             F.max("fill_date").alias("last_fill_date"),
-            F.max("covered_date").alias("covered_until_date"),
+            F.max("covered_date").alias("covered_date"),
             F.count(F.lit(1)).alias("n_fills"),
         )
+        .withColumns(
+            {
+                "next_drug": F.lead("drug_name").over(by_run),
+                "next_start_date": F.lead("line_start_date").over(by_run),
+            }
+        )
     )
-    by_run = Window.partitionBy("patient_id", "slice").orderBy("_run")
-    runs = runs.withColumn("_next_drug", F.lead("drug_name").over(by_run)).withColumn(
-        "_next_start", F.lead("line_start_date").over(by_run)
-    )
 
-    by_slice = Window.partitionBy("patient_id").orderBy("slice")
-    prior = by_slice.rowsBetween(Window.unboundedPreceding, -1)
-    ends_with = F.max(F.when(F.col("_next_drug").isNull(), F.col("drug_name")))
-    starts_with = F.max(F.when(F.col("_run") == 1, F.col("drug_name")))
+
+def _joined_runs(rows: DataFrame) -> DataFrame:
+    """Runs of very large patients: per day first, then joined where days meet."""
+    daily = _runs(rows.withColumn("day", F.col("fill_date")), ["patient_id", "day"])
+    by_day = Window.partitionBy("patient_id").orderBy("day")
+    prior = by_day.rowsBetween(Window.unboundedPreceding, -1)
+    meets = truth(F.lag("_last").over(by_day) == F.col("_first")).cast("bigint")
+    closed = F.coalesce(F.sum(F.col("_runs") - F.col("_meets")).over(prior), F.lit(0))
+    # A day whose first run continues the day before shares that run's number.
     borders = (
-        runs.groupBy("patient_id", "slice")
+        daily.groupBy("patient_id", "day")
         .agg(
-            F.max("_run").alias("_runs"),
-            starts_with.alias("_first"),
-            ends_with.alias("_last"),
-            F.min("line_start_date").alias("_start"),
+            F.max("line_no").alias("_runs"),
+            F.max(F.when(F.col("line_no") == 1, F.col("drug_name"))).alias("_first"),
+            F.max(F.when(F.col("next_drug").isNull(), F.col("drug_name"))).alias("_last"),
         )
-        .withColumn("_joined", truth(F.lag("_last").over(by_slice) == F.col("_first")).cast("bigint"))
-        .withColumn("_border_drug", F.lead("_first").over(by_slice))
-        .withColumn("_border_start", F.lead("_start").over(by_slice))
-        .withColumn(
-            "_offset",
-            F.coalesce(F.sum(F.col("_runs") - F.col("_joined")).over(prior), F.lit(0))
-            - F.col("_joined"),
+        .withColumn("_meets", meets)
+        .select(
+            "patient_id",
+            "day",
+            (closed - F.col("_meets")).alias("_offset"),
+            F.lead("_first").over(by_day).alias("_border_drug"),
+            F.lead("day").over(by_day).alias("_border_date"),
         )
-        .select("patient_id", "slice", "_offset", "_border_drug", "_border_start")
     )
-    next_drug = F.coalesce(F.col("_next_drug"), F.col("_border_drug"))
-    next_start = F.coalesce(F.col("_next_start"), F.col("_border_start"))
+    next_drug = F.coalesce("next_drug", "_border_drug")
+    next_start = F.coalesce("next_start_date", "_border_date")
     goes_on = truth(next_drug == F.col("drug_name"))
-    lines = (
-        runs.join(borders, ["patient_id", "slice"])
-        .withColumn("line_no", F.col("_offset") + F.col("_run"))
-        .withColumn("switched_to_drug", F.when(~goes_on, next_drug))
+    return (
+        daily.join(borders, ["patient_id", "day"])
+        .withColumn("line_no", F.col("_offset") + F.col("line_no"))
         .withColumn("next_start_date", F.when(~goes_on, next_start))
+        .withColumn("next_drug", F.when(~goes_on, next_drug))
         .groupBy("patient_id", "line_no", "drug_name")
         .agg(
             F.min("line_start_date").alias("line_start_date"),
             F.max("last_fill_date").alias("last_fill_date"),
-            F.least(F.max("covered_until_date"), end).alias("covered_until_date"),
+            F.max("covered_date").alias("covered_date"),
             F.sum("n_fills").alias("n_fills"),
-            F.max("switched_to_drug").alias("_to"),
-            F.max("next_start_date").alias("_at"),
+            F.max("next_drug").alias("next_drug"),
+            F.max("next_start_date").alias("next_start_date"),
         )
     )
-    in_time = F.col("_at") <= F.date_add("covered_until_date", params.switch_window_days)
-    switch = truth(in_time)
-    return lines.select(
-        "patient_id",
-        "line_no",
-        "drug_name",
-        "line_start_date",
-        "last_fill_date",
-        "covered_until_date",
-        "n_fills",
-        switch.alias("switch_flag"),
-        F.when(switch, F.col("_at")).alias("switch_date"),
-        F.when(switch, F.col("drug_name")).alias("previous_drug"),
-        F.when(switch, F.col("_to")).alias("switched_to_drug"),
-        F.when(switch, days_between("_at", "line_start_date")).alias("days_to_switch"),
+
+
+def lines_of_therapy(
+    fills: DataFrame, index: DataFrame, params: Params, index_date: str = "index_date",
+    split_above: int = SPLIT_ABOVE,
+) -> DataFrame:
+    """One row per line: drug, span, fills, and the switch to the next line if there is one.
+
+    A line ends where the next fill is of another drug. It is a switch when the
+    next line starts within the switch window after coverage. At most
+    (all fills / split_above) patients are large, which bounds what is
+    broadcast; without any, that branch is empty and costs nothing.
+    """
+    end = F.lit(params.observation_end_date)
+    supply = F.coalesce(F.col("days_supply"), F.lit(params.days_supply)).cast("int")
+    within = fills.filter(F.col("fill_date") < end)
+    rows = within.select(
+        "patient_id", "fill_date", "fill_seq", "drug_name",
+        F.date_add("fill_date", supply).alias("covered_date"),
+    )
+    anchors = index.select("patient_id", F.col(index_date).alias("_index"))
+    large = (
+        within.groupBy("patient_id")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > split_above)
+        .select("patient_id")
+    )
+    on_or_after = F.col("fill_date") >= F.col("_index")
+    ordinary = (
+        rows.join(F.broadcast(large), "patient_id", "left_anti")
+        .join(anchors, "patient_id")
+        .filter(on_or_after)
+    )
+    split = rows.join(F.broadcast(anchors.join(large, "patient_id")), "patient_id").filter(on_or_after)
+    runs = _runs(ordinary, ["patient_id"]).select(*RUN_COLUMNS).unionByName(
+        _joined_runs(split).select(*RUN_COLUMNS)
+    )
+
+    covered_until = F.least(F.col("covered_date"), end)
+    in_time = F.col("next_start_date") <= F.date_add("covered_until_date", params.switch_window_days)
+    switch = F.col("switch_flag")
+    return (
+        runs.withColumn("covered_until_date", covered_until)
+        .withColumn("switch_flag", truth(in_time))
+        .select(
+            "patient_id",
+            "line_no",
+            "drug_name",
+            "line_start_date",
+            "last_fill_date",
+            "covered_until_date",
+            "n_fills",
+            "switch_flag",
+            F.when(switch, F.col("next_start_date")).alias("switch_date"),
+            F.when(switch, F.col("drug_name")).alias("previous_drug"),
+            F.when(switch, F.col("next_drug")).alias("switched_to_drug"),
+            F.when(switch, days_between("next_start_date", "line_start_date")).alias("days_to_switch"),
+        )
     )
