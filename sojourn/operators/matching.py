@@ -2,48 +2,71 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sojourn.functions.expr import hex_to_long, keyed_hash
 from sojourn.operators.sampling import dense_index
 
+#: Most coarse cells whose sizes are broadcast to the subjects.
+BROADCAST_CELLS = 50_000
+
+
+def small_side(df: DataFrame, max_rows: int) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else as it is."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def _cell_sizes(candidates: DataFrame, coarse: str, fine: str) -> DataFrame:
+    """One row per coarse cell: its size and the size of each fine cell in it."""
+    entry = F.struct(F.col(fine).alias("key"), F.col("_n").alias("value"))
+    counts = candidates.groupBy(coarse, fine).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.groupBy(coarse).agg(
+        F.sum("_n").alias("_n_coarse"),
+        F.map_from_entries(F.collect_list(F.when(F.col(fine).isNotNull(), entry))).alias("_fine_sizes"),
+    )
+
 
 def match_with_fallback(
     subjects: DataFrame, candidates: DataFrame, coarse: str, fine: str,
-    subject_key: str, candidate_key: str, seed: int,
+    subject_key: str, candidate_key: str, seed: int, carry: Sequence[str] = (),
+    max_broadcast: int = BROADCAST_CELLS,
 ) -> DataFrame:
     """Pick one candidate per subject by hash, from the fine cell or else the coarse one.
 
     Subjects never meet a whole cell: each draws a position below the cell's
-    size and is joined to the one candidate holding it. A subject whose coarse
-    cell is empty gets a null candidate and tier.
+    size and is joined to the one candidate holding it, whose ``carry`` columns
+    come along. A subject whose coarse cell is empty gets a null candidate and
+    tier. Cell sizes are broadcast only after their number is checked.
     """
-    sizes_fine = candidates.groupBy(coarse, fine).agg(F.count(F.lit(1)).alias("_n_fine"))
-    sizes_coarse = candidates.groupBy(coarse).agg(F.count(F.lit(1)).alias("_n_coarse"))
-    keys = candidates.select(candidate_key, coarse, fine)
-    everywhere, named = F.lit("*"), F.concat(F.lit("="), F.col(fine))
+    any_fine, this_fine = F.lit("*"), F.concat(F.lit("="), F.col(fine))
     slots = (
-        dense_index(keys, candidate_key, seed, [coarse, fine], "_position")
-        .withColumn("_cell", named)
+        dense_index(candidates.filter(F.col(fine).isNotNull()), candidate_key, seed, [coarse, fine], "_position")
+        .withColumn("_cell", this_fine)
         .unionByName(
-            dense_index(keys, candidate_key, seed, [coarse], "_position").withColumn("_cell", everywhere)
+            dense_index(candidates, candidate_key, seed, [coarse], "_position").withColumn("_cell", any_fine)
         )
-        .select(coarse, "_cell", "_position", candidate_key)
+        .select(coarse, "_cell", "_position", candidate_key, *carry)
     )
-    size = F.coalesce(F.col("_n_fine"), F.col("_n_coarse"))
     draw = hex_to_long(keyed_hash(seed, subject_key), 15)
+    sizes = small_side(_cell_sizes(candidates, coarse, fine), max_broadcast)
     drawn = (
         subjects.select(subject_key, coarse, fine)
-        .join(sizes_fine, [coarse, fine], "left")
-        .join(sizes_coarse, coarse, "left")
+        .join(sizes, coarse, "left")
+        .withColumn("_n_fine", F.try_element_at("_fine_sizes", F.col(fine)))
         .withColumn(
             "match_tier",
             F.when(F.col("_n_fine").isNotNull(), "fine").when(F.col("_n_coarse").isNotNull(), "coarse"),
         )
-        .withColumn("_cell", F.when(F.col("_n_fine").isNotNull(), named).otherwise(everywhere))
-        .withColumn("_position", F.try_mod(draw, size))
+        .withColumn("_cell", F.when(F.col("_n_fine").isNotNull(), this_fine).otherwise(any_fine))
+        .withColumn("_position", F.try_mod(draw, F.coalesce("_n_fine", "_n_coarse")))
     )
-    return drawn.join(slots, [coarse, "_cell", "_position"], "left").select(
-        subject_key, coarse, fine, candidate_key, "match_tier"
+    # The subject's wanted fine value stays apart from the candidate's own.
+    wanted = F.col(fine).alias(f"wanted_{fine}")
+    return (
+        drawn.select(subject_key, coarse, wanted, "match_tier", "_cell", "_position")
+        .join(slots, [coarse, "_cell", "_position"], "left")
+        .select(subject_key, coarse, f"wanted_{fine}", candidate_key, "match_tier", *carry)
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sojourn.functions.expr import weighted_bucket
 from sojourn.operators import cohort, eligibility, episodes, keys, network, pathway, sampling
 from sojourn.operators.lines import lines_of_therapy
-from sojourn.operators.outcomes import derive_outcome
+from sojourn.operators.outcomes import derive_outcome, with_clinical_dates
 from sojourn.plans import publish, quality, serving, timeline
 from sojourn.sources import files, roles
 from sojourn.sources.roles import BOUND
@@ -49,7 +49,8 @@ def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish.outcome_spine(roles.observed(spark, sf_dir), _eligibility(spark, sf_dir), BOUND)
+    index = _eligibility(spark, sf_dir).select("patient_id", "mhspc_flag", "eligibility_date")
+    return with_clinical_dates(index, roles.clinical_events(spark, sf_dir), BOUND)
 
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +125,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encounter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = publish.encounter_rows(roles.observed(spark, sf_dir))
+    rows = publish.encounter_rows(roles.diagnoses(spark, sf_dir), referral_pathway(spark, sf_dir))
     return pathway.with_visited_provider(rows, roles.assignments(spark, sf_dir))
 
 
@@ -166,8 +167,9 @@ def treatment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outcome_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    treated = episodes.treated_patients(_history(spark, sf_dir))
-    return derive_outcome(_spine(spark, sf_dir), treated, BOUND)
+    spine = _spine(spark, sf_dir)
+    history = episodes.treatment_history(roles.fills(spark, sf_dir), spine, BOUND)
+    return derive_outcome(spine, episodes.treated_patients(history), BOUND)
 
 
 def top_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,6 +237,12 @@ def weighted_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def match_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return roles.assignments(spark, sf_dir).select(
+        "patient_id", "nation", F.col("wanted_care_setting").alias("care_setting"), "provider_id", "match_tier"
+    )
+
+
 def table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     return serving.table_fingerprint(roles.read(spark, sf_dir, "customer"), columns)
@@ -319,7 +327,7 @@ QUERIES: dict[str, Query] = {
     "sample_exact": sample_exact,
     "oversample_exact": oversample_exact,
     "weighted_bucket": weighted_buckets,
-    "match_fallback": roles.matches,
+    "match_fallback": match_fallback,
     "table_fingerprint": table_fingerprint,
     "csv_roundtrip": csv_roundtrip,
     "publish_roundtrip": publish_roundtrip,

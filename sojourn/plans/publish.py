@@ -81,11 +81,15 @@ def outcome_spine(observed: Observed, eligibility: DataFrame, params: Params) ->
     return with_clinical_dates(index, observed.clinical, params)
 
 
-def encounter_rows(observed: Observed) -> DataFrame:
-    pathway = referral_pathway(observed.visits, observed.source_visit, observed.target_visit)
-    dated = observed.diagnosis.select("patient_id", "diagnosis_date")
-    visits = dated.join(pathway.select("patient_id", "source_date", "target_date"), "patient_id", "left")
-    return build_encounters(visits)
+def observed_pathway(observed: Observed) -> DataFrame:
+    return referral_pathway(observed.visits, observed.source_visit, observed.target_visit)
+
+
+def encounter_rows(diagnosis: DataFrame, pathway: DataFrame) -> DataFrame:
+    dated = diagnosis.select("patient_id", "diagnosis_date")
+    return build_encounters(
+        dated.join(pathway.select("patient_id", "source_date", "target_date"), "patient_id", "left")
+    )
 
 
 def observed_journey(observed: Observed, params: Params) -> DataFrame:
@@ -100,7 +104,7 @@ def observed_journey(observed: Observed, params: Params) -> DataFrame:
     index = disease.select("patient_id", F.greatest(*dates).alias("eligibility_date"))
     episodes = treatment_episodes(observed.fills, index, params, "eligibility_date")
     first = with_neighbours(episodes).filter(F.col("episode_no") == 1)
-    pathway = referral_pathway(observed.visits, observed.source_visit, observed.target_visit)
+    pathway = observed_pathway(observed)
     base = (
         observed.patient.select(*PERSON_COLUMNS, "contraindication_flag")
         .join(disease.select(*DISEASE_COLUMNS, "prostate_cancer_flag", *dates), "patient_id")
@@ -140,7 +144,9 @@ def derive(observed: Observed, params: Params) -> Derived:
     history = treatment_history(observed.fills, spine, params)
     return Derived(
         eligibility,
-        with_visited_provider(encounter_rows(observed), observed.assignment),
+        with_visited_provider(
+            encounter_rows(observed.diagnosis, observed_pathway(observed)), observed.assignment
+        ),
         with_prescriber(build_treatments(history, params), observed.provider),
         derive_outcome(spine, treated_patients(history), params),
         observed_journey(observed, params),
@@ -166,7 +172,8 @@ def build_tables(observed: Observed, params: Params, stage: str) -> dict[str, Da
     history = keep("_history", treatment_history(inputs.fills, spine, params))
     treatment = keep("treatment", with_prescriber(build_treatments(history, params), provider))
     outcome = keep("outcome", derive_outcome(spine, treated_patients(history), params))
-    encounter = keep("encounter", with_visited_provider(encounter_rows(inputs), assignment))
+    visited = encounter_rows(diagnosis, observed_pathway(inputs))
+    encounter = keep("encounter", with_visited_provider(visited, assignment))
     journey = build_patient_journey(
         patient, diagnosis, assignment, eligibility, encounter, treatment, outcome, params
     )

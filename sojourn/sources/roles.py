@@ -184,18 +184,22 @@ def diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def providers(spark: SparkSession, sf_dir: str, params: Params = BOUND) -> DataFrame:
-    """Suppliers as the provider network, plus the nation used as the coarse match cell."""
-    supplier, place = read(spark, sf_dir, "supplier"), places(spark, sf_dir)
+PROVIDER_COLUMNS = (
+    "provider_id", "organization_id", "provider_specialty", "care_setting", "academic_flag", "region",
+    "annual_prostate_volume", "multidisciplinary_team_flag", "synthetic_provider_flag",
+)
+
+
+def network(spark: SparkSession, sf_dir: str, params: Params = BOUND) -> DataFrame:
+    """Suppliers as providers; ``nation`` is the coarse match cell."""
     key = F.col("s_suppkey")
     setting = weighted_bucket("s_suppkey", SETTING_SEED, params.care_setting_weights)
-    return supplier.join(place, supplier["s_nationkey"] == place["nation"], "left").select(
+    return read(spark, sf_dir, "supplier").select(
         key.alias("provider_id"),
         F.concat(F.lit("ORG-"), organization_number(key).cast("string")).alias("organization_id"),
         weighted_bucket("s_suppkey", SPECIALTY_SEED, params.specialty_weights).alias("provider_specialty"),
         setting.alias("care_setting"),
         academic_flag(setting).alias("academic_flag"),
-        "region",
         (30 + key % 420).cast("int").alias("annual_prostate_volume"),
         (F.col("s_acctbal") > 4000).alias("multidisciplinary_team_flag"),
         F.lit(True).alias("synthetic_provider_flag"),
@@ -203,30 +207,34 @@ def providers(spark: SparkSession, sf_dir: str, params: Params = BOUND) -> DataF
     )
 
 
+def providers(spark: SparkSession, sf_dir: str, params: Params = BOUND) -> DataFrame:
+    """The provider table, with its region looked up."""
+    return (
+        network(spark, sf_dir, params)
+        .join(places(spark, sf_dir), "nation", "left")
+        .select(*PROVIDER_COLUMNS)
+    )
+
+
 def wanted_settings(spark: SparkSession, sf_dir: str, params: Params = BOUND) -> DataFrame:
     """Each patient's nation and the care setting its hash draws."""
-    key = F.col("c_custkey")
+    wanted = weighted_bucket("c_custkey", SETTING_SEED, params.care_setting_weights)
     return read(spark, sf_dir, "customer").select(
-        key.alias("patient_id"),
+        F.col("c_custkey").alias("patient_id"),
         F.col("c_nationkey").alias("nation"),
-        weighted_bucket("c_custkey", SETTING_SEED, params.care_setting_weights).alias("care_setting"),
+        wanted.alias("care_setting"),
     )
 
 
-def matches(spark: SparkSession, sf_dir: str, params: Params = BOUND) -> DataFrame:
+def assignments(spark: SparkSession, sf_dir: str, params: Params = BOUND) -> DataFrame:
+    """Each patient's matched provider with the attributes the journey and encounters use."""
     return match_with_fallback(
-        wanted_settings(spark, sf_dir, params), providers(spark, sf_dir, params),
+        wanted_settings(spark, sf_dir, params), network(spark, sf_dir, params),
         "nation", "care_setting", "patient_id", "provider_id", params.random_seed,
+        carry=("organization_id", "provider_specialty", "care_setting", "multidisciplinary_team_flag"),
     )
 
 
-def assignments(spark: SparkSession, sf_dir: str, params: Params = BOUND) -> DataFrame:
-    """The matched provider's attributes per patient."""
-    network = providers(spark, sf_dir, params).drop("nation", "region")
-    picked = matches(spark, sf_dir, params).select("patient_id", "provider_id")
-    return picked.join(network, "provider_id", "left")
-
-
 def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").filter(F.col("event_type").isin(*VISIT_OF_EVENT)).select(
         F.col("user_id").alias("patient_id"),
@@ -292,7 +300,7 @@ def observed(spark: SparkSession, sf_dir: str, params: Params = BOUND) -> Observ
     return Observed(
         patient=patients(spark, sf_dir, params).drop("nation"),
         diagnosis=diagnoses(spark, sf_dir),
-        provider=providers(spark, sf_dir, params).drop("nation"),
+        provider=providers(spark, sf_dir, params),
         assignment=assignments(spark, sf_dir, params),
         visits=visits(spark, sf_dir),
         clinical=clinical_events(spark, sf_dir),
