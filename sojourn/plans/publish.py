@@ -154,32 +154,28 @@ def derive(observed: Observed, params: Params) -> Derived:
 
 
 def build_tables(observed: Observed, params: Params, stage: str) -> dict[str, DataFrame]:
-    """Write the seven tables to a stage folder, each computed once from staged inputs."""
+    """Write the seven tables to a stage folder; what several of them need is staged once."""
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         return stage_table(df, stage, name)
 
-    patient = keep("_patient", observed.patient)
     diagnosis = keep("_diagnosis", observed.diagnosis)
-    provider = keep("provider", observed.provider)
     assignment = keep("_assignment", observed.assignment)
-    inputs = Observed(
-        patient, diagnosis, provider, assignment, observed.visits, observed.clinical,
-        observed.fills, observed.source_visit, observed.target_visit,
-    )
-    eligibility = keep("_eligibility", build_eligibility(patient, diagnosis, params))
-    spine = keep("_spine", outcome_spine(inputs, eligibility, params))
-    history = keep("_history", treatment_history(inputs.fills, spine, params))
+    provider = keep("provider", observed.provider)
+    judged = build_eligibility(observed.patient, diagnosis, params)
+    spine = keep("_spine", with_clinical_dates(judged, observed.clinical, params))
+    history = keep("_history", treatment_history(observed.fills, spine, params))
     treatment = keep("treatment", with_prescriber(build_treatments(history, params), provider))
     outcome = keep("outcome", derive_outcome(spine, treated_patients(history), params))
-    visited = encounter_rows(diagnosis, observed_pathway(inputs))
+    visited = encounter_rows(diagnosis, observed_pathway(observed))
     encounter = keep("encounter", with_visited_provider(visited, assignment))
+    patient = keep("patient", attach_death_date(observed.patient.drop("contraindication_flag"), outcome))
     journey = build_patient_journey(
-        patient, diagnosis, assignment, eligibility, encounter, treatment, outcome, params
+        patient, diagnosis, assignment, spine.select(*judged.columns), encounter, treatment, outcome, params
     )
     return {
-        "patient": keep("patient", attach_death_date(patient.drop("contraindication_flag"), outcome)),
-        "diagnosis": keep("diagnosis", diagnosis.drop("hormone_sensitive_confirmation_date")),
+        "patient": patient,
+        "diagnosis": diagnosis.drop("hormone_sensitive_confirmation_date"),
         "provider": provider,
         "encounter": encounter,
         "treatment": treatment,
