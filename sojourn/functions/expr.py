@@ -40,10 +40,6 @@ def clamp(value: Column, low: int | None = None, high: int | None = None) -> Col
     return F.when(value.isNotNull(), bounded)
 
 
-def within(value: Column, low: int, high: int) -> Column:
-    return truth(value.between(low, high))
-
-
 def keep_until(date: Column, limit: Column) -> Column:
     """Null out an event dated after the end of observation."""
     return F.when(date <= limit, date)
@@ -75,6 +71,11 @@ def surrogate_key(prefix: str, natural: Column, suffix: Column | None = None, wi
     return F.concat(*parts)
 
 
+def sql_columns(columns: Mapping[str, str]) -> dict[str, Column]:
+    """Named SQL expressions as columns, for long lists where SQL reads better."""
+    return {name: F.expr(text) for name, text in columns.items()}
+
+
 def sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

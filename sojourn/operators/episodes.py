@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sojourn.functions.expr import days_between, literal_map, surrogate_key, truth
+from sojourn.functions.expr import days_between, literal_map, sql_columns, surrogate_key, truth
 from sojourn.operators.outcomes import follow_up
 from sojourn.params import DRUG_CLASS, Params
 
@@ -176,33 +176,34 @@ def treatment_history(
 
 def treatment_columns(params: Params) -> dict[str, Column]:
     """Treatment attributes of one episode row with its course and adverse_event_date."""
-    switch, stop = F.col("has_other_drug"), F.col("discontinuation_flag")
-    stopped_on, covered = F.col("discontinuation_date"), F.col("covered_until_date")
-    reason = F.when(F.col("adverse_event_date") <= stopped_on, "adverse_event").otherwise("other")
-    return {
-        "drug_name": F.col("drug_name"),
-        "drug_class": F.col("drug_class"),
-        "regimen_name": regimen_name(),
-        "treatment_line": F.col("episode_no"),
-        "treatment_start_date": F.col("episode_start_date"),
-        "treatment_end_date": F.when(stop & ~F.col("restart_flag"), stopped_on).otherwise(covered),
-        "days_supply": F.lit(params.days_supply),
-        "refill_date": F.col("episode_start_date"),
-        "covered_until_date": covered,
-        "prescribing_provider_id": F.col("provider_id"),
-        "discontinuation_flag": stop,
-        "discontinuation_date": stopped_on,
-        "discontinuation_reason": F.when(stop, reason),
-        "switch_flag": switch,
-        "switch_date": F.col("other_drug_date"),
-        "previous_drug": F.when(switch, F.col("drug_name")),
-        "switched_to_drug": F.col("other_drug"),
-        "restart_flag": F.col("restart_flag"),
-        "restart_date": F.col("restart_date"),
-        "temporary_gap_flag": F.col("temporary_gap_flag"),
-        "max_refill_gap_days": F.col("max_refill_gap_days"),
-        "synthetic_event_flag": F.lit(True),
-    }
+    reason = "CASE WHEN adverse_event_date <= discontinuation_date THEN 'adverse_event' ELSE 'other' END"
+    return sql_columns(
+        {
+            "drug_name": "drug_name",
+            "drug_class": "drug_class",
+            "regimen_name": "concat('synthetic_', drug_name, '_regimen')",
+            "treatment_line": "episode_no",
+            "treatment_start_date": "episode_start_date",
+            "treatment_end_date": "CASE WHEN discontinuation_flag AND NOT restart_flag "
+            "THEN discontinuation_date ELSE covered_until_date END",
+            "days_supply": str(params.days_supply),
+            "refill_date": "episode_start_date",
+            "covered_until_date": "covered_until_date",
+            "prescribing_provider_id": "provider_id",
+            "discontinuation_flag": "discontinuation_flag",
+            "discontinuation_date": "discontinuation_date",
+            "discontinuation_reason": f"CASE WHEN discontinuation_flag THEN {reason} END",
+            "switch_flag": "has_other_drug",
+            "switch_date": "other_drug_date",
+            "previous_drug": "CASE WHEN has_other_drug THEN drug_name END",
+            "switched_to_drug": "other_drug",
+            "restart_flag": "restart_flag",
+            "restart_date": "restart_date",
+            "temporary_gap_flag": "temporary_gap_flag",
+            "max_refill_gap_days": "max_refill_gap_days",
+            "synthetic_event_flag": "true",
+        }
+    )
 
 
 def treated_patients(history: DataFrame) -> DataFrame:

@@ -38,23 +38,17 @@ def coverage_gap(parent: DataFrame, parent_key: str, child: DataFrame, child_key
 def key_census(sources: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Row count of every key in every source: one row per key, one column per source.
 
-    One shuffle answers uniqueness, orphan and coverage questions together.
+    Rows are counted map-side before the one shuffle, which then answers
+    uniqueness, orphan and coverage questions together.
     """
     tagged: DataFrame | None = None
-    for name, (df, key) in sources.items():
-        counted = (
-            df.groupBy(F.col(key).alias("key"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("source", F.lit(name))
-        )
-        tagged = counted if tagged is None else tagged.unionByName(counted)
+    for number, (df, key) in enumerate(sources.values()):
+        rows = df.select(F.col(key).alias("key"), F.lit(number).alias("source"))
+        tagged = rows if tagged is None else tagged.unionByName(rows)
     if tagged is None:
         raise ValueError("key_census needs at least one source")
-    totals = [
-        F.coalesce(F.sum(F.when(F.col("source") == name, F.col("n"))), F.lit(0)).alias(name)
-        for name in sources
-    ]
-    return tagged.groupBy("key").agg(*totals)
+    counts = [F.count_if(F.col("source") == n).alias(name) for n, name in enumerate(sources)]
+    return tagged.groupBy("key").agg(*counts)
 
 
 def ordered_pairs(
@@ -62,16 +56,18 @@ def ordered_pairs(
 ) -> DataFrame:
     """Number of (left, right) rows of one key with right date on or before left date.
 
-    Counts what an inner join would yield without forming the pairs: a running
-    total of right rows over the key's calendar meets each left day once.
+    Counts what an inner join would yield without forming the pairs: rows are
+    counted per key and day, and a running total of right rows over the key's
+    calendar meets each left day once.
     """
     sides = [
-        df.filter(F.col(date).isNotNull())
-        .groupBy(F.col(key).alias("_key"), F.col(date).alias("_date"))
-        .agg(F.count(F.lit(1)).alias(name))
-        for df, date, name in ((left, left_date, "_left"), (right, right_date, "_right"))
+        df.select(F.col(key).alias("_key"), F.col(date).alias("_date"), F.lit(side).alias("_side"))
+        for side, df, date in ((0, left, left_date), (1, right, right_date))
     ]
-    days = sides[0].unionByName(sides[1], allowMissingColumns=True).filter(F.col("_key").isNotNull())
+    known = F.col("_key").isNotNull() & F.col("_date").isNotNull()
+    days = sides[0].unionByName(sides[1]).filter(known).groupBy("_key", "_date").agg(
+        F.count_if(F.col("_side") == 0).alias("_left"), F.count_if(F.col("_side") == 1).alias("_right")
+    )
     up_to = Window.partitionBy("_key").orderBy("_date").rangeBetween(
         Window.unboundedPreceding, Window.currentRow
     )

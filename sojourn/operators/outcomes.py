@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sojourn.functions.expr import keep_until, truth
+from sojourn.functions.expr import keep_until, sql_columns, truth
 from sojourn.operators.pathway import attach_first_dates
 from sojourn.params import Params
 
@@ -46,18 +46,16 @@ def follow_up(death: Column, last_activity: Column, params: Params) -> dict[str,
     }
 
 
-def outcome_status(treated: Column) -> Column:
-    """First state that applies, most final first."""
-    return (
-        F.when(F.col("death_flag"), "deceased")
-        .when(F.col("lost_to_follow_up_flag"), "lost_to_follow_up")
-        .when(F.col("progression_event"), "progressed")
-        .when(truth(F.col("restart_flag")), "restarted")
-        .when(truth(F.col("switch_flag")), "switched")
-        .when(truth(F.col("discontinuation_flag")), "discontinued")
-        .when(treated, "active_treatment")
-        .otherwise("censored")
-    )
+#: First state that applies, most final first; null flags do not apply.
+OUTCOME_STATUS = """CASE
+    WHEN death_flag THEN 'deceased'
+    WHEN lost_to_follow_up_flag THEN 'lost_to_follow_up'
+    WHEN progression_event THEN 'progressed'
+    WHEN restart_flag THEN 'restarted'
+    WHEN switch_flag THEN 'switched'
+    WHEN discontinuation_flag THEN 'discontinued'
+    WHEN last_activity_date IS NOT NULL THEN 'active_treatment'
+    ELSE 'censored' END"""
 
 
 OUTCOME_COLUMNS = (
@@ -80,23 +78,20 @@ OUTCOME_COLUMNS = (
 
 def with_outcome(rows: DataFrame, params: Params) -> DataFrame:
     """Outcome columns of rows holding mhspc_flag, clinical dates, last activity and first-treatment flags."""
-    progressed, resistant = F.col("progression_date"), F.col("castration_resistant_date")
-    transition = truth(F.col("mhspc_flag") & (resistant >= progressed))
-    adverse = F.col("adverse_event_date").isNotNull()
+    transition = "coalesce(mhspc_flag AND castration_resistant_date >= progression_date, false)"
+    columns = {
+        "progression_event": "progression_date IS NOT NULL",
+        "castration_resistant_transition": transition,
+        "castration_resistant_date": f"CASE WHEN {transition} THEN castration_resistant_date END",
+        "hospitalisation_flag": "first_hospitalisation_date IS NOT NULL",
+        "adverse_event_flag": "adverse_event_date IS NOT NULL",
+        "adverse_event_type": "CASE WHEN adverse_event_date IS NOT NULL THEN adverse_event_type END",
+        "death_flag": "death_date IS NOT NULL",
+    }
     followed = rows.withColumns(
-        {
-            "progression_event": progressed.isNotNull(),
-            "castration_resistant_transition": transition,
-            "castration_resistant_date": F.when(transition, resistant),
-            "hospitalisation_flag": F.col("first_hospitalisation_date").isNotNull(),
-            "adverse_event_flag": adverse,
-            "adverse_event_type": F.when(adverse, F.col("adverse_event_type")),
-            "death_flag": F.col("death_date").isNotNull(),
-            **follow_up(F.col("death_date"), F.col("last_activity_date"), params),
-        }
+        {**sql_columns(columns), **follow_up(F.col("death_date"), F.col("last_activity_date"), params)}
     )
-    treated = F.col("last_activity_date").isNotNull()
-    return followed.withColumn("outcome_status", outcome_status(treated))
+    return followed.withColumn("outcome_status", F.expr(OUTCOME_STATUS))
 
 
 def derive_outcome(spine: DataFrame, treated: DataFrame, params: Params) -> DataFrame:

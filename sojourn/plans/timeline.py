@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sojourn.functions.expr import clamp, days_between, truth, within
+from sojourn.functions.expr import sql_columns
 from sojourn.operators.pathway import first_events, first_record
 from sojourn.params import Params
 
@@ -119,67 +119,58 @@ def first_treatment(treatment: DataFrame) -> DataFrame:
 
 def initiation_columns(params: Params) -> dict[str, Column]:
     """Initiation and gap flags; needs eligibility and treatment start."""
-    delay = days_between("treatment_start_date", "eligibility_date")
-    eligible = F.col("eligible_for_arpi")
-    flags = {
-        f"initiated_within_{n}d": truth(eligible & within(delay, 0, n)) for n in params.initiation_windows
-    }
-    return {
-        "treatment_initiated": F.col("treatment_start_date").isNotNull(),
-        "days_to_initiation": delay,
-        **flags,
-        "eligible_not_initiated_90d": truth(eligible & ~within(delay, 0, 90)),
+    delay = "datediff(treatment_start_date, eligibility_date)"
+    columns = {
+        "treatment_initiated": "treatment_start_date IS NOT NULL",
+        "days_to_initiation": f"cast({delay} AS BIGINT)",
+        "eligible_not_initiated_90d": f"coalesce(eligible_for_arpi AND NOT coalesce({delay} BETWEEN 0 AND 90, false), false)",
     }
+    for days in params.initiation_windows:
+        columns[f"initiated_within_{days}d"] = f"coalesce(eligible_for_arpi AND {delay} BETWEEN 0 AND {days}, false)"
+    return sql_columns(columns)
 
 
 def persistence_columns(params: Params) -> dict[str, Column]:
     """Landmark persistence and its gap sensitivity; needs follow_up_days."""
-    start, stop = F.col("treatment_start_date"), F.col("discontinuation_date")
-    follow_up = F.col("follow_up_days")
 
-    def persistent(days: int) -> Column:
-        landmark = F.date_add(start, days)
-        stopped = truth(F.col("discontinuation_flag") & (stop <= landmark))
-        covered = truth(landmark <= F.col("covered_until_date"))
-        return start.isNotNull() & covered & ~stopped & truth(follow_up >= days)
+    def persistent(days: int) -> str:
+        landmark = f"date_add(treatment_start_date, {days})"
+        stopped = f"coalesce(discontinuation_flag AND discontinuation_date <= {landmark}, false)"
+        return f"coalesce({landmark} <= covered_until_date AND follow_up_days >= {days}, false) AND NOT {stopped}"
 
     columns = {f"persistent_{m}m": persistent(days) for m, days in params.persistence_landmarks}
-    year, gap = persistent(365), F.coalesce(F.col("max_refill_gap_days"), F.lit(999))
     for limit in params.persistence_sensitivity_gaps:
-        columns[f"persistent_12m_gap_{limit}d"] = year & (gap <= limit)
-    return columns
+        within = f"coalesce(max_refill_gap_days, 999) <= {limit}"
+        columns[f"persistent_12m_gap_{limit}d"] = f"{persistent(365)} AND {within}"
+    return sql_columns(columns)
 
 
 def elapsed_columns() -> dict[str, Column]:
     """Elapsed days between the dates of one journey row."""
-    return {
-        "days_to_discontinuation": days_between("discontinuation_date", "treatment_start_date"),
-        "days_to_switch": days_between("switch_date", "treatment_start_date"),
-        "days_to_progression": days_between("progression_date", "eligibility_date"),
-        "follow_up_days": clamp(days_between("censor_date", "eligibility_date"), low=0),
+    follow_up = "datediff(censor_date, eligibility_date)"
+    spans = {
+        "days_to_discontinuation": "datediff(discontinuation_date, treatment_start_date)",
+        "days_to_switch": "datediff(switch_date, treatment_start_date)",
+        "days_to_progression": "datediff(progression_date, eligibility_date)",
+        # A bare greatest would turn a null into 0.
+        "follow_up_days": f"CASE WHEN {follow_up} < 0 THEN 0 ELSE {follow_up} END",
     }
+    return sql_columns({name: f"cast({sql} AS BIGINT)" for name, sql in spans.items()})
 
 
 def finish_journey(rows: DataFrame, params: Params) -> DataFrame:
     """Derived journey columns of rows that hold every input of one patient."""
-    days_on = F.col("days_to_discontinuation")
+    first = {
+        "referral_completed_flag": "first_oncology_date IS NOT NULL",
+        "referral_delay_days": "cast(datediff(first_oncology_date, first_urology_date) AS BIGINT)",
+        "discontinued_within_12m": "coalesce(discontinuation_flag AND "
+        "datediff(discontinuation_date, treatment_start_date) <= 365, false)",
+        "final_outcome_status": "outcome_status",
+        "synthetic_data_flag": "true",
+    }
     return (
-        rows.withColumns(
-            {
-                "referral_completed_flag": F.col("first_oncology_date").isNotNull(),
-                "referral_delay_days": days_between("first_oncology_date", "first_urology_date"),
-                **initiation_columns(params),
-                **elapsed_columns(),
-                "final_outcome_status": F.col("outcome_status"),
-                "synthetic_data_flag": F.lit(True),
-            }
-        )
-        .withColumns(
-            {
-                **persistence_columns(params),
-                "discontinued_within_12m": truth(F.col("discontinuation_flag") & (days_on <= 365)),
-            }
-        )
+        rows.withColumns({**sql_columns(first), **initiation_columns(params), **elapsed_columns()})
+        .withColumns(persistence_columns(params))
         .select(*JOURNEY_COLUMNS)
     )
 
