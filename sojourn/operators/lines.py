@@ -2,9 +2,10 @@
 
 A run needs every fill in order, so fills cannot be folded to days first. An
 ordinary patient is handled in one window. A patient with very many fills is
-cut into calendar days: runs are found inside each day, and runs that meet at
-a day border are joined by a window over day summaries alone, so no task ever
-holds all fills of such a patient.
+cut along that order into slices, by day and within a day by ``fill_seq``: runs
+are found inside each slice, and runs that meet at a border are joined by a
+window over slice summaries alone, so no task ever holds all fills of such a
+patient, nor of one of its days.
 """
 
 from __future__ import annotations
@@ -15,9 +16,12 @@ from pyspark.sql import functions as F
 from sojourn.functions.expr import days_between, truth
 from sojourn.params import Params
 
-#: Fills above which a patient is cut into days.
+#: Fills above which a patient is cut into slices.
 SPLIT_ABOVE = 1_000_000
 
+#: Slices a day of such a patient is cut into.
+DAY_PARTS = 256
+
 RUN_COLUMNS = (
     "patient_id", "line_no", "drug_name", "line_start_date", "last_fill_date",
     "covered_date", "n_fills", "next_drug", "next_start_date",
@@ -38,7 +42,7 @@ def _runs(rows: DataFrame, group: list[str]) -> DataFrame:
             F.min("fill_date").alias("line_start_date"),
             F.max("fill_date").alias("last_fill_date"),
             F.max("covered_date").alias("covered_date"),
-            F.count(F.lit(1)).alias("n_fills"),
+            F.sum("n_fills").alias("n_fills"),
         )
         .withColumns(
             {
@@ -50,15 +54,28 @@ def _runs(rows: DataFrame, group: list[str]) -> DataFrame:
 
 
 def _joined_runs(rows: DataFrame) -> DataFrame:
-    """Runs of very large patients: per day first, then joined where days meet."""
-    daily = _runs(rows.withColumn("day", F.col("fill_date")), ["patient_id", "day"])
-    by_day = Window.partitionBy("patient_id").orderBy("day")
-    prior = by_day.rowsBetween(Window.unboundedPreceding, -1)
-    meets = truth(F.lag("_last").over(by_day) == F.col("_first")).cast("bigint")
+    """Runs of very large patients: per slice first, then joined where slices meet.
+
+    ``rows`` carry the least ``fill_seq`` of their patient and the width of a part.
+    """
+    part = F.floor((F.col("fill_seq") - F.col("_first_seq")) / F.col("_width"))
+    # Fills alike in day, sequence and drug are neighbours, so they can be folded.
+    folded = rows.groupBy(
+        "patient_id",
+        F.col("fill_date").alias("day"),
+        F.coalesce(part, F.lit(-1)).cast("int").alias("part"),
+        "fill_date",
+        "fill_seq",
+        "drug_name",
+    ).agg(F.max("covered_date").alias("covered_date"), F.sum("n_fills").alias("n_fills"))
+    sliced = _runs(folded, ["patient_id", "day", "part"])
+    by_slice = Window.partitionBy("patient_id").orderBy("day", "part")
+    prior = by_slice.rowsBetween(Window.unboundedPreceding, -1)
+    meets = truth(F.lag("_last").over(by_slice) == F.col("_first")).cast("bigint")
     closed = F.coalesce(F.sum(F.col("_runs") - F.col("_meets")).over(prior), F.lit(0))
-    # A day whose first run continues the day before shares that run's number.
+    # A slice whose first run continues the slice before shares that run's number.
     borders = (
-        daily.groupBy("patient_id", "day")
+        sliced.groupBy("patient_id", "day", "part")
         .agg(
             F.max("line_no").alias("_runs"),
             F.max(F.when(F.col("line_no") == 1, F.col("drug_name"))).alias("_first"),
@@ -68,16 +85,17 @@ def _joined_runs(rows: DataFrame) -> DataFrame:
         .select(
             "patient_id",
             "day",
+            "part",
             (closed - F.col("_meets")).alias("_offset"),
-            F.lead("_first").over(by_day).alias("_border_drug"),
-            F.lead("day").over(by_day).alias("_border_date"),
+            F.lead("_first").over(by_slice).alias("_border_drug"),
+            F.lead("day").over(by_slice).alias("_border_date"),
         )
     )
     next_drug = F.coalesce("next_drug", "_border_drug")
     next_start = F.coalesce("next_start_date", "_border_date")
     goes_on = truth(next_drug == F.col("drug_name"))
     return (
-        daily.join(borders, ["patient_id", "day"])
+        sliced.join(borders, ["patient_id", "day", "part"])
         .withColumn("line_no", F.col("_offset") + F.col("line_no"))
         .withColumn("next_start_date", F.when(~goes_on, next_start))
         .withColumn("next_drug", F.when(~goes_on, next_drug))
@@ -109,18 +127,22 @@ def lines_of_therapy(
     within = fills.filter(F.col("fill_date") < end)
     rows = within.select(
         "patient_id", "fill_date", "fill_seq", "drug_name",
-        F.date_add("fill_date", supply).alias("covered_date"),
+        F.date_add("fill_date", supply).alias("covered_date"), F.lit(1).cast("bigint").alias("n_fills"),
     )
     anchors = index.select("patient_id", F.col(index_date).alias("_index"))
     large = (
         within.groupBy("patient_id")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.min("fill_seq").alias("_first_seq"),
+            F.ceil((F.max("fill_seq") - F.min("fill_seq") + 1) / DAY_PARTS).alias("_width"),
+        )
         .filter(F.col("_n") > split_above)
-        .select("patient_id")
+        .drop("_n")
     )
     on_or_after = F.col("fill_date") >= F.col("_index")
     ordinary = (
-        rows.join(F.broadcast(large), "patient_id", "left_anti")
+        rows.join(F.broadcast(large.select("patient_id")), "patient_id", "left_anti")
         .join(anchors, "patient_id")
         .filter(on_or_after)
     )

@@ -44,16 +44,22 @@ def attach_first_dates(
     """Add to each index row the first date per event type on or after its index date.
 
     ``details`` names, for some types, a column to receive ``event_detail`` of
-    that first event. Events are folded map-side to the set of days (and
-    details) per type, so state per subject is bounded by the calendar.
+    that first event. Events are folded map-side to the set of days per type
+    (with details, to one detail per day first), so state per subject is
+    bounded by the calendar.
     """
     details = dict(details or {})
+    wanted = events.filter(F.col("event_type").isin(*types))
+    if details:
+        wanted = wanted.groupBy(subject, "event_type", "event_date").agg(
+            F.min("event_detail").alias("event_detail")
+        )
     kind, date = F.col("event_type"), F.col("event_date")
 
     def entry(name: str) -> Column:
         return F.struct(date.alias("date"), F.col("event_detail").alias("detail")) if name in details else date
 
-    sets = events.filter(kind.isin(*types)).groupBy(subject).agg(
+    sets = wanted.groupBy(subject).agg(
         *[F.collect_set(F.when(kind == t, entry(t))).alias(f"_{name}") for t, name in types.items()]
     )
     after = F.col(index_date)

@@ -225,6 +225,16 @@ def test_lines_equal_brute_force_whole_or_cut_into_days(spark, split_above):
     assert {tuple(r[n] for n in names) for r in got} == brute_lines(rows)
 
 
+def test_one_day_holding_most_fills_is_cut_too(spark):
+    rng = random.Random(5)
+    rows = [("hot", day(5), rng.choice([None, rng.randrange(10**6)]), rng.choice(["ADT", "docetaxel"]), 1, 30) for _ in range(600)]
+    rows += [("hot", day(n), n, "ADT", 1, 30) for n in range(0, 40, 4)]
+    df = spark.createDataFrame(rows, FILL).repartition(3)
+    whole = lines_of_therapy(df, index(spark, "hot"), PARAMS).collect()
+    cut = lines_of_therapy(df, index(spark, "hot"), PARAMS, split_above=10).collect()
+    assert sorted(map(str, whole)) == sorted(map(str, cut)) and len(whole) > 100
+
+
 def test_switch_window_is_inclusive(spark):
     def switch(n):
         df = lines_of_therapy(fills(spark, ("p", 0, "ADT"), ("p", 30 + n, "docetaxel")), index(spark), PARAMS)
