@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +24,9 @@ from sojourn.operators.episodes import (
 from sojourn.operators.outcomes import derive_outcome, with_clinical_dates, with_outcome
 from sojourn.operators.pathway import build_encounters, referral_pathway, with_visited_provider
 from sojourn.params import TABLES, Params
+from sojourn.plans.quality import gate as verdict
 from sojourn.plans.quality import raise_on_critical, validate_tables
-from sojourn.plans.serving import kpis, missingness, value_counts
+from sojourn.plans.serving import kpis, missingness, table_fingerprint, value_counts
 from sojourn.plans.timeline import (
     DISEASE_COLUMNS,
     FIRST_TREATMENT,
@@ -185,8 +186,9 @@ def build_tables(observed: Observed, params: Params, stage: str) -> dict[str, Da
 
 
 def write_quality_report(results: DataFrame, directory: str) -> None:
-    """Rule results as JSON and CSV; a few dozen rows, so one file each."""
+    """Rule results as JSON and CSV, and the verdict; a few dozen rows, so one file each."""
     small = results.coalesce(1)
+    verdict(results).coalesce(1).write.mode("overwrite").json(f"{directory}/data_quality_verdict.json")
     small.write.mode("overwrite").json(f"{directory}/data_quality_summary.json")
     write_csv_table(small, f"{directory}/data_quality_summary.csv")
 
@@ -198,8 +200,20 @@ def write_cohort_report(journey: DataFrame, params: Params, directory: str) -> N
     write_csv_table(missingness(journey).coalesce(1), f"{directory}/cohort_missingness.csv")
 
 
+def fingerprints(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Row count and content hash per table, to compare runs. Doubles are left out of the hash."""
+    prints: DataFrame | None = None
+    for name, df in tables.items():
+        columns = [column for column, kind in df.dtypes if kind != "double"]
+        row = table_fingerprint(df, columns).withColumn("table_name", F.lit(name))
+        prints = row if prints is None else prints.unionByName(row)
+    if prints is None:
+        raise ValueError("fingerprints needs at least one table")
+    return prints.select("table_name", "n_rows", "fingerprint")
+
+
 def audit(
-    spark: SparkSession, tables: dict[str, DataFrame], params: Params, stage: str
+    tables: Mapping[str, DataFrame], params: Params, stage: str
 ) -> DataFrame:
     """Rule results over the tables, staged so that they are computed once."""
     return stage_table(validate_tables(tables, params), stage, "_quality")
@@ -218,11 +232,13 @@ def publish(
     """
     stage = new_stage(spark)
     tables = build_tables(observed, params, stage)
-    results = audit(spark, tables, params, stage)
+    results = audit(tables, params, stage)
     run = f"{gold}/runs/{uuid.uuid4().hex}"
     write_quality_report(results, f"{run}/reports")
     gate(results)
-    export_tables({name: publish_keys(tables[name]) for name in TABLES}, run, formats)
+    gold_tables = {name: publish_keys(tables[name]) for name in TABLES}
+    export_tables(gold_tables, run, formats)
+    write_csv_table(fingerprints(gold_tables).coalesce(1), f"{run}/reports/output_fingerprints.csv")
     write_cohort_report(tables["patient_journey"], params, f"{run}/reports")
     pointer = spark.range(1).select(F.lit(run).alias("run"), F.current_timestamp().alias("published_at"))
     pointer.coalesce(1).write.mode("append").parquet(f"{gold}/published")

@@ -67,6 +67,10 @@ def test_publish_then_load(spark, observed, tmp_path):
     rules = files.read_csv_table(spark, f"{run}/reports/data_quality_summary.csv")
     assert rules.count() == len(quality.RULES) + len(quality.EXTRA_RULES)
     assert spark.read.json(f"{run}/reports/data_quality_summary.json").count() == rules.count()
+    assert spark.read.json(f"{run}/reports/data_quality_verdict.json").first()["verdict"] == "publish"
+    prints = files.read_csv_table(spark, f"{run}/reports/output_fingerprints.csv").collect()
+    assert {r["table_name"] for r in prints} == set(TABLES)
+    assert {r["n_rows"] for r in prints if r["table_name"] in ("patient", "outcome")} == {"150"}
     kpi = files.read_csv_table(spark, f"{run}/reports/cohort_kpis.csv")
     assert kpi.count() == 18 and kpi.filter("kpi = 'total_patients'").first()["value"] == "150"
 
