@@ -40,6 +40,7 @@ from sojourn.sources.files import (
     load_exported_tables,
     new_stage,
     stage_table,
+    stage_tables,
     write_csv_table,
 )
 
@@ -157,31 +158,49 @@ def derive(observed: Observed, params: Params) -> Derived:
 def build_tables(observed: Observed, params: Params, stage: str) -> dict[str, DataFrame]:
     """Write the seven tables to a stage folder; what several of them need is staged once."""
 
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        return stage_table(df, stage, name)
-
-    diagnosis = keep("_diagnosis", observed.diagnosis)
-    assignment = keep("_assignment", observed.assignment)
-    provider = keep("provider", observed.provider)
+    roots = stage_tables(
+        {"_diagnosis": observed.diagnosis, "_assignment": observed.assignment, "provider": observed.provider},
+        stage,
+    )
+    diagnosis, assignment, provider = roots.values()
     judged = build_eligibility(observed.patient, diagnosis, params)
-    spine = keep("_spine", with_clinical_dates(judged, observed.clinical, params))
-    history = keep("_history", treatment_history(observed.fills, spine, params))
-    treatment = keep("treatment", with_prescriber(build_treatments(history, params), provider))
-    outcome = keep("outcome", derive_outcome(spine, treated_patients(history), params))
+    spine = stage_table(with_clinical_dates(judged, observed.clinical, params), stage, "_spine")
     visited = encounter_rows(diagnosis, observed_pathway(observed))
-    encounter = keep("encounter", with_visited_provider(visited, assignment))
-    patient = keep("patient", attach_death_date(observed.patient.drop("contraindication_flag"), outcome))
-    journey = build_patient_journey(
-        patient, diagnosis, assignment, spine.select(*judged.columns), encounter, treatment, outcome, params
+    events = stage_tables(
+        {
+            "_history": treatment_history(observed.fills, spine, params),
+            "encounter": with_visited_provider(visited, assignment),
+        },
+        stage,
+    )
+    history, encounter = events.values()
+    courses = stage_tables(
+        {
+            "treatment": with_prescriber(build_treatments(history, params), provider),
+            "outcome": derive_outcome(spine, treated_patients(history), params),
+        },
+        stage,
+    )
+    treatment, outcome = courses.values()
+    person = observed.patient.drop("contraindication_flag")
+    eligibility = spine.select(*judged.columns)
+    final = stage_tables(
+        {
+            "patient": attach_death_date(person, outcome),
+            "patient_journey": build_patient_journey(
+                person, diagnosis, assignment, eligibility, encounter, treatment, outcome, params
+            ),
+        },
+        stage,
     )
     return {
-        "patient": patient,
+        "patient": final["patient"],
         "diagnosis": diagnosis.drop("hormone_sensitive_confirmation_date"),
         "provider": provider,
         "encounter": encounter,
         "treatment": treatment,
         "outcome": outcome,
-        "patient_journey": keep("patient_journey", journey),
+        "patient_journey": final["patient_journey"],
     }
 
 

@@ -7,12 +7,16 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sojourn.params import TABLES
 
+#: Independent write jobs submitted together, so that small ones do not leave executors idle.
+JOBS_AT_ONCE = 4
+
 #: Raw demographics as exported upstream. ZIP stays text, so leading zeros survive.
 RAW_PATIENT_COLUMNS = (
     "Id", "BIRTHDATE", "DEATHDATE", "SSN", "DRIVERS", "PASSPORT", "PREFIX", "FIRST", "MIDDLE",
@@ -67,11 +71,11 @@ def write_parquet_table(df: DataFrame, path: str) -> None:
 def export_tables(
     tables: Mapping[str, DataFrame], directory: str, formats: Iterable[str] = ("parquet", "csv")
 ) -> None:
-    """Write every table as ``<directory>/<name>.<format>``. The tables are independent jobs."""
+    """Write every table as ``<directory>/<name>.<format>``, as jobs side by side."""
     writers = {"parquet": write_parquet_table, "csv": write_csv_table}
-    for name, df in tables.items():
-        for kind in formats:
-            writers[kind](df, f"{directory}/{name}.{kind}")
+    jobs = [(writers[kind], df, f"{directory}/{name}.{kind}") for name, df in tables.items() for kind in formats]
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        list(pool.map(lambda job: job[0](job[1], job[2]), jobs))
 
 
 def load_exported_tables(
@@ -107,3 +111,10 @@ def stage_table(df: DataFrame, directory: str, name: str) -> DataFrame:
     path = f"{directory}/{name}.parquet"
     write_parquet_table(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_tables(plans: Mapping[str, DataFrame], directory: str) -> dict[str, DataFrame]:
+    """Stage tables that do not depend on each other, as jobs side by side."""
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        staged = pool.map(lambda item: stage_table(item[1], directory, item[0]), plans.items())
+        return dict(zip(plans, staged, strict=True))
