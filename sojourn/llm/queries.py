@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules
+from . import mixing, packing, quality_rules, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_nnls_packing": packing.op2_nnls_packing,
+    "op3_hilbert_shards": sharding.op3_hilbert_shards,
+    "op4_poisson_mix": mixing.op4_poisson_mix,
     "op6_divergence_rules": quality_rules.op6_divergence_rules,
 }
 
 
 def statements() -> dict[str, str]:
-    return {"op6_divergence_rules": quality_rules.oracle()}
+    return {"op4_poisson_mix": mixing.oracle(), "op6_divergence_rules": quality_rules.oracle()}
