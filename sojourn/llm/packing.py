@@ -34,55 +34,70 @@ WINDOW = 4096
 UNIT = 128
 END = 2
 PARTS = 8
-#: Words whose ids a Python worker keeps at a time.
-KEPT_WORDS = 300_000
+#: A Python worker keeps the ids of up to 2**SLOT_BITS words, of at most WIDTH ids each.
+SLOT_BITS, WIDTH = 21, 12
 
 
 class WordIds:
-    """Token ids of texts, word by word: the tokenizer never joins what white space parts."""
+    """Token ids of texts, word by word: the tokenizer never joins what white space parts.
+
+    Words met lately are kept in a table of fixed size, one a slot, the newer in place of the older;
+    words of more than WIDTH ids are coded anew each time.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
-        self.at: dict[int, int] = {}
-        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
-
-    def _learn(self, hashes: list[int], texts: list[str]) -> None:
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        n, sizes = len(self.at), np.array([len(c) for c in coded], np.int64)
-        while n + len(coded) > len(self.starts):
-            self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, 2 * len(self.sizes))
-        total = int(sizes.sum())
-        while self.used + total > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.flat[self.used : self.used + total] = np.fromiter((i for c in coded for i in c), np.uint32, total)
-        self.sizes[n : n + len(coded)] = sizes
-        self.starts[n : n + len(coded)] = self.used + np.cumsum(sizes) - sizes
-        self.used += total
-        self.at.update(zip(hashes, range(n, n + len(coded)), strict=True))
+        self.keys = np.zeros(1 << SLOT_BITS, np.uint64)
+        self.sizes = np.zeros(1 << SLOT_BITS, np.int64)
+        self.kept = np.zeros(WIDTH << SLOT_BITS, np.uint32)
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, one after the other, and the rows' offsets among them."""
         start, end, hashes, rows = common.words(data, offsets)
-        distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.at) > KEPT_WORDS:
-            self.forget()
-        keys = distinct.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.at]
-        if new:
+        slot = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        hit = self.keys[slot] == hashes
+        sizes, from_ = self.sizes[slot], slot * WIDTH
+        own = np.zeros(0, np.uint32)
+        if not hit.all():
+            miss = np.flatnonzero(~hit)
+            _, first, which = np.unique(hashes[miss], return_index=True, return_inverse=True)
+            raw = data.tobytes()
+            coded = [e.ids for e in self.tokenizer.encode_batch_fast([raw[start[j] : end[j]].decode("utf-8", "replace") for j in miss[first]], add_special_tokens=False)]
+            own_sizes = np.array([len(c) for c in coded], np.int64)
+            own = np.fromiter((i for c in coded for i in c), np.uint32, int(own_sizes.sum()))
+            own_from = np.cumsum(own_sizes) - own_sizes
+            sizes[miss], from_[miss] = own_sizes[which], own_from[which]
+            short = np.flatnonzero(own_sizes <= WIDTH)
+            to, one = np.unique(slot[miss[first[short]]], return_index=True)
+            new = short[one]
+            self.keys[to], self.sizes[to] = hashes[miss[first[new]]], own_sizes[new]
+            at = np.repeat(to * WIDTH, own_sizes[new]) + _steps(own_sizes[new])
+            self.kept[at] = own[np.repeat(own_from[new], own_sizes[new]) + _steps(own_sizes[new])]
+        index, found = np.repeat(from_, sizes) + _steps(sizes), np.repeat(hit, sizes)
+        ids = np.empty(len(index), np.uint32)
+        ids[~found] = own[index[~found]]
+        # a slot hit above may have been given to a newer word since: those hits are read from the old owner's words below
+        lost = hit & (self.keys[slot] != hashes)
+        if lost.any():
+            gone = np.flatnonzero(lost)
+            _, first, which = np.unique(hashes[gone], return_index=True, return_inverse=True)
             raw = data.tobytes()
-            self._learn([keys[i] for i in new], [raw[start[j] : end[j]].decode("utf-8", "replace") for j in first[new]])
-        known = np.fromiter((self.at[k] for k in keys), np.int64, len(keys))[which]
-        sizes = self.sizes[known]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.starts[known] - ends + sizes, sizes) + np.arange(total)]
-        return ids, np.concatenate([[0], ends])[rows]
+            coded = [e.ids for e in self.tokenizer.encode_batch_fast([raw[start[j] : end[j]].decode("utf-8", "replace") for j in gone[first]], add_special_tokens=False)]
+            flat = np.array([i for w in which for i in coded[w]], np.uint32)
+            again = np.repeat(lost, sizes)
+            ids[again] = flat
+            found &= ~again
+        ids[found] = self.kept[index[found]]
+        return ids, np.concatenate([[0], np.cumsum(sizes)])[rows]
+
+
+def _steps(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... up to each size, one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) - np.repeat(ends - sizes, sizes)
 
 
 @lru_cache(maxsize=4)
