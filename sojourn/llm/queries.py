@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality_rules, sharding
+from . import mixing, packing, quality_model, quality_rules, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_nnls_packing": packing.op2_nnls_packing,
     "op3_hilbert_shards": sharding.op3_hilbert_shards,
     "op4_poisson_mix": mixing.op4_poisson_mix,
+    "op5_attention_quality": quality_model.op5_attention_quality,
     "op6_divergence_rules": quality_rules.op6_divergence_rules,
+    "op8_subword_toxicity": toxicity.op8_subword_toxicity,
 }
 
 
