@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality_model, quality_rules, sharding, toxicity
+from . import mixing, packing, quality_model, quality_rules, sharding, toxicity, vantage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_nnls_packing": packing.op2_nnls_packing,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_poisson_mix": mixing.op4_poisson_mix,
     "op5_attention_quality": quality_model.op5_attention_quality,
     "op6_divergence_rules": quality_rules.op6_divergence_rules,
+    "op7_vantage_trees": vantage.op7_vantage_trees,
     "op8_subword_toxicity": toxicity.op8_subword_toxicity,
 }
 
