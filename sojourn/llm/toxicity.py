@@ -90,21 +90,33 @@ def train(texts, y: np.ndarray, odds: float, dim: int = 4, epochs: int = 100, ra
     """
     if len(set(y.tolist())) < 2:
         return SubwordModel(np.zeros(1), 0.0, odds / (1 + odds))
-    keys, counts, first = [], [], 0
-    for _, _, data, offsets in common.slices(texts):
+    docs, buckets, values, first = [], [], [], 0
+    texts_with = np.zeros(1 << BUCKET_BITS, np.int32)
+    for _, _, data, offsets in common.slices(texts, 1 << 18):
         found, begins = bags(data, offsets)
-        doc = [np.searchsorted(begins, at, "right") - 1 for _, at in found]
-        key = np.concatenate([(d.astype(np.int64) + first << BUCKET_BITS) + b for (b, _), d in zip(found, doc, strict=True)])
+        key = np.concatenate([(np.searchsorted(begins, at, "right") - 1 << BUCKET_BITS) + b for b, at in found])
         key, count = np.unique(key, return_counts=True)
-        keys.append(key)
-        counts.append(count)
+        doc, bucket = key >> BUCKET_BITS, (key & ((1 << BUCKET_BITS) - 1)).astype(np.int32)
+        sizes = np.bincount(doc, count, len(offsets) - 1) + PRIOR
+        texts_with += np.bincount(bucket, minlength=1 << BUCKET_BITS).astype(np.int32)
+        docs.append((doc + first).astype(np.int32))
+        buckets.append(bucket)
+        values.append((count / sizes[doc] * SCALE).astype(np.float32))
         first += len(offsets) - 1
-    key, count = np.concatenate(keys), np.concatenate(counts).astype(np.float32)
-    doc, bucket = (key >> BUCKET_BITS).astype(np.int32), (key & ((1 << BUCKET_BITS) - 1)).astype(np.int32)
-    value = count / (np.bincount(doc, count, len(y)) + PRIOR)[doc].astype(np.float32) * SCALE
-    often = np.bincount(bucket, minlength=1 << BUCKET_BITS) >= MIN_TEXTS
-    doc, bucket, value = (v[often[bucket]] for v in (doc, bucket, value))
-    used, bucket = np.unique(bucket, return_inverse=True)
+    used = np.flatnonzero(texts_with >= MIN_TEXTS)
+    number = np.full(1 << BUCKET_BITS, -1, np.int32)
+    number[used] = np.arange(len(used))
+    often = [number[b] >= 0 for b in buckets]
+    doc = np.concatenate([d[o] for d, o in zip(docs, often, strict=True)])
+    bucket = np.concatenate([number[b[o]] for b, o in zip(buckets, often, strict=True)])
+    value = np.concatenate([v[o] for v, o in zip(values, often, strict=True)])
+    del docs, buckets, values, often
+    parts = [slice(i, i + (1 << 20)) for i in range(0, len(doc), 1 << 20)]
+
+    def fold(to: np.ndarray, size: int, weight) -> np.ndarray:
+        """Sums of weight by to, a part at a time."""
+        return sum((np.bincount(to[p], weight(p), size) for p in parts), np.zeros(size))
+
     random = np.random.Generator(np.random.PCG64(seed))
     vectors, softmax, bias = random.normal(0, 0.02, (dim, len(used))), random.normal(0, 0.5, (dim, 2)), np.zeros(2)
     softmax[:, 0] = -softmax[:, 1]
@@ -113,13 +125,15 @@ def train(texts, y: np.ndarray, odds: float, dim: int = 4, epochs: int = 100, ra
     weigh = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))[:, None] / len(y)
     steps = labelled.Adam([softmax, bias], 0.01)
     for _ in range(epochs):
-        mean = np.stack([np.bincount(doc, v[bucket] * value, len(y)) for v in vectors], 1)
+        mean = np.stack([fold(doc, len(y), lambda p, v=v: v[bucket[p]] * value[p]) for v in vectors], 1)
         logits = mean @ softmax + bias
         p = np.exp(logits - logits.max(1, keepdims=True))
         g = (p / p.sum(1, keepdims=True) - target) * weigh
         back = g @ softmax.T
         for d in range(dim):
-            speed[d] = 0.9 * speed[d] - rate * (np.bincount(bucket, back[doc, d] * value, len(used)) + 1e-5 * vectors[d])
+            own = np.ascontiguousarray(back[:, d])
+            grad = fold(bucket, len(used), lambda p, own=own: own[doc[p]] * value[p])
+            speed[d] = 0.9 * speed[d] - rate * (grad + 1e-5 * vectors[d])
         vectors += speed
         steps.step([mean.T @ g + 1e-4 * softmax, g.sum(0)])
     weight = np.zeros(1 << BUCKET_BITS, np.float32)
