@@ -36,7 +36,8 @@ from . import common
 WINDOW = 35
 ANCHOR = 12
 OFFSETS = WINDOW - ANCHOR + 1
-HEAVY = 4096
+#: Suffixes of one prefix that a bin takes, some ten MB.
+HEAVY = 50_000
 PER_BIN = 20_000
 
 
