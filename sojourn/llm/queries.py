@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality_model, quality_rules, sharding, substrings, toxicity, vantage
+from . import mixing, near_dedup, packing, quality_model, quality_rules, sharding, substrings, toxicity, vantage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_nnls_packing": packing.op2_nnls_packing,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_vantage_trees": vantage.op7_vantage_trees,
     "op8_subword_toxicity": toxicity.op8_subword_toxicity,
     "op9_suffix_trees": substrings.op9_suffix_trees,
+    "op10_lsh_forest": near_dedup.op10_lsh_forest,
 }
 
 
