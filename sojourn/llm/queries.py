@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, near_dedup, packing, quality_model, quality_rules, sharding, substrings, toxicity, vantage
+from . import mixing, near_dedup, ngram, packing, quality_model, quality_rules, sharding, substrings, toxicity, vantage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_elias_fano_bigrams": ngram.op1_elias_fano_bigrams,
     "op2_nnls_packing": packing.op2_nnls_packing,
     "op3_hilbert_shards": sharding.op3_hilbert_shards,
     "op4_poisson_mix": mixing.op4_poisson_mix,
