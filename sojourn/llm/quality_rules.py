@@ -129,7 +129,8 @@ def judged(counted: DataFrame, reference: DataFrame, rules: DivergenceRules = Di
     df = df.withColumn("_x_char_distance", F.when(long_enough & (F.col("_x_n_chars") >= rules.min_chars), js_distance(F.col("_x_chars"), F.col("_x_ref_chars"))))
     df = df.withColumn("_x_word_distance", F.when(long_enough & (F.col("_x_n_words") >= rules.min_words), js_distance(F.col("_x_common"), F.col("_x_ref_common"))))
     bad = F.coalesce(F.col("_x_char_distance") > rules.max_char_distance, F.lit(False)) | F.coalesce(F.col("_x_word_distance") > rules.max_word_distance, F.lit(False))
-    return df.withColumn("_x_kept", ~F.col("_x_base_failed") & ~bad)
+    # one expression over both sides of the join: a part of the left alone would be pushed down, its steps inlined and repeated
+    return df.withColumn("_x_kept", F.when(F.col("_x_base_failed"), False).otherwise(~bad))
 
 
 def apply_quality_rules(docs: DataFrame, rules: DivergenceRules = DivergenceRules()) -> DataFrame:
