@@ -35,10 +35,10 @@ from .elias_fano import Trie
 MODULUS, HELD = 7, 2
 MU = 300.0
 DISCOUNT = 0.75
-PER_SHARD = 4_000_000
-HEAVY = 500_000
+PER_SHARD = 2_500_000
+HEAVY = 300_000
 #: Tokens that a task gathers before it sends them off.
-CHUNK = 3_000_000
+CHUNK = 1_500_000
 
 _MASK = np.uint64((1 << 63) - 1)
 END, BEGIN = np.uint64(1), np.uint64(2)
@@ -180,31 +180,22 @@ def _dealt(docs: DataFrame, shards: int, words: np.ndarray, parts: np.ndarray, p
 ANSWER = "row_key long, n_tokens long, n_known long, base_part double, part double"
 
 
-def _read(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens, contexts, document numbers; keys and held_out of the documents."""
-    token, context, doc, keys, held, base = [], [], [], [], [], 0
-    for r in range(table.num_rows):
-        get = lambda name, kind: np.frombuffer(table[name][r].as_buffer(), kind)  # noqa: B023, E731
-        for values, names, indices in ((token, "token_keys", "tokens"), (context, "context_keys", "contexts")):
-            dictionary = get(names, np.uint64)
-            values.append(dictionary[get(indices, np.uint16 if len(dictionary) <= 1 << 16 else np.uint32)])
-        own = get("docs", np.int64)
-        doc.append(np.repeat(np.arange(base, base + len(own)), get("of_doc", np.uint32)))
-        keys.append(own)
-        held.append(get("held", bool))
-        base += len(own)
-    return tuple(np.concatenate(x) for x in (token, context, doc, keys, held))
-
-
-def build_trie(token: np.ndarray, context: np.ndarray, words: np.ndarray, word_counts: np.ndarray, total: int, mu: float, discount: float) -> bytes:
-    """Trie of the bigrams of training tokens; words with their counts where these are not all here."""
-    order = np.lexsort((context, token))
-    token, context = token[order], context[order]
-    new = np.ones(len(token), bool)
-    new[1:] = (token[1:] != token[:-1]) | (context[1:] != context[:-1])
-    first = np.flatnonzero(new)
-    times = np.diff(np.concatenate([first, [len(token)]]))
-    token, context = token[first], context[first]
+def _read(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """Token and context keys in order; token, context and document number of each occurrence; keys and held_out of the documents."""
+    column = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in table[name]]
+    found = []
+    for names, indices in (("token_keys", "tokens"), ("context_keys", "contexts")):
+        dictionaries = column(names, np.uint64)
+        distinct = np.unique(np.concatenate(dictionaries))
+        coded = [np.searchsorted(distinct, d).astype(np.int32)[np.frombuffer(x.as_buffer(), np.uint16 if len(d) <= 1 << 16 else np.uint32)] for d, x in zip(dictionaries, table[indices], strict=True)]
+        found += [distinct, np.concatenate(coded)]
+    keys, held = np.concatenate(column("docs", np.int64)), np.concatenate(column("held", bool))
+    doc = np.repeat(np.arange(len(keys), dtype=np.int32), np.concatenate(column("of_doc", np.uint32)))
+    return found[0], found[2], found[1], found[3], doc, keys, held
+
+
+def build_trie(token: np.ndarray, context: np.ndarray, times: np.ndarray, words: np.ndarray, word_counts: np.ndarray, total: int, mu: float, discount: float) -> bytes:
+    """Trie of bigrams, sorted and distinct, counted times; words with their counts where these are not all here."""
     distinct, of_token = np.unique(token, return_inverse=True)
     counts = np.bincount(of_token, times, len(distinct)).astype(np.int64)
     if len(words) and len(distinct):
@@ -216,39 +207,39 @@ def build_trie(token: np.ndarray, context: np.ndarray, words: np.ndarray, word_c
 
 
 def _answer(table: pa.Table, words: np.ndarray, word_counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray, total: int, mu: float, discount: float) -> pa.Table:
-    token, context, doc, keys, held = _read(table.combine_chunks())
-    del table
-    train = ~held[doc]
-    pair_times = np.zeros(len(token), np.int64)
+    token_keys, context_keys, token, context, doc, keys, held = _read(table)
+    both = (token.astype(np.int64) << 32) | context
+    del context
+    bigram, of = np.unique(both, return_inverse=True)
+    del both
+    t, c = token_keys[bigram >> 32], context_keys[bigram & 0xFFFFFFFF]
+    times = np.bincount(of[~held[doc]], minlength=len(bigram))
+    heavy = np.zeros(len(bigram), np.int64)
     if len(pairs):
-        pair = pair_key(token, context)
+        pair = pair_key(t, c)
         at = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
-        is_heavy = pairs[at] == pair
-        pair_times[is_heavy] = pair_counts[at[is_heavy]]
-        train &= ~is_heavy
-        del pair, at
-    trie = Trie(build_trie(token[train], context[train], words, word_counts, total, mu, discount))
-    distinct, of = np.unique(token, return_inverse=True)
-    place, count = trie.token_places(distinct)
+        heavy = np.where(pairs[at] == pair, pair_counts[at], 0)
+        times[pairs[at] == pair] = 0
+    seen = np.flatnonzero(times)
+    trie = Trie(build_trie(t[seen], c[seen], times[seen], words, word_counts, total, mu, discount))
+    place, count = trie.token_places(token_keys)
     if len(words):
-        at = np.minimum(np.searchsorted(words, distinct), len(words) - 1)
-        count = np.where(words[at] == distinct, word_counts[at], count)
+        at = np.minimum(np.searchsorted(words, token_keys), len(words) - 1)
+        count = np.where(words[at] == token_keys, word_counts[at], count)
     known = count > 0
     p = np.where(known, (count - discount) / max(total, 1), 1.0)
-    own = np.where(known, np.log10(np.where(known, p, 1.0)), 0.0)
-    as_context = np.where(distinct == END, 0.0, np.log10(mu / (count + mu)))
-    value = trie.values(place[of], context)
-    if len(pairs):
-        value = np.where(pair_times > 0, np.log10(1 + pair_times / (mu * p[of])), value)
+    own = np.log10(p) + np.where(token_keys == END, 0.0, np.log10(mu / (count + mu)))  # as a token, and as the next one's context
+    value = trie.values(place[bigram >> 32], c)
+    value = np.where(heavy > 0, np.log10(1 + heavy / (mu * p[bigram >> 32])), value)
     n = len(keys)
     sums = lambda x: np.bincount(doc, x, n)
     return pa.table(
         {
             "row_key": keys,
             "n_tokens": np.bincount(doc, minlength=n),
-            "n_known": sums(known[of]).astype(np.int64),
-            "base_part": sums(np.log10(count + 1.0)[of]),
-            "part": sums((own + as_context)[of] + value),
+            "n_known": sums(known[token]).astype(np.int64),
+            "base_part": sums(np.log10(count + 1.0)[token]),
+            "part": sums(own[token] + value[of]),
         }
     )
 
