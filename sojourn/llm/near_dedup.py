@@ -8,11 +8,11 @@ of a parted region are candidates with its least node. Candidates whose signatur
 confirmed on their sets, first those of the first order, then those of the others between different
 components.
 
-That leaves links between nodes of one region that were not neighbours. Where a region still holds
-several components, nodes outside its largest one meet all others of the region, block by block,
-on signatures, and pairs of different components that may be similar are confirmed in turn. So no
-link is lost within a region, no task holds a group, and a group of copies emits no pairs once it is
-one component. Two sets of similarity 0.85 share no region with a chance of 8e-6.
+That leaves links between nodes that share a prefix of DEPTH values but were not neighbours. Where
+such a bucket still holds several components, nodes outside its largest one meet all others of the
+bucket, block by block, on their sets, and what links two components is kept. So no link is
+lost within a bucket, no task holds a group, and a group emits no more links than it has nodes. Two
+sets of similarity 0.85 share no bucket with a chance of 8e-6.
 
 Cases: a null text is empty; texts without words have empty sets, link with nothing and are their
 own component; below SHINGLE words the whole sequence is the one shingle; a null doc_id takes
@@ -170,39 +170,67 @@ def _neighbours(members: DataFrame) -> DataFrame:
     return found.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("tree").alias("tree"))
 
 
-def _between(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """a, b: pairs of one bucket and different components, likely on signatures."""
+def _between(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: links between different components of one bucket, enough of them to join what is linked there.
+
+    Per block, an index from items to rows counts the items that a node shares with every row at
+    once; a component joined to the node's is not compared again. Items are halved to 32 bits, which
+    can only add to a count; links found are confirmed on whole items afterwards.
+    """
     spark = members.sparkSession
-    member = members.join(roots.toDF("root_node", "root"), F.col("node") == F.col("root_node"), "left").withColumn("comp", F.coalesce("root", "node"))
-    member = common.stage(member.select("bucket", "node", "comp", "sig"), "members")
+    member = members.join(roots.toDF("root_node", "root"), F.col("node") == F.col("root_node"), "left").select("bucket", "node", F.coalesce("root", "node").alias("comp"))
+    member = common.stage(member, "members")
     per = member.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
     mixed = per.groupBy(F.col("bucket").alias("mixed")).agg(F.sum("c").alias("total"), F.max(F.struct("c", "comp")).alias("major"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
     mixed = mixed.select("mixed", F.col("major.comp").alias("major"), F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("total") - F.col("major.c")) / BLOCK).cast("int").alias("chunks"))
     rows = member.join(mixed, F.col("bucket") == F.col("mixed")).drop("mixed")
     minor = rows.where("comp <> major").withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(1)), "chunks").cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     every = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(2)), "blocks").cast("int")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    columns = ["bucket", "chunk", "block", "node", "comp", "sig"]
+    columns = ["bucket", "chunk", "block", "node", "comp"]
     dealt = minor.select(*columns, F.lit(True).alias("minor")).unionByName(every.select(*columns, F.lit(False).alias("minor")))
     bins = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.withColumn("bin", F.when((F.col("chunk") == 0) & (F.col("block") == 0), F.pmod(F.xxhash64("bucket"), F.lit(16 * bins))).otherwise(F.xxhash64("bucket", "chunk", "block")))
+    dealt = dealt.join(sets.select(F.col("node").alias("set_node"), F.transform("items", lambda x: F.shiftright(x, 32).cast("int")).alias("items")), F.col("node") == F.col("set_node")).drop("set_node")
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         ids = [table[c].to_numpy() for c in ("bucket", "chunk", "block", "node", "comp")]
-        minor, sig = table["minor"].to_numpy(zero_copy_only=False), np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint32).reshape(-1, HASHES)
+        node, comp = ids[3], ids[4]
+        minor, items = table["minor"].to_numpy(zero_copy_only=False), table["items"].combine_chunks()
+        starts, flat = items.offsets.to_numpy(), items.values.to_numpy()
+        sizes = np.diff(starts)
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := parent.get(x, x)) != x:
+                x = up
+            return x
+
         order = np.lexsort((ids[2], ids[1], ids[0]))
         edge = np.flatnonzero(np.any([np.diff(x[order], prepend=x[order][:1] - 1) != 0 for x in ids[:3]], axis=0))
-        out_a, out_b = [], []
+        out: list[tuple[int, int]] = []
         for lo, hi in zip(edge, [*edge[1:], len(order)], strict=True):
             here = order[lo:hi]
             left, right = here[minor[here]], here[~minor[here]]
-            for i in left:
-                other = right[ids[4][right] != ids[4][i]]
-                other = other[(sig[other] == sig[i]).sum(1) >= AGREE]
-                out_a.append(np.full(len(other), ids[3][i]))
-                out_b.append(ids[3][other])
-        none = np.zeros(0, np.int64)
-        return pa.table({"a": np.concatenate([none, *out_a]), "b": np.concatenate([none, *out_b])})
+            if not len(left) or not len(right):
+                continue
+            row = np.repeat(np.arange(len(right)), sizes[right])
+            item = np.concatenate([flat[starts[r] : starts[r + 1]] for r in right])
+            by = np.argsort(item, kind="stable")
+            item, row = item[by], row[by]
+            for i in left.tolist():
+                own = flat[starts[i] : starts[i + 1]]
+                first, last = np.searchsorted(item, own, "left"), np.searchsorted(item, own, "right")
+                spans = last - first
+                at = np.repeat(last - np.cumsum(spans), spans) + np.arange(spans.sum())
+                both = np.bincount(row[at], minlength=len(right))
+                linked = right[(100 * both >= PERCENT * (sizes[i] + sizes[right] - both)) & (comp[right] != comp[i])]
+                for j in linked.tolist():
+                    a, b = root(int(comp[i])), root(int(comp[j]))
+                    if a != b:
+                        parent[max(a, b)] = min(a, b)
+                        out.append((int(node[i]), int(node[j])))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
     found = dealt.groupBy("bin").applyInArrow(run, "a long, b long")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -220,20 +248,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = common.stage(members.join(nodes.select(F.col("node").alias("own"), "sig"), F.col("node") == F.col("own")).drop("own"), "members")
 
     pairs = common.stage(_neighbours(members), "pairs")
-    needed = pairs.select(F.col("a").alias("wanted")).unionAll(pairs.select("b")).distinct()
-    sets = _sets(docs, nodes.join(needed, F.col("node") == F.col("wanted"), "left_semi"))
+    # only nodes that share a bucket can link
+    sets = _sets(docs, nodes.join(members.select(F.col("node").alias("wanted")), F.col("node") == F.col("wanted"), "left_semi"))
     links = common.stage(_confirmed(pairs.where("tree = 0"), sets), "links")
     roots = common.stage(common.components(links), "roots")
     apart = _apart(pairs.where("tree > 0"), roots)
     links = common.stage(links.unionAll(_confirmed(apart, sets)), "links")
     roots = common.stage(common.components(links), "roots")
-
-    more = common.stage(_between(members, roots).join(pairs, ["a", "b"], "left_anti"), "between")
-    if not more.isEmpty():
-        needed = more.select(F.col("a").alias("wanted")).unionAll(more.select("b")).distinct()
-        again = _sets(docs, nodes.join(needed, F.col("node") == F.col("wanted"), "left_semi"))
-        links = common.stage(links.unionAll(_confirmed(more, again)), "links")
-        roots = common.stage(common.components(links), "roots")
+    more = _confirmed(common.stage(_between(members, roots, sets), "between"), sets)
+    roots = common.stage(common.components(links.unionAll(more)), "roots")
 
     rooted = nodes.select("node", "rep").join(roots.toDF("root_node", "root"), F.col("node") == F.col("root_node"), "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     ids = rooted.groupBy(F.col("root").alias("of_root")).agg(F.min("rep").alias("component"))
