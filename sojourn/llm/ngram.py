@@ -35,10 +35,10 @@ from .elias_fano import Trie
 MODULUS, HELD = 7, 2
 MU = 300.0
 DISCOUNT = 0.75
-PER_SHARD = 2_500_000
+PER_SHARD = 2_000_000
 HEAVY = 300_000
 #: Tokens that a task gathers before it sends them off.
-CHUNK = 1_500_000
+CHUNK = 1_250_000
 
 _MASK = np.uint64((1 << 63) - 1)
 END, BEGIN = np.uint64(1), np.uint64(2)
@@ -138,16 +138,16 @@ def _dealt(docs: DataFrame, shards: int, words: np.ndarray, parts: np.ndarray, p
     def requests(token: np.ndarray, context: np.ndarray, row: np.ndarray, keys: np.ndarray, held: np.ndarray) -> pa.RecordBatch:
         shard = deal(token, context, keys[row].view(np.uint64))
         # documents of a chunk follow each other, so order within a shard keeps them together
-        order = np.argsort(shard, kind="stable")
-        token, context, row, shard = token[order], context[order], row[order], shard[order]
-        edge = np.flatnonzero(np.diff(shard, prepend=-1))
+        order = np.argsort(shard, kind="stable").astype(np.int32)
+        edge = np.flatnonzero(np.diff(shard[order], prepend=-1))
         out: list[list] = [[] for _ in range(8)]
         for lo, hi in zip(edge, [*edge[1:], len(shard)], strict=True):
-            in_docs, of_doc = np.unique(row[lo:hi], return_inverse=True)
-            token_keys, t = np.unique(token[lo:hi], return_inverse=True)
-            context_keys, c = np.unique(context[lo:hi], return_inverse=True)
+            here = order[lo:hi]
+            in_docs, of_doc = np.unique(row[here], return_inverse=True)
+            token_keys, t = np.unique(token[here], return_inverse=True)
+            context_keys, c = np.unique(context[here], return_inverse=True)
             narrow = lambda x, n: x.astype(np.uint16 if n <= 1 << 16 else np.uint32).tobytes()
-            fields = [int(shard[lo]), keys[in_docs].tobytes(), held[in_docs].tobytes(), token_keys.tobytes(), narrow(t, len(token_keys)), context_keys.tobytes(), narrow(c, len(context_keys))]
+            fields = [int(shard[here[0]]), keys[in_docs].tobytes(), held[in_docs].tobytes(), token_keys.tobytes(), narrow(t, len(token_keys)), context_keys.tobytes(), narrow(c, len(context_keys))]
             for values, value in zip(out, [*fields, np.bincount(of_doc, minlength=len(in_docs)).astype(np.uint32).tobytes()], strict=True):
                 values.append(value)
         kinds = [pa.int32()] + [pa.binary()] * 7
@@ -158,21 +158,24 @@ def _dealt(docs: DataFrame, shards: int, words: np.ndarray, parts: np.ndarray, p
         size = base = 0
 
         def flush() -> pa.RecordBatch:
-            return requests(*(np.concatenate(x) for x in zip(*held_parts, strict=True)))
+            joined = [np.concatenate(x) for x in zip(*held_parts, strict=True)]
+            held_parts.clear()
+            return requests(*joined)
 
         for batch in batches:
             keys, held = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
             for first, last, data, offsets in common.slices(batch.column(2)):
                 token, context, at = tokens(data, offsets)
-                row = np.repeat(np.arange(base, base + last - first), np.diff(at))
+                row = np.repeat(np.arange(base, base + last - first, dtype=np.int32), np.diff(at))
                 held_parts.append((token, context, row, keys[first:last], held[first:last]))
                 size += len(token)
                 base += last - first
                 if size >= CHUNK:
                     yield flush()
-                    held_parts, size, base = [], 0, 0
+                    size = base = 0
         if held_parts:
             yield flush()
+        pa.default_memory_pool().release_unused()
 
     return docs.select("row_key", "held_out", "text").mapInArrow(run, REQUEST)
 
