@@ -52,20 +52,19 @@ def treatment_episodes(
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    def at_opening(column: str) -> Column:
-        return F.last(F.when(F.col("_opens"), F.col(column)), ignorenulls=True).over(so_far)
-
     past_gap = F.col("fill_date") > F.date_add("_covered_before", gap)
+    # A struct is there at every opening, even if the drug or the provider is not.
+    opening = F.struct(F.col("drug_name").alias("drug"), F.col("provider_id").alias("provider"))
     marked = (
         exposed.withColumn("_covered_before", F.max("covered_date").over(earlier))
         .withColumn("_opens", F.col("_covered_before").isNull() | past_gap)
         .withColumns(
             {
                 "episode_no": F.sum(F.col("_opens").cast("int")).over(so_far),
-                "_drug": at_opening("drug_name"),
-                "_provider": at_opening("provider_id"),
+                "_opening": F.last(F.when(F.col("_opens"), opening), ignorenulls=True).over(so_far),
             }
         )
+        .withColumns({"_drug": F.col("_opening.drug"), "_provider": F.col("_opening.provider")})
     )
     other = F.struct("fill_date", "first_seq", "drug_name")
     since_cover = days_between("fill_date", "_covered_before")
@@ -80,7 +79,7 @@ def treatment_episodes(
         F.least(covered, end).alias("covered_until_date"),
         F.sum("n_fills").alias("n_fills"),
         F.coalesce(F.max(inner_gap), F.lit(0)).cast("bigint").alias("max_refill_gap_days"),
-        F.min(F.when(F.col("drug_name") != F.col("_drug"), other)).alias("_other"),
+        F.min(F.when(~F.col("drug_name").eqNullSafe(F.col("_drug")), other)).alias("_other"),
     )
     return grouped.select(
         "patient_id",

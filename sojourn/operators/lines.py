@@ -1,158 +1,123 @@
 """Lines of therapy: runs of one drug over the full order of a patient's fills.
 
-A run needs every fill in order, so fills cannot be folded to days first. An
-ordinary patient is handled in one window. A patient with very many fills is
-cut along that order into slices, by day and within a day by ``fill_seq``: runs
-are found inside each slice, and runs that meet at a border are joined by a
-window over slice summaries alone, so no task ever holds all fills of such a
-patient, nor of one of its days.
+A run needs every fill in order, so fills cannot be folded to days first. Every
+patient is cut along that order into slices, by day and within a day by
+``fill_seq`` in steps of a fixed width. Fills alike in day, sequence and drug
+fold map-side, so a slice holds at most (width x drugs) rows. Runs are found
+inside each slice, and runs that meet at a border are joined by a window over
+slice summaries alone, so no task ever holds all fills of a patient, nor of one
+of its days. A missing drug is a drug of its own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sojourn.functions.expr import days_between, truth
 from sojourn.params import Params
 
-#: Fills above which a patient is cut into slices.
-SPLIT_ABOVE = 1_000_000
+#: Steps of ``fill_seq`` in one slice of a day.
+SLICE_WIDTH = 4096
 
-#: Slices a day of such a patient is cut into.
-DAY_PARTS = 256
+SLICE = ("patient_id", "day", "part")
 
-RUN_COLUMNS = (
-    "patient_id", "line_no", "drug_name", "line_start_date", "last_fill_date",
-    "covered_date", "n_fills", "next_drug", "next_start_date",
-)
 
+def _drug() -> Column:
+    """The drug wrapped, so that a missing drug and a missing row differ."""
+    return F.struct(F.col("drug_name").alias("name"))
 
-def _runs(rows: DataFrame, group: list[str]) -> DataFrame:
-    """Runs of one drug within a group, numbered from 1, with the run that follows."""
-    in_order = Window.partitionBy(*group).orderBy("fill_date", "fill_seq", "drug_name")
+
+def _sliced_runs(rows: DataFrame) -> DataFrame:
+    """Runs of one drug within a slice, numbered from 1, with the run that follows."""
+    in_order = Window.partitionBy(*SLICE).orderBy("fill_seq", "drug_name")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = F.lag("drug_name").over(in_order)
-    by_run = Window.partitionBy(*group).orderBy("line_no")
+    before = F.lag(_drug()).over(in_order)
+    goes_on = before.isNotNull() & before["name"].eqNullSafe(F.col("drug_name"))
+    by_run = Window.partitionBy(*SLICE).orderBy("line_no")
     return (
-        rows.withColumn("_new", (before.isNull() | (before != F.col("drug_name"))).cast("bigint"))
+        rows.withColumn("_new", (~goes_on).cast("bigint"))
         .withColumn("line_no", F.sum("_new").over(so_far))
-        .groupBy(*group, "line_no", "drug_name")
-        .agg(
-            F.min("fill_date").alias("line_start_date"),
-            F.max("fill_date").alias("last_fill_date"),
-            F.max("covered_date").alias("covered_date"),
-            F.sum("n_fills").alias("n_fills"),
-        )
-        .withColumns(
-            {
-                "next_drug": F.lead("drug_name").over(by_run),
-                "next_start_date": F.lead("line_start_date").over(by_run),
-            }
-        )
+        .groupBy(*SLICE, "line_no", "drug_name")
+        .agg(F.max("covered_date").alias("covered_date"), F.sum("n_fills").alias("n_fills"))
+        .withColumn("next_run", F.lead(F.struct(F.col("drug_name").alias("drug"), F.col("day").alias("start"))).over(by_run))
     )
 
 
-def _joined_runs(rows: DataFrame) -> DataFrame:
-    """Runs of very large patients: per slice first, then joined where slices meet.
-
-    ``rows`` carry the least ``fill_seq`` of their patient and the width of a part.
-    """
-    part = F.floor((F.col("fill_seq") - F.col("_first_seq")) / F.col("_width"))
-    # Fills alike in day, sequence and drug are neighbours, so they can be folded.
-    folded = rows.groupBy(
-        "patient_id",
-        F.col("fill_date").alias("day"),
-        F.coalesce(part, F.lit(-1)).cast("int").alias("part"),
-        "fill_date",
-        "fill_seq",
-        "drug_name",
-    ).agg(F.max("covered_date").alias("covered_date"), F.sum("n_fills").alias("n_fills"))
-    sliced = _runs(folded, ["patient_id", "day", "part"])
+def _joined_runs(sliced: DataFrame) -> DataFrame:
+    """Runs of whole patients, from those of slices joined where slices meet."""
     by_slice = Window.partitionBy("patient_id").orderBy("day", "part")
     prior = by_slice.rowsBetween(Window.unboundedPreceding, -1)
-    meets = truth(F.lag("_last").over(by_slice) == F.col("_first")).cast("bigint")
+    last = F.lag("_last").over(by_slice)
+    meets = (last.isNotNull() & last["name"].eqNullSafe(F.col("_first.name"))).cast("bigint")
     closed = F.coalesce(F.sum(F.col("_runs") - F.col("_meets")).over(prior), F.lit(0))
     # A slice whose first run continues the slice before shares that run's number.
     borders = (
-        sliced.groupBy("patient_id", "day", "part")
+        sliced.groupBy(*SLICE)
         .agg(
             F.max("line_no").alias("_runs"),
-            F.max(F.when(F.col("line_no") == 1, F.col("drug_name"))).alias("_first"),
-            F.max(F.when(F.col("next_drug").isNull(), F.col("drug_name"))).alias("_last"),
+            F.max(F.when(F.col("line_no") == 1, _drug())).alias("_first"),
+            F.max(F.when(F.col("next_run").isNull(), _drug())).alias("_last"),
+            F.sum("n_fills").alias("_fills"),
+            F.max("covered_date").alias("_covered"),
         )
+        # True of every slice. It reads what the other side of the join reads, so that both
+        # share one exchange and the fills are scanned once.
+        .filter((F.col("_fills") > 0) | F.col("_covered").isNotNull())
         .withColumn("_meets", meets)
         .select(
-            "patient_id",
-            "day",
-            "part",
+            *SLICE,
             (closed - F.col("_meets")).alias("_offset"),
-            F.lead("_first").over(by_slice).alias("_border_drug"),
-            F.lead("day").over(by_slice).alias("_border_date"),
+            F.lead(F.struct(F.col("_first.name").alias("drug"), F.col("day").alias("start"))).over(by_slice).alias("_border"),
         )
     )
-    next_drug = F.coalesce("next_drug", "_border_drug")
-    next_start = F.coalesce("next_start_date", "_border_date")
-    goes_on = truth(next_drug == F.col("drug_name"))
+    following = F.coalesce("next_run", "_border")
+    goes_on = following.isNotNull() & following["drug"].eqNullSafe(F.col("drug_name"))
     return (
-        sliced.join(borders, ["patient_id", "day", "part"])
+        sliced.join(borders, list(SLICE))
         .withColumn("line_no", F.col("_offset") + F.col("line_no"))
-        .withColumn("next_start_date", F.when(~goes_on, next_start))
-        .withColumn("next_drug", F.when(~goes_on, next_drug))
+        .withColumn("next_run", F.when(~goes_on, following))
         .groupBy("patient_id", "line_no", "drug_name")
         .agg(
-            F.min("line_start_date").alias("line_start_date"),
-            F.max("last_fill_date").alias("last_fill_date"),
+            F.min("day").alias("line_start_date"),
+            F.max("day").alias("last_fill_date"),
             F.max("covered_date").alias("covered_date"),
             F.sum("n_fills").alias("n_fills"),
-            F.max("next_drug").alias("next_drug"),
-            F.max("next_start_date").alias("next_start_date"),
+            F.max("next_run").alias("next_run"),
         )
     )
 
 
 def lines_of_therapy(
     fills: DataFrame, index: DataFrame, params: Params, index_date: str = "index_date",
-    split_above: int = SPLIT_ABOVE,
+    slice_width: int = SLICE_WIDTH,
 ) -> DataFrame:
     """One row per line: drug, span, fills, and the switch to the next line if there is one.
 
     A line ends where the next fill is of another drug. It is a switch when the
-    next line starts within the switch window after coverage. At most
-    (all fills / split_above) patients are large, which bounds what is
-    broadcast; without any, that branch is empty and costs nothing.
+    next line starts within the switch window after coverage. ``slice_width``
+    moves no result; fills without ``fill_seq`` come first in their day.
     """
     end = F.lit(params.observation_end_date)
     supply = F.coalesce(F.col("days_supply"), F.lit(params.days_supply)).cast("int")
-    within = fills.filter(F.col("fill_date") < end)
-    rows = within.select(
-        "patient_id", "fill_date", "fill_seq", "drug_name",
-        F.date_add("fill_date", supply).alias("covered_date"), F.lit(1).cast("bigint").alias("n_fills"),
-    )
     anchors = index.select("patient_id", F.col(index_date).alias("_index"))
-    large = (
-        within.groupBy("patient_id")
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min("fill_seq").alias("_first_seq"),
-            F.ceil((F.max("fill_seq") - F.min("fill_seq") + 1) / DAY_PARTS).alias("_width"),
-        )
-        .filter(F.col("_n") > split_above)
-        .drop("_n")
-    )
-    on_or_after = F.col("fill_date") >= F.col("_index")
-    ordinary = (
-        rows.join(F.broadcast(large.select("patient_id")), "patient_id", "left_anti")
+    exposed = (
+        fills.filter(F.col("fill_date") < end)
         .join(anchors, "patient_id")
-        .filter(on_or_after)
-    )
-    split = rows.join(F.broadcast(anchors.join(large, "patient_id")), "patient_id").filter(on_or_after)
-    runs = _runs(ordinary, ["patient_id"]).select(*RUN_COLUMNS).unionByName(
-        _joined_runs(split).select(*RUN_COLUMNS)
+        .filter(F.col("fill_date") >= F.col("_index"))
     )
+    part = F.floor(F.col("fill_seq") / slice_width)
+    folded = exposed.groupBy(
+        "patient_id",
+        F.col("fill_date").alias("day"),
+        F.coalesce(part, F.lit(-(2**62))).alias("part"),
+        "fill_seq",
+        "drug_name",
+    ).agg(F.max(F.date_add("fill_date", supply)).alias("covered_date"), F.count(F.lit(1)).alias("n_fills"))
+    runs = _joined_runs(_sliced_runs(folded))
 
     covered_until = F.least(F.col("covered_date"), end)
-    in_time = F.col("next_start_date") <= F.date_add("covered_until_date", params.switch_window_days)
+    in_time = F.col("next_run.start") <= F.date_add("covered_until_date", params.switch_window_days)
     switch = F.col("switch_flag")
     return (
         runs.withColumn("covered_until_date", covered_until)
@@ -166,9 +131,9 @@ def lines_of_therapy(
             "covered_until_date",
             "n_fills",
             "switch_flag",
-            F.when(switch, F.col("next_start_date")).alias("switch_date"),
+            F.when(switch, F.col("next_run.start")).alias("switch_date"),
             F.when(switch, F.col("drug_name")).alias("previous_drug"),
-            F.when(switch, F.col("next_drug")).alias("switched_to_drug"),
-            F.when(switch, days_between("next_start_date", "line_start_date")).alias("days_to_switch"),
+            F.when(switch, F.col("next_run.drug")).alias("switched_to_drug"),
+            F.when(switch, days_between("next_run.start", "line_start_date")).alias("days_to_switch"),
         )
     )

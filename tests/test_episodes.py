@@ -141,18 +141,23 @@ def test_refill_calendar_lists_every_supply_period(spark):
 def random_fills(spark, seed=3):
     """One patient holds half of all fills, with many on one day."""
     rng = random.Random(seed)
-    drugs = ["ADT", "docetaxel", "enzalutamide"]
+    drugs = ["ADT", "docetaxel", "enzalutamide", None]
     rows = [("hot", day(rng.choice([5, 5, 6, rng.randrange(0, 900)])), i, rng.choice(drugs)) for i in range(400)]
     rows += [(f"p{rng.randrange(40)}", day(rng.randrange(0, 900)), 400 + i, rng.choice(drugs)) for i in range(400)]
     made = [(p, d, rng.randrange(3), drug, seq, rng.choice([10, 30, 90])) for p, d, seq, drug in rows]
     return made
 
 
+def in_order(row):
+    """Day, sequence, drug; a missing one comes first."""
+    return row[1], row[2] is not None, row[2] or 0, row[3] is not None, row[3] or ""
+
+
 def brute_episodes(rows):
     out = set()
     for patient in {r[0] for r in rows}:
         covered, number, current = None, 0, None
-        for r in sorted((r for r in rows if r[0] == patient), key=lambda r: (r[1], r[2], r[3])):
+        for r in sorted((r for r in rows if r[0] == patient), key=in_order):
             if covered is None or (r[1] - covered).days > PARAMS.allowable_gap_days:
                 if current:
                     out.add(tuple(current))
@@ -193,7 +198,7 @@ def brute_lines(rows):
     out = set()
     for patient in {r[0] for r in rows}:
         lines = []
-        for r in sorted((r for r in rows if r[0] == patient), key=lambda r: (r[1], r[2], r[3])):
+        for r in sorted((r for r in rows if r[0] == patient), key=in_order):
             ends = r[1] + dt.timedelta(days=r[5])
             if lines and lines[-1]["drug"] == r[3]:
                 line = lines[-1]
@@ -211,28 +216,52 @@ def brute_lines(rows):
     return out
 
 
-@pytest.mark.parametrize("split_above", [10**6, 50, 0])
-def test_lines_equal_brute_force_whole_or_cut_into_days(spark, split_above):
-    rows = random_fills(spark, seed=8)
+def lines_of(spark, rows, **options):
     patients = sorted({r[0] for r in rows})
     got = lines_of_therapy(
-        spark.createDataFrame(rows, FILL).repartition(3), index(spark, *patients), PARAMS, split_above=split_above
+        spark.createDataFrame(rows, FILL).repartition(3), index(spark, *patients), PARAMS, **options
     ).collect()
     names = (
         "patient_id", "line_no", "drug_name", "line_start_date", "last_fill_date", "covered_until_date", "n_fills",
         "switch_flag", "switch_date", "switched_to_drug",
     )
-    assert {tuple(r[n] for n in names) for r in got} == brute_lines(rows)
+    assert len(got) == len({(r["patient_id"], r["line_no"]) for r in got})
+    return {tuple(r[n] for n in names) for r in got}
+
+
+@pytest.mark.parametrize("width", [4096, 2, 1])
+def test_lines_equal_brute_force_for_any_slices(spark, width):
+    rows = random_fills(spark, seed=8)
+    assert lines_of(spark, rows, slice_width=width) == brute_lines(rows)
+
 
+def test_missing_drugs_are_lines_of_their_own(spark):
+    rows = [("p", day(10 * i), i, drug, 1, 30) for i, drug in enumerate(["ADT", None, "ADT", None, "docetaxel"])]
+    got = lines_of(spark, rows)
+    assert sorted(r[1] for r in got) == [1, 2, 3, 4, 5] and got == brute_lines(rows)
 
-def test_one_day_holding_most_fills_is_cut_too(spark):
+
+def test_hot_patient_and_hot_day_with_a_sequence_that_grows_with_the_date(spark):
     rng = random.Random(5)
-    rows = [("hot", day(5), rng.choice([None, rng.randrange(10**6)]), rng.choice(["ADT", "docetaxel"]), 1, 30) for _ in range(600)]
-    rows += [("hot", day(n), n, "ADT", 1, 30) for n in range(0, 40, 4)]
-    df = spark.createDataFrame(rows, FILL).repartition(3)
-    whole = lines_of_therapy(df, index(spark, "hot"), PARAMS).collect()
-    cut = lines_of_therapy(df, index(spark, "hot"), PARAMS, split_above=10).collect()
-    assert sorted(map(str, whole)) == sorted(map(str, cut)) and len(whole) > 100
+    rows = [("hot", day(5 + i // 300), 7 * i, rng.choice(["ADT", "docetaxel", None]), 1, 30) for i in range(900)]
+    rows += [("hot", day(5), rng.choice([None, rng.randrange(10**6)]), "ADT", 1, 30) for _ in range(300)]
+    want = brute_lines(rows)
+    assert len(want) > 100 and lines_of(spark, rows, slice_width=16) == want
+
+
+def test_lines_scan_fills_once(spark, tmp_path):
+    rows = random_fills(spark)
+    spark.createDataFrame(rows, FILL).write.parquet(f"{tmp_path}/fills")
+    df = lines_of_therapy(spark.read.parquet(f"{tmp_path}/fills"), index(spark, *sorted({r[0] for r in rows})), PARAMS)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1
+
+
+def test_opening_fill_without_drug_or_provider(spark):
+    made = [("p", day(0), 1, "ADT", 9, 30), ("p", day(300), 2, None, None, 30), ("p", day(310), 3, "docetaxel", 7, 30)]
+    got = E.treatment_episodes(spark.createDataFrame(made, FILL), index(spark), PARAMS).orderBy("episode_no").collect()
+    assert [(r["drug_name"], r["provider_id"], r["other_drug"]) for r in got] == [("ADT", 9, None), (None, None, "docetaxel")]
 
 
 def test_switch_window_is_inclusive(spark):
