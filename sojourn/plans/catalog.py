@@ -244,8 +244,7 @@ def match_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    return serving.table_fingerprint(roles.read(spark, sf_dir, "customer"), columns)
+    return serving.table_fingerprint(roles.read(spark, sf_dir, "customer"))
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,6 +261,26 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.load_published(spark, gold, ["patient"])["patient"]
 
 
+def publish_held(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that its gate holds back: the rule results it left, and whether readers see it."""
+    gold = files.new_stage(spark)
+    try:
+        publish.publish(spark, roles.observed(spark, sf_dir), BOUND, gold)
+    except quality.CriticalQualityFailure:
+        pass
+    results = publish.load_quality_reports(spark, gold)
+    return results.withColumn("published", F.lit(publish.has_published(spark, gold)))
+
+
+def sql_top_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest gaps, asked of the registered views in SQL."""
+    serving.register_tables({"patient_journey": journey(spark, sf_dir)})
+    return spark.sql(
+        "SELECT * FROM vw_treatment_gap_by_segment ORDER BY treatment_gap DESC, care_setting, "
+        "provider_specialty, region, age_group, comorbidity_group LIMIT 20"
+    )
+
+
 def _hold_nothing(results: DataFrame) -> None:
     """These tables bind fills after death, which the gate would hold back."""
 
@@ -331,4 +350,6 @@ QUERIES: dict[str, Query] = {
     "table_fingerprint": table_fingerprint,
     "csv_roundtrip": csv_roundtrip,
     "publish_roundtrip": publish_roundtrip,
+    "publish_held": publish_held,
+    "sql_top_segments": sql_top_segments,
 }

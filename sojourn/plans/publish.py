@@ -220,15 +220,14 @@ def write_cohort_report(journey: DataFrame, params: Params, directory: str) -> N
 
 
 def fingerprints(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Row count and content hash per table, to compare runs. Doubles are left out of the hash."""
+    """Row count and hash of every column, per table, to compare runs."""
     prints: DataFrame | None = None
     for name, df in tables.items():
-        columns = [column for column, kind in df.dtypes if kind != "double"]
-        row = table_fingerprint(df, columns).withColumn("table_name", F.lit(name))
+        row = table_fingerprint(df).withColumn("table_name", F.lit(name))
         prints = row if prints is None else prints.unionByName(row)
     if prints is None:
         raise ValueError("fingerprints needs at least one table")
-    return prints.select("table_name", "n_rows", "fingerprint")
+    return prints.select("table_name", "n_rows", "fingerprint", "fingerprint_low")
 
 
 def audit(
@@ -264,6 +263,20 @@ def publish(
     return run
 
 
+RULE_RESULT = "rule string, severity string, status string, failure_count bigint, detail string"
+
+
+def load_quality_reports(spark: SparkSession, gold: str) -> DataFrame:
+    """Rule results of every run in ``gold``, held back or not."""
+    return spark.read.schema(RULE_RESULT).json(f"{gold}/runs/*/reports/data_quality_summary.json")
+
+
+def has_published(spark: SparkSession, gold: str) -> bool:
+    """Whether readers of ``gold`` see any run."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{gold}/published")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def load_published(
     spark: SparkSession, gold: str, names: Iterable[str] = TABLES
 ) -> dict[str, DataFrame]:

@@ -134,22 +134,42 @@ def missingness(df: DataFrame) -> DataFrame:
     return counts.unpivot([], counts.columns, "column_name", "missing")
 
 
-def row_text(columns: Sequence[str]) -> Column:
-    """Null-safe text of a row for hashing. Use keys, strings, dates, flags and integers."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]
-    return F.concat_ws("|", *parts)
+def exact_text(df: DataFrame, column: str) -> Column:
+    """Text that two values share only if they are equal. Doubles go by their exact decimal digits."""
+    text = F.col(column).cast("string")
+    if dict(df.dtypes)[column] in ("double", "float"):
+        return F.coalesce(text.try_cast("decimal(38,18)").cast("string"), text)
+    return text
+
+
+def row_text(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Text of a row for hashing: each value with its length before it, a missing one told apart."""
+    parts = []
+    for column in columns:
+        text = exact_text(df, column)
+        sized = F.concat(F.lit("v"), F.octet_length(text).cast("string"), F.lit(":"), text)
+        parts.append(F.coalesce(sized, F.lit("n")))
+    return F.concat(*parts)
 
 
 FINGERPRINT_MODULUS = 2**61 - 1
 
 
-def table_fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Row count and content hash that ignore row, file and partition order."""
-    digest = hex_to_long(F.md5(row_text(columns)), 15).cast("decimal(20,0)")
-    total = F.coalesce(F.sum(digest), F.lit(0).cast("decimal(30,0)"))
+def table_fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Row count and content hash of all columns, or those named, whatever the order of rows, files and partitions.
+
+    Both halves of each row's digest are summed, each into a number of its own.
+    """
+    digest = F.md5(row_text(df, columns or df.columns))
+    halves = {"fingerprint": F.substring(digest, 1, 16), "fingerprint_low": F.substring(digest, 17, 16)}
+    zero = F.lit(0).cast("decimal(38,0)")
+
+    def summed(half: Column) -> Column:
+        total = F.coalesce(F.sum(F.conv(half, 16, 10).cast("decimal(20,0)")), zero)
+        return F.pmod(total, F.lit(FINGERPRINT_MODULUS).cast("decimal(38,0)")).cast("bigint")
+
     return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.pmod(total, F.lit(FINGERPRINT_MODULUS).cast("decimal(30,0)")).cast("bigint").alias("fingerprint"),
+        F.count(F.lit(1)).alias("n_rows"), *[summed(half).alias(name) for name, half in halves.items()]
     )
 
 

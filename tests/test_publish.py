@@ -131,6 +131,17 @@ def test_fingerprint_ignores_order_and_notices_changes(spark):
     assert serving.table_fingerprint(df.limit(0), columns).first()["n_rows"] == 0
 
 
+def test_fingerprint_tells_like_rows_apart(spark):
+    def prints(*rows):
+        frame = spark.createDataFrame(list(rows), "a string, b string, x double")
+        return serving.table_fingerprint(frame).first()
+
+    rows = [("a|b", "c", 1.0), ("a", "b|c", 1.0), (None, "c", 1.0), ("\\N", "c", 1.0), ("", "c", 1.0), ("a", "b|c", 2.0), ("a", "b|c", None)]
+    rows += [("a", "b|c", 1.0000000000000002), ("a", "b|c", float("nan")), ("a", "b|c", float("inf")), ("a", "b|c", 1e300)]
+    assert len({prints(r) for r in rows}) == len(rows)
+    assert prints(rows[0], rows[1]) == prints(rows[1], rows[0]) != prints(rows[0], rows[0])
+
+
 def test_params_are_checked():
     with pytest.raises(ValueError):
         Params(target_cohort_size=0)
