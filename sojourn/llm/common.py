@@ -5,8 +5,10 @@ Working columns carry the prefix ``_x_`` so that they never clash with columns o
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,7 +51,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, once a context, wherever they were started."""
+    context = spark.sparkContext
+    if getattr(context, "_sojourn_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = os.path.join(tempfile.mkdtemp(prefix="sojourn-"), "sojourn.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in os.walk(os.path.join(root, "sojourn")):
+            for name in names:
+                if name.endswith(".py"):
+                    archive.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), root))
+    context.addPyFile(path)
+    context._sojourn_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -113,6 +132,9 @@ def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([root(n) for n in nodes], pa.int64())], names=["a", "b"])
 
 
+#: Edges that one task may fold by itself.
+FEW_EDGES = 1_000_000
+
 EDGE = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
@@ -121,12 +143,16 @@ def components(edges: DataFrame) -> DataFrame:
 
     Edges are folded per task, then large-star and small-star steps alternate until nothing
     changes (Kiveris et al. 2014). A step moves each edge once; the fold of the neighbourhood
-    is a minimum, so a hub's edges are not gathered.
+    is a minimum, so a hub's edges are not gathered. As soon as no more than FEW_EDGES are left,
+    some 16 MB, one task folds them instead, to the same answer.
     """
     edges = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")
-    state = stage(edges.mapInArrow(_local_stars, EDGE).distinct(), "edges")
+    state = stage(edges.mapInArrow(_local_stars, EDGE), "edges")
     mark = None
     while True:
+        if state.count() <= FEW_EDGES:
+            state = stage(state.coalesce(1).mapInArrow(_local_stars, EDGE), "edges")
+            break
         both = state.unionAll(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, F.col("a") == F.col("n")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()

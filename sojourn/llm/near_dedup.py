@@ -5,8 +5,7 @@ rotated further; nodes that share DEPTH values in an order share a region. A reg
 REGION nodes is parted by a longer prefix, as deep as it takes. In each region, nodes are sorted by
 the rest of the signature and neighbours, whose common prefix is longest, are candidates; the heads
 of a parted region are candidates with its least node. Candidates whose signatures agree enough are
-confirmed on their sets, first those of the first order, then those of the others between different
-components.
+confirmed on their sets.
 
 That leaves links between nodes that share a prefix of DEPTH values but were not neighbours. Where
 such a bucket still holds several components, nodes outside its largest one meet all others of the
@@ -150,15 +149,13 @@ def _neighbours(members: DataFrame) -> DataFrame:
     rest = F.substring(F.concat("sig", "sig"), F.col("tree") * 4 * DEPTH + 1 + 4 * DEPTH, F.lit(4 * (HASHES - DEPTH)))
     members = members.withColumn("rest", rest)
     regions = members.where(F.col("size") <= REGION).withColumn("region", F.col("bucket"))
+    # a larger bucket is parted by a longer prefix, and what is alike to that depth by hash
     heavy = members.where(F.col("size") > REGION)
-    for depth in (2 * DEPTH, 4 * DEPTH, HASHES):
-        deeper = heavy.withColumn("region", _prefix(depth))
-        counts = deeper.groupBy(F.col("region").alias("r")).agg(F.count(F.lit(1)).alias("c"))
-        deeper = deeper.join(counts, F.col("region") == F.col("r")).drop("r")
-        regions = regions.unionByName(deeper.where(F.col("c") <= REGION).drop("c"))
-        heavy = deeper.where(F.col("c") > REGION).drop("c", "region")
-    # signatures alike to the end: any parting serves
-    regions = regions.unionByName(heavy.withColumn("region", F.xxhash64("bucket", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / REGION)))))
+    deep = F.when(F.col("size") > REGION * REGION, _prefix(HASHES)).when(F.col("size") > 8 * REGION, _prefix(4 * DEPTH)).otherwise(_prefix(2 * DEPTH))
+    heavy = heavy.withColumn("deep", deep)
+    alike = heavy.groupBy(F.col("deep").alias("of_deep")).agg(F.ceil(F.count(F.lit(1)) / REGION).alias("parts"))
+    heavy = heavy.join(alike, F.col("deep") == F.col("of_deep")).withColumn("region", F.xxhash64("deep", F.pmod(F.xxhash64("node"), "parts")))
+    regions = regions.unionByName(heavy.drop("deep", "of_deep", "parts"))
     order = Window.partitionBy("region", "tree", "bucket").orderBy("rest", "node")
     sorted_ = regions.withColumns({"b": F.lag("node").over(order), "b_sig": F.lag("sig").over(order)})
     near = sorted_.where("b IS NOT NULL").select(F.col("node").alias("a"), "b", "tree", F.col("sig").alias("a_sig"), "b_sig")
@@ -250,10 +247,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = common.stage(_neighbours(members), "pairs")
     # only nodes that share a bucket can link
     sets = _sets(docs, nodes.join(members.select(F.col("node").alias("wanted")), F.col("node") == F.col("wanted"), "left_semi"))
-    links = common.stage(_confirmed(pairs.where("tree = 0"), sets), "links")
-    roots = common.stage(common.components(links), "roots")
-    apart = _apart(pairs.where("tree > 0"), roots)
-    links = common.stage(links.unionAll(_confirmed(apart, sets)), "links")
+    links = common.stage(_confirmed(pairs, sets), "links")
     roots = common.stage(common.components(links), "roots")
     more = _confirmed(common.stage(_between(members, roots, sets), "between"), sets)
     roots = common.stage(common.components(links.unionAll(more)), "roots")
@@ -266,13 +260,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "key")
 
 
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs whose ends lie in different components."""
-    a, b = roots.toDF("a_node", "a_root"), roots.toDF("b_node", "b_root")
-    joined = pairs.join(a, F.col("a") == F.col("a_node"), "left").join(b, F.col("b") == F.col("b_node"), "left")
-    return joined.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
-
-
 def deduplicate(docs: DataFrame) -> DataFrame:
     """docs without near-duplicates: of each component the row with its id, once; all columns as they were.
 
