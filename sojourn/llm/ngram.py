@@ -41,6 +41,8 @@ HEAVY = 300_000
 CHUNK = 1_250_000
 
 _MASK = np.uint64((1 << 63) - 1)
+#: Contexts go by 48 bits: they only have to differ among those of one token.
+_NARROW = np.uint64((1 << 48) - 1)
 END, BEGIN = np.uint64(1), np.uint64(2)
 
 
@@ -55,7 +57,7 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     word[at[1:] - 1] = False
     out[word] = np.maximum(hashes & _MASK, np.uint64(3))
     context = np.empty_like(out)
-    context[1:] = out[:-1]
+    context[1:] = np.maximum(out[:-1] & _NARROW, np.uint64(3))
     context[at[:-1]] = BEGIN
     return out, context, at
 
@@ -106,7 +108,7 @@ def _heavy_pairs(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
             held = batch.column(0).to_numpy(zero_copy_only=False)
             for first, last, data, offsets in common.slices(batch.column(1)):
                 token, context, at = tokens(data, offsets)
-                use = np.isin(token, heavy) & (np.isin(context, heavy) | (context == BEGIN))
+                use = np.isin(token, heavy) & (np.isin(context, heavy & _NARROW) | (context == BEGIN))
                 out = np.repeat(held[first:last], np.diff(at))[use]
                 pair, which = np.unique(pair_key(token[use], context[use]), return_inverse=True)
                 n = np.bincount(which, minlength=len(pair))
@@ -116,7 +118,7 @@ def _heavy_pairs(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
     return docs.select("held_out", "text").mapInArrow(run, "pair long, n long, n_train long").groupBy("pair").agg(F.sum("n").alias("n"), F.sum("n_train").alias("n_train"))
 
 
-REQUEST = "shard int, docs binary, held binary, token_keys binary, tokens binary, context_keys binary, contexts binary, of_doc binary"
+REQUEST = "shard int, chunk long, docs binary, counts binary, held binary, token_keys binary, tokens binary, contexts binary, keys binary, sizes binary"
 
 
 def _dealt(docs: DataFrame, shards: int, words: np.ndarray, parts: np.ndarray, pairs: np.ndarray) -> DataFrame:
@@ -140,17 +142,21 @@ def _dealt(docs: DataFrame, shards: int, words: np.ndarray, parts: np.ndarray, p
         # documents of a chunk follow each other, so order within a shard keeps them together
         order = np.argsort(shard, kind="stable").astype(np.int32)
         edge = np.flatnonzero(np.diff(shard[order], prepend=-1))
-        out: list[list] = [[] for _ in range(8)]
+        numbered = keys.view(np.uint64) + np.arange(len(keys), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        chunk = int(common.mix(numbered).sum() >> np.uint64(1))  # alike only for chunks of the same documents
+        sizes = np.bincount(row, minlength=len(keys)).astype(np.uint32)
+        out: list[list] = [[] for _ in range(10)]
         for lo, hi in zip(edge, [*edge[1:], len(shard)], strict=True):
             here = order[lo:hi]
-            in_docs, of_doc = np.unique(row[here], return_inverse=True)
+            in_docs, counts = np.unique(row[here], return_counts=True)
             token_keys, t = np.unique(token[here], return_inverse=True)
-            context_keys, c = np.unique(context[here], return_inverse=True)
-            narrow = lambda x, n: x.astype(np.uint16 if n <= 1 << 16 else np.uint32).tobytes()
-            fields = [int(shard[here[0]]), keys[in_docs].tobytes(), held[in_docs].tobytes(), token_keys.tobytes(), narrow(t, len(token_keys)), context_keys.tobytes(), narrow(c, len(context_keys))]
-            for values, value in zip(out, [*fields, np.bincount(of_doc, minlength=len(in_docs)).astype(np.uint32).tobytes()], strict=True):
+            narrow = context[here].view(np.uint8).reshape(-1, 8)[:, :6]
+            fields = [int(shard[here[0]]), chunk, in_docs.astype(np.uint32).tobytes(), counts.astype(np.uint32).tobytes(), np.packbits(held[in_docs]).tobytes()]
+            fields += [token_keys.tobytes(), t.astype(np.uint16 if len(token_keys) <= 1 << 16 else np.uint32).tobytes(), narrow.tobytes()]
+            # one of the chunk's requests carries its documents' keys and sizes
+            for values, value in zip(out, [*fields, *((None, None) if lo else (keys.tobytes(), sizes.tobytes()))], strict=True):
                 values.append(value)
-        kinds = [pa.int32()] + [pa.binary()] * 7
+        kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 8
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=[f.split()[0] for f in REQUEST.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,21 +186,23 @@ def _dealt(docs: DataFrame, shards: int, words: np.ndarray, parts: np.ndarray, p
     return docs.select("row_key", "held_out", "text").mapInArrow(run, REQUEST)
 
 
-ANSWER = "row_key long, n_tokens long, n_known long, base_part double, part double"
+ANSWER = "chunk long, docs binary, known binary, base binary, parts binary, keys binary, sizes binary"
 
 
 def _read(table: pa.Table) -> tuple[np.ndarray, ...]:
-    """Token and context keys in order; token, context and document number of each occurrence; keys and held_out of the documents."""
+    """Token keys in order; token, context and entry of each occurrence; held_out of the entries, one for each document of each request."""
     column = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in table[name]]
-    found = []
-    for names, indices in (("token_keys", "tokens"), ("context_keys", "contexts")):
-        dictionaries = column(names, np.uint64)
-        distinct = np.unique(np.concatenate(dictionaries))
-        coded = [np.searchsorted(distinct, d).astype(np.int32)[np.frombuffer(x.as_buffer(), np.uint16 if len(d) <= 1 << 16 else np.uint32)] for d, x in zip(dictionaries, table[indices], strict=True)]
-        found += [distinct, np.concatenate(coded)]
-    keys, held = np.concatenate(column("docs", np.int64)), np.concatenate(column("held", bool))
-    doc = np.repeat(np.arange(len(keys), dtype=np.int32), np.concatenate(column("of_doc", np.uint32)))
-    return found[0], found[2], found[1], found[3], doc, keys, held
+    dictionaries = column("token_keys", np.uint64)
+    keys = np.unique(np.concatenate(dictionaries))
+    token = np.concatenate([np.searchsorted(keys, d).astype(np.int32)[np.frombuffer(x.as_buffer(), np.uint16 if len(d) <= 1 << 16 else np.uint32)] for d, x in zip(dictionaries, table["tokens"], strict=True)])
+    raw = np.concatenate(column("contexts", np.uint8)).reshape(-1, 6)
+    context = np.zeros((len(raw), 8), np.uint8)
+    context[:, :6] = raw
+    counts = column("counts", np.uint32)
+    held = np.concatenate([np.unpackbits(h, count=len(n)) for h, n in zip(column("held", np.uint8), counts, strict=True)]).astype(bool)
+    counts = np.concatenate(counts)
+    entry = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+    return keys, token, context.view(np.uint64).ravel(), entry, held
 
 
 def build_trie(token: np.ndarray, context: np.ndarray, times: np.ndarray, words: np.ndarray, word_counts: np.ndarray, total: int, mu: float, discount: float) -> bytes:
@@ -210,14 +218,17 @@ def build_trie(token: np.ndarray, context: np.ndarray, times: np.ndarray, words:
 
 
 def _answer(table: pa.Table, words: np.ndarray, word_counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray, total: int, mu: float, discount: float) -> pa.Table:
-    token_keys, context_keys, token, context, doc, keys, held = _read(table)
-    both = (token.astype(np.int64) << 32) | context
-    del context
-    bigram, of = np.unique(both, return_inverse=True)
-    del both
-    t, c = token_keys[bigram >> 32], context_keys[bigram & 0xFFFFFFFF]
-    times = np.bincount(of[~held[doc]], minlength=len(bigram))
-    heavy = np.zeros(len(bigram), np.int64)
+    token_keys, token, context, doc, held = _read(table)
+    order = np.lexsort((context, token))
+    new = np.ones(len(order), bool)
+    new[1:] = (token[order[1:]] != token[order[:-1]]) | (context[order[1:]] != context[order[:-1]])
+    of = np.empty(len(order), np.int32)
+    of[order] = np.cumsum(new) - 1
+    place_of, c = token[order[new]], context[order[new]]
+    t = token_keys[place_of]
+    del order, new, context
+    times = np.bincount(of[~held[doc]], minlength=len(t))
+    heavy = np.zeros(len(t), np.int64)
     if len(pairs):
         pair = pair_key(t, c)
         at = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
@@ -232,19 +243,28 @@ def _answer(table: pa.Table, words: np.ndarray, word_counts: np.ndarray, pairs:
     known = count > 0
     p = np.where(known, (count - discount) / max(total, 1), 1.0)
     own = np.log10(p) + np.where(token_keys == END, 0.0, np.log10(mu / (count + mu)))  # as a token, and as the next one's context
-    value = trie.values(place[bigram >> 32], c)
-    value = np.where(heavy > 0, np.log10(1 + heavy / (mu * p[bigram >> 32])), value)
-    n = len(keys)
-    sums = lambda x: np.bincount(doc, x, n)
-    return pa.table(
-        {
-            "row_key": keys,
-            "n_tokens": np.bincount(doc, minlength=n),
-            "n_known": sums(known[token]).astype(np.int64),
-            "base_part": sums(np.log10(count + 1.0)[token]),
-            "part": sums(own[token] + value[of]),
-        }
-    )
+    value = trie.values(place[place_of], c)
+    value = np.where(heavy > 0, np.log10(1 + heavy / (mu * p[place_of])), value)
+    sums = lambda x: np.bincount(doc, x, len(held))
+    edge = np.concatenate([[0], np.cumsum([len(x.as_buffer()) // 4 for x in table["counts"]])])
+    cut = lambda x: pa.array([x[i:j].tobytes() for i, j in zip(edge, edge[1:], strict=False)], pa.binary())
+    columns = {"known": cut(sums(known[token]).astype(np.uint32)), "base": cut(sums(np.log10(count + 1.0)[token])), "parts": cut(sums(own[token] + value[of]))}
+    return pa.table({"chunk": table["chunk"], "docs": table["docs"], **columns, "keys": table["keys"], "sizes": table["sizes"]})
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """The sums of one chunk's documents over all shards. Rows of one number are equal chunks, whose sums are alike."""
+    column = lambda name, kind: [None if x.as_py() is None else np.frombuffer(x.as_buffer(), kind) for x in table[name]]
+    keys = [k for k in column("keys", np.int64) if k is not None]
+    sizes = next(s for s in column("sizes", np.uint32) if s is not None)
+    known, base, part = np.zeros(len(sizes), np.int64), np.zeros(len(sizes)), np.zeros(len(sizes))
+    for docs, k, b, p in zip(*(column(c, d) for c, d in (("docs", np.uint32), ("known", np.uint32), ("base", float), ("parts", float))), strict=True):
+        known[docs] += k
+        base[docs] += b
+        part[docs] += p
+    same = len(keys)
+    row = {"row_key": keys[0], "n_tokens": sizes.astype(np.int64), "n_known": known // same, "base_part": base / same, "part": part / same}
+    return pa.concat_tables([pa.table(row)] * same)
 
 
 def score_texts(docs: DataFrame, mu: float = MU, discount: float = DISCOUNT, modulus: int = MODULUS, held: int = HELD) -> DataFrame:
@@ -271,7 +291,8 @@ def score_texts(docs: DataFrame, mu: float = MU, discount: float = DISCOUNT, mod
     def answer(table: pa.Table) -> pa.Table:
         return _answer(table, words, word_counts, pairs, pair_counts, total, mu, discount)
 
-    sums = dealt.groupBy("shard").applyInArrow(answer, ANSWER).groupBy("row_key").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_part", "part")])
+    answers = dealt.groupBy("shard").applyInArrow(answer, ANSWER)
+    sums = answers.groupBy("chunk").applyInArrow(_summed, "row_key long, n_tokens long, n_known long, base_part double, part double").groupBy("row_key").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_part", "part")])
     # rows alike in id and text have put their tokens under one key
     alike = named.select("row_key", "doc_id", "held_out").groupBy("row_key").agg(F.count(F.lit(1)).alias("alike")).toDF("alike_key", "alike")
     sums = sums.join(alike, F.col("row_key") == F.col("alike_key")).toDF("sum_key", "n_tokens", "n_known", "base_part", "part", "alike_key", "alike")
