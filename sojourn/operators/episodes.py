@@ -216,15 +216,55 @@ def treated_patients(history: DataFrame) -> DataFrame:
     )
 
 
+def switch_columns() -> dict[str, Column]:
+    """What differs in the line that a switch begins: the new drug from the switch on, nothing ended."""
+    return {
+        **sql_columns(
+            {
+                "drug_name": "other_drug",
+                "regimen_name": "concat('synthetic_', other_drug, '_regimen')",
+                "treatment_line": "episode_no + 1",
+                "treatment_start_date": "other_drug_date",
+                "treatment_end_date": "covered_until_date",
+                "refill_date": "other_drug_date",
+                "discontinuation_flag": "false",
+                "discontinuation_date": "cast(null AS DATE)",
+                "discontinuation_reason": "cast(null AS STRING)",
+                "switch_flag": "false",
+                "switch_date": "cast(null AS DATE)",
+                "previous_drug": "drug_name",
+                "switched_to_drug": "cast(null AS STRING)",
+                "restart_flag": "false",
+                "restart_date": "cast(null AS DATE)",
+                "temporary_gap_flag": "false",
+            }
+        ),
+        "drug_class": literal_map(DRUG_CLASS, "other_drug"),
+    }
+
+
 def build_treatments(history: DataFrame, params: Params) -> DataFrame:
-    """Treatment rows, one per episode, without the prescriber's attributes."""
+    """Treatment rows, one per episode and one more per switch, without the prescriber's attributes.
+
+    A switch's row has the next line number and the key of its episode with an S; it is made from the
+    same episode row, so the history is computed once.
+    """
     key = surrogate_key("TR", F.col("patient_id"), F.col("episode_no") - 1)
-    columns = treatment_columns(params)
-    return history.select(
-        key.alias("treatment_id"), "patient_id", *[c.alias(name) for name, c in columns.items()]
+    lines = F.when(F.col("has_other_drug"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    rows = history.withColumn("_switched", F.explode(lines))
+    switched, after = F.col("_switched"), switch_columns()
+    columns = {
+        name: F.when(switched, after[name]).otherwise(column) if name in after else column
+        for name, column in treatment_columns(params).items()
+    }
+    return rows.select(
+        F.concat(key, F.when(switched, "S").otherwise("")).alias("treatment_id"),
+        "patient_id",
+        *[column.alias(name) for name, column in columns.items()],
     )
 
 
+#: Columns in the order of the table.
 TREATMENT_COLUMNS = (
     "treatment_id",
     "patient_id",

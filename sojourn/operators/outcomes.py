@@ -58,6 +58,7 @@ OUTCOME_STATUS = """CASE
     ELSE 'censored' END"""
 
 
+#: Columns in the order of the table.
 OUTCOME_COLUMNS = (
     "progression_event",
     "progression_date",

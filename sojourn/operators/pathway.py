@@ -169,6 +169,7 @@ def build_encounters(visits: DataFrame) -> DataFrame:
     )
 
 
+#: Columns in the order of the table.
 ENCOUNTER_COLUMNS = (
     "encounter_id",
     "patient_id",

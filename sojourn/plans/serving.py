@@ -58,6 +58,7 @@ def treatment_gap_by_segment(journey: DataFrame) -> DataFrame:
     )
 
 
+#: Names of the served views.
 VIEWS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "vw_eligible_population": eligible_population,
     "vw_eligible_not_initiated": eligible_not_initiated,
@@ -87,6 +88,7 @@ def top_segments(segments: DataFrame, limit: int = 20) -> DataFrame:
 
 def kpis(journey: DataFrame, params: Params) -> DataFrame:
     """Headline counts from one aggregate, one row per KPI."""
+    # KPI names and the columns they count.
     flags = {
         "mhspc": "mhspc_flag",
         "eligible": "eligible_for_arpi",

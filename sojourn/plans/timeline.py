@@ -9,6 +9,7 @@ from sojourn.functions.expr import sql_columns
 from sojourn.operators.pathway import first_events, first_record
 from sojourn.params import Params
 
+#: Columns in the order of the table.
 JOURNEY_COLUMNS = (
     "patient_id",
     "age_at_index",
@@ -77,6 +78,7 @@ JOURNEY_COLUMNS = (
     "synthetic_data_flag",
 )
 
+#: The feature subset.
 FEATURE_COLUMNS = (
     "patient_id",
     "age_at_index",

@@ -184,6 +184,7 @@ def diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Columns in the order of the table.
 PROVIDER_COLUMNS = (
     "provider_id", "organization_id", "provider_specialty", "care_setting", "academic_flag", "region",
     "annual_prostate_volume", "multidisciplinary_team_flag", "synthetic_provider_flag",
@@ -249,6 +250,10 @@ def order_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: More lines than any order has, so that line numbers of two orders never meet in ``fill_seq``.
+LINES_OF_ORDER = 2**20
+
+
 def fills(spark: SparkSession, sf_dir: str, params: Params = BOUND) -> DataFrame:
     """Line items as fills; order and line number order the fills of a day."""
     part = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
@@ -259,7 +264,7 @@ def fills(spark: SparkSession, sf_dir: str, params: Params = BOUND) -> DataFrame
     return joined.select(
         "patient_id",
         F.col("l_shipdate").cast("date").alias("fill_date"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("fill_seq"),
+        (F.col("l_orderkey") * LINES_OF_ORDER + F.col("l_linenumber")).alias("fill_seq"),
         literal_map(DRUG_OF_TYPE, "p_type").alias("drug_name"),
         F.col("l_suppkey").alias("provider_id"),
         F.lit(params.days_supply).alias("days_supply"),

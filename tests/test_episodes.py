@@ -131,6 +131,23 @@ def test_treatment_rows_are_in_order_and_stop_reason_names_the_adverse_event(spa
         assert r["refill_date"] >= r["treatment_start_date"] and r["covered_until_date"] >= r["refill_date"]
 
 
+def test_a_switch_adds_a_line_of_the_new_drug(spark):
+    rows = [("p", 0, "ADT"), ("p", 20, "docetaxel"), ("p", 30, "ADT"), ("p", 400, "ADT")]
+    spine = spark.createDataFrame(
+        [("p", START, None, None)],
+        "patient_id string, eligibility_date date, death_date date, adverse_event_date date",
+    )
+    history = E.treatment_history(fills(spark, *rows), spine, PARAMS)
+    got = E.build_treatments(history, PARAMS).orderBy("treatment_start_date").collect()
+    assert len({r["treatment_id"] for r in got}) == 3
+    assert [(r["drug_name"], r["treatment_line"], r["previous_drug"], r["switched_to_drug"]) for r in got] == [
+        ("ADT", 1, "ADT", "docetaxel"), ("docetaxel", 2, "ADT", None), ("ADT", 2, None, None)
+    ]
+    line = got[1]
+    assert (line["treatment_start_date"], line["refill_date"], line["drug_class"]) == (day(20), day(20), "chemotherapy")
+    assert line["treatment_end_date"] == got[0]["covered_until_date"] and not line["switch_flag"] and not line["restart_flag"]
+
+
 def test_refill_calendar_lists_every_supply_period(spark):
     table = E.treatment_episodes(fills(spark, ("p", 0, "ADT"), ("p", 45, "ADT")), index(spark), PARAMS)
     got = E.refill_calendar(table, PARAMS).orderBy("refill_no").collect()
