@@ -21,6 +21,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ UNIT = 128
 END = 2
 PARTS = 8
 #: A Python worker keeps the ids of up to 2**SLOT_BITS words, of at most WIDTH ids each.
-SLOT_BITS, WIDTH = 21, 12
+SLOT_BITS, WIDTH = 22, 8
 
 
 class WordIds:
@@ -66,7 +67,7 @@ class WordIds:
             raw = data.tobytes()
             coded = [e.ids for e in self.tokenizer.encode_batch_fast([raw[start[j] : end[j]].decode("utf-8", "replace") for j in miss[first]], add_special_tokens=False)]
             own_sizes = np.array([len(c) for c in coded], np.int64)
-            own = np.fromiter((i for c in coded for i in c), np.uint32, int(own_sizes.sum()))
+            own = np.fromiter(chain.from_iterable(coded), np.uint32, int(own_sizes.sum()))
             own_from = np.cumsum(own_sizes) - own_sizes
             sizes[miss], from_[miss] = own_sizes[which], own_from[which]
             short = np.flatnonzero(own_sizes <= WIDTH)
