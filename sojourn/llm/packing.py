@@ -36,7 +36,7 @@ UNIT = 128
 END = 2
 PARTS = 8
 #: A Python worker keeps the ids of up to 2**SLOT_BITS words, of at most WIDTH ids each.
-SLOT_BITS, WIDTH = 22, 8
+SLOT_BITS, WIDTH = 21, 8
 
 
 class WordIds:
@@ -51,15 +51,16 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.keys = np.zeros(1 << SLOT_BITS, np.uint64)
-        self.sizes = np.zeros(1 << SLOT_BITS, np.int64)
-        self.kept = np.zeros(WIDTH << SLOT_BITS, np.uint32)
+        self.sizes = np.zeros(1 << SLOT_BITS, np.uint8)
+        small = self.tokenizer.get_vocab_size() <= 1 << 16
+        self.kept = np.zeros(WIDTH << SLOT_BITS, np.uint16 if small else np.uint32)
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, one after the other, and the rows' offsets among them."""
         start, end, hashes, rows = common.words(data, offsets)
         slot = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
         hit = self.keys[slot] == hashes
-        sizes, from_ = self.sizes[slot], slot * WIDTH
+        sizes, from_ = self.sizes[slot].astype(np.int64), slot * WIDTH
         own = np.zeros(0, np.uint32)
         if not hit.all():
             miss = np.flatnonzero(~hit)
