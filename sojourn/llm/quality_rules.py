@@ -3,7 +3,8 @@
 A document's histogram of character classes and of its language's common words is held against
 the language's reference, which is the sum over all documents of that language long enough to
 count, by Jensen-Shannon distance (base 2, from 0 to 1). Short texts are guarded: a distance is
-only judged from a minimum length on.
+only judged from a minimum length on. The filter judges word distances of shorter texts, too, by
+SHORT_WORD_LIMITS; the query op6 keeps to the verdict its SQL states, without them.
 
 Cases: a null text counts as empty; an empty text has no words and fails the base rule; a null or
 unlisted language is a language of its own without common words, so only characters are compared;
@@ -51,6 +52,10 @@ class DivergenceRules:
     common_words: dict = field(default_factory=lambda: dict(COMMON_WORDS))
 
 
+#: Limits of the word distance below min_words, each from a number of words on, the longest first: chance alone moves shorter texts farther.
+SHORT_WORD_LIMITS: tuple[tuple[int, float], ...] = ((100, 0.26), (50, 0.30))
+
+
 def _words_of(name: str) -> Column:
     trimmed = F.btrim(F.col(name), F.lit(WHITE))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, "[ \\t\\n\\x0B\\f\\r]+"))
@@ -121,14 +126,17 @@ def js_distance(a: Column, b: Column) -> Column:
     return F.when((sum_a > 0) & (sum_b > 0), F.sqrt(F.greatest(F.lit(0.0), divergence)))
 
 
-def judged(counted: DataFrame, reference: DataFrame, rules: DivergenceRules = DivergenceRules()) -> DataFrame:
-    """counted with _x_char_distance, _x_word_distance and the verdict _x_kept."""
+def judged(counted: DataFrame, reference: DataFrame, rules: DivergenceRules = DivergenceRules(), short: tuple[tuple[int, float], ...] = ()) -> DataFrame:
+    """counted with _x_char_distance, _x_word_distance and the verdict _x_kept; short as SHORT_WORD_LIMITS."""
     df = counted.join(reference, F.col("_x_lang") == F.col("_x_ref_lang"), "left").drop("_x_ref_lang")
     df = df.withColumn("_x_n_chars", F.aggregate("_x_chars", F.lit(0).cast("long"), lambda a, x: a + x))
     long_enough = F.col("_x_n_words") >= rules.min_reference_words
     df = df.withColumn("_x_char_distance", F.when(long_enough & (F.col("_x_n_chars") >= rules.min_chars), js_distance(F.col("_x_chars"), F.col("_x_ref_chars"))))
-    df = df.withColumn("_x_word_distance", F.when(long_enough & (F.col("_x_n_words") >= rules.min_words), js_distance(F.col("_x_common"), F.col("_x_ref_common"))))
-    bad = F.coalesce(F.col("_x_char_distance") > rules.max_char_distance, F.lit(False)) | F.coalesce(F.col("_x_word_distance") > rules.max_word_distance, F.lit(False))
+    word_limit = F.when(F.col("_x_n_words") >= rules.min_words, F.lit(rules.max_word_distance))
+    for least, limit in short:
+        word_limit = word_limit.when(F.col("_x_n_words") >= least, F.lit(limit))
+    df = df.withColumn("_x_word_distance", F.when(long_enough & word_limit.isNotNull(), js_distance(F.col("_x_common"), F.col("_x_ref_common"))))
+    bad = F.coalesce(F.col("_x_char_distance") > rules.max_char_distance, F.lit(False)) | F.coalesce(F.col("_x_word_distance") > word_limit, F.lit(False))
     # one expression over both sides of the join: a part of the left alone would be pushed down, its steps inlined and repeated
     return df.withColumn("_x_kept", F.when(F.col("_x_base_failed"), False).otherwise(~bad))
 
@@ -140,7 +148,7 @@ def apply_quality_rules(docs: DataFrame, rules: DivergenceRules = DivergenceRule
     """
     counted = base_counts(docs, rules)
     reference = stage(references(base_counts(docs, rules), rules), "references")
-    return judged(counted, reference, rules).where("_x_kept").select(*docs.columns)
+    return judged(counted, reference, rules, SHORT_WORD_LIMITS).where("_x_kept").select(*docs.columns)
 
 
 def op6_divergence_rules(spark, sf_dir: str) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import itertools
 import math
+import random
 from collections import Counter
 
 import pytest
-from plainly import words_of
+from plainly import prose, words_of
 from pyspark.sql import functions as F
 
 from sojourn.llm import mixing, quality_rules, sharding
@@ -53,6 +54,14 @@ def test_rules_keep_prose_and_drop_junk(spark, awkward):
     assert {7, 8, 9, 30, 40, 1000, 1059} <= ids and not ids & {0, 1, 2, 3, 12, 13, 5000}
 
 
+def test_filter_judges_words_of_short_texts(spark):
+    rng = random.Random(3)
+    junk_of = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    rows = [(i, " ".join(prose(rng, 80 + i % 200)), "en") for i in range(300)] + [(1000 + n, junk_of(n), "en") for n in range(60, 180, 10)]
+    kept = quality_rules.apply_quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {r["doc_id"] for r in kept.collect()} == set(range(300))
+
+
 @pytest.mark.parametrize(("n", "bits"), [(2, 1), (2, 4), (3, 2), (4, 2)])
 def test_curve_visits_every_cell_by_single_steps(spark, n, bits):
     names = [f"c{i}" for i in range(n)]
