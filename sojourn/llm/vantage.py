@@ -2,9 +2,14 @@
 
 The largest inner product is the nearest point once every vector is given one more coordinate that
 brings it to the greatest norm, and queries a zero there (Bachrach et al. 2014); so the triangle
-inequality holds. Vectors go to the shard of their nearest pivot, shards above a size are split by
-hash, and each gets a tree. A query first searches its own pivot's shards, which bounds its k-th
-distance, then those other shards, and within them those subtrees, whose least possible distance
+inequality holds. One long vector would make all such distances nearly equal, and ``factor`` would cut
+what is nearest; so vectors are parted in bands of norms within a half of the band's greatest. Each
+band is divided by its greatest norm and lifted to 1, and queries, whose length orders nothing, are
+brought to 1. Bounds go from band to band as inner products with the query of length 1.
+
+Vectors go to the shard of their band and the pivot nearest by direction, shards above a size are split
+by hash, and each gets a tree. A query first searches its own shards, which bounds its k-th inner
+product, then those other shards, and within them those subtrees, whose least possible distance
 times ``factor`` is within that bound. Factor 1 is exact; a larger one prunes more.
 
 Pivots are a bounded sample (MOST_PIVOTS); every vector is indexed. Queries meet a tree in blocks.
@@ -44,8 +49,20 @@ FACTOR = 1.15
 
 
 def lift(x: np.ndarray, norm: float) -> np.ndarray:
-    """Vectors with the coordinate that brings their norm to norm."""
-    return np.hstack([x, np.sqrt(np.maximum(norm * norm - (x * x).sum(1, keepdims=True), 0.0))])
+    """Vectors divided by norm, which none exceeds, with the coordinate that brings their norm to 1."""
+    x = x / norm
+    return np.hstack([x, np.sqrt(np.maximum(1.0 - (x * x).sum(1, keepdims=True), 0.0))])
+
+
+def directions(x: np.ndarray) -> np.ndarray:
+    """Vectors brought to norm 1, with the coordinate 0 that queries and pivots have in a lifted space."""
+    x = x / np.abs(x).max(1, keepdims=True)
+    return np.hstack([x / np.sqrt((x * x).sum(1, keepdims=True)), np.zeros((len(x), 1))])
+
+
+def farthest(bound: np.ndarray, norm: np.ndarray | float) -> np.ndarray:
+    """The distance in the space lifted from norm that stands for inner product bound with a query of norm 1."""
+    return np.sqrt(np.maximum(2.0 - 2.0 * (bound / norm), 0.0))
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -147,30 +164,34 @@ def index_shard(ids: np.ndarray, x: np.ndarray, norm: float, k: int) -> bytes:
     held = by[rank <= k]
     starts = np.searchsorted(which[held], np.arange(len(first) + 1))
     points = x[first]
-    return _pack({"ids": ids[held], "starts": starts, "points": points, **build(lift(points, norm))})
+    return _pack({"ids": ids[held], "starts": starts, "points": points, "norm": np.float64(norm), **build(lift(points, norm))})
+
 
+def search_shard(raw: bytes, query_ids: np.ndarray, queries: np.ndarray, bound: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Query, vec_id and inner product of each query's best k in the shard, and each query's k-th inner product there at norm 1.
 
-def search_shard(raw: bytes, query_ids: np.ndarray, queries: np.ndarray, bound: np.ndarray, norm: float, k: int, factor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Query, vec_id and inner product of each query's best k in the shard, and each query's k-th distance there."""
+    bound: the inner product, at norm 1, that is to be reached.
+    """
     tree = _unpack(raw)
-    ids, starts, points = tree["ids"], tree["starts"], tree["points"]
-    _, place = search(lift(points, norm), tree, np.hstack([queries, np.zeros((len(queries), 1))]), k + 1 + SLACK, bound, factor)
+    ids, starts, points, norm = tree["ids"], tree["starts"], tree["points"], tree["norm"]
+    unit = directions(queries)
+    _, place = search(lift(points, norm), tree, unit, k + 1 + SLACK, farthest(bound, norm), factor)
     out_q, out_v, out_s = [], [], []
-    last = np.full(len(queries), np.inf)
+    last = np.full(len(queries), -np.inf)
     for i, row in enumerate(place):
         row = row[row >= 0]
         score = (points[row] * queries[i]).sum(1)
         sizes = starts[row + 1] - starts[row]
         at = np.repeat(starts[row], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        vec, s = ids[at], np.repeat(score, sizes)
+        vec, s, own = ids[at], np.repeat(score, sizes), np.repeat(row, sizes)
         other = vec != query_ids[i]
-        vec, s = vec[other], s[other]
+        vec, s, own = vec[other], s[other], own[other]
         top = np.lexsort((vec, -s))[:k]
         out_q.append(np.full(len(top), query_ids[i]))
         out_v.append(vec[top])
         out_s.append(s[top])
         if len(top) == k:
-            last[i] = np.sqrt(max(0.0, norm * norm + (queries[i] * queries[i]).sum() - 2 * s[top[-1]]))
+            last[i] = points[own[top[-1]]] @ unit[i, :-1]
     empty = np.zeros(0, np.int64)
     return np.concatenate([empty, *out_q]), np.concatenate([empty, *out_v]), np.concatenate([np.zeros(0), *out_s]), last
 
@@ -185,20 +206,22 @@ def _matrix(column: pa.Array | pa.ChunkedArray, size: int) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, id_name: str, vector_name: str) -> DataFrame:
-    """vec_id and _x_v (array<double>) of the rows that take part, one a vec_id."""
+    """vec_id, _x_v (array<double>) and _x_norm of the rows that take part, one a vec_id."""
     v = F.col(vector_name)
     rows = vectors.select(F.col(id_name).cast("long").alias("vec_id"), v.cast("array<double>").alias("_x_v")).where(F.col("vec_id").isNotNull())
     bad = F.exists("_x_v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where(F.col("_x_v").isNotNull() & ~bad & F.exists("_x_v", lambda x: x != 0))
     size = rows.agg(F.mode(F.size("_x_v"))).first()[0] or 0
-    return rows.where(F.size("_x_v") == size).groupBy("vec_id").agg(F.min("_x_v").alias("_x_v"))
+    rows = rows.where(F.size("_x_v") == size).groupBy("vec_id").agg(F.min("_x_v").alias("_x_v"))
+    most = F.array_max(F.transform("_x_v", F.abs))  # taken out, so that no square over- or underflows
+    return rows.withColumn("_x_norm", most * F.sqrt(F.aggregate("_x_v", F.lit(0.0), lambda a, x: a + (x / most) * (x / most))))
 
 
 FOUND = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("bound", T.DoubleType())])
 
 
-def _searched(queries: DataFrame, shards: DataFrame, size: int, norm: float, k: int, factor: float) -> DataFrame:
-    """queries: shard, query_id, _x_b, bound. A query's row without vec_id carries its k-th distance in the shard."""
+def _searched(queries: DataFrame, shards: DataFrame, size: int, k: int, factor: float) -> DataFrame:
+    """queries: shard, query_id, _x_b, bound. A query's row without vec_id carries its k-th inner product, at norm 1, in the shard."""
     queries = common.stage(queries, "asked")
     blocks = common.stage(queries.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n")), "blocks")
     dealt = queries.join(blocks, "shard").select("shard", F.pmod(F.xxhash64("query_id"), F.col("n")).cast("int").alias("block"), "query_id", "_x_b", "bound")
@@ -210,7 +233,7 @@ def _searched(queries: DataFrame, shards: DataFrame, size: int, norm: float, k:
         if not left.num_rows or not right.num_rows:
             return pa.table({f.name: pa.array([], pa.float64() if f.name in ("score", "bound") else pa.int64()) for f in FOUND})
         ids = left["query_id"].to_numpy()
-        q, v, s, last = search_shard(right["tree"][0].as_py(), ids, _matrix(left["_x_b"], size), left["bound"].to_numpy(), norm, k, factor)
+        q, v, s, last = search_shard(right["tree"][0].as_py(), ids, _matrix(left["_x_b"], size), left["bound"].to_numpy(), k, factor)
         ends = len(ids)
         return pa.table(
             {
@@ -227,64 +250,67 @@ def _searched(queries: DataFrame, shards: DataFrame, size: int, norm: float, k:
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20, factor: float = FACTOR, id_name: str = "vec_id", vector_name: str = "embedding", per_shard: int = PER_SHARD) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each vec_id divisible by every, the k vectors of largest inner product found."""
     rows = common.stage(usable(vectors, id_name, vector_name), "vectors")
-    norm2 = F.aggregate("_x_v", F.lit(0.0), lambda a, x: a + x * x)
-    total, most, size = rows.agg(F.count(F.lit(1)), F.max(norm2), F.max(F.size("_x_v"))).first()
+    total, most, size = rows.agg(F.count(F.lit(1)), F.max("_x_norm"), F.max(F.size("_x_v"))).first()
     if not total:
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0.0).alias("score")).where(F.lit(False))
-    norm = float(np.sqrt(most)) * (1 + 1e-12)
+    rows = rows.withColumn("_x_band", F.floor(F.log2(F.lit(most)) - F.log2("_x_norm")).cast("int"))
+    bands = rows.groupBy("_x_band").agg(F.max("_x_norm").alias("norm")).orderBy("_x_band").collect()  # one row for each halving of the norm
+    numbers, norms = np.array([r["_x_band"] for r in bands]), np.array([r["norm"] for r in bands]) * (1 + 1e-12)
     wanted = int(min(MOST_PIVOTS, max(1, total // per_shard)))
     chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(wanted).collect()  # at most MOST_PIVOTS vectors
-    pivots = lift(np.array([r["_x_v"] for r in chosen]), norm)
+    pivots = directions(np.array([r["_x_v"] for r in chosen]))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
-                d = distances(lift(flat, norm), pivots)
-                home = d.argmin(1)
+                band = np.searchsorted(numbers, batch.column(2).to_numpy())
+                d = distances(lift(flat, norms[band][:, None]), pivots)
+                near = d.argmin(1)
                 raw = pa.array([r.tobytes() for r in flat], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(home.astype(np.int32)), pa.array(d[np.arange(len(d)), home]), raw], names=["vec_id", "pivot", "d", "_x_b"])
-
-    schema = "vec_id long, pivot int, d double, _x_b binary"
-    homed = common.stage(rows.select("vec_id", "_x_v").mapInArrow(assign, schema), "homed")
-    counts = {r["pivot"]: r["n"] for r in homed.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most MOST_PIVOTS rows
-    first, parts = {}, 0
-    for p in sorted(counts):
-        first[p] = (parts, -(-counts[p] // (2 * per_shard)))
-        parts += first[p][1]
-    table_of = F.create_map(*[F.lit(x) for p, (a, n) in first.items() for x in (p, a * (1 << 32) + n)])
-    code = F.get(F.map_values(F.map_filter(table_of, lambda key, _: key == F.col("pivot"))), F.lit(0)) if len(first) <= 1 else F.element_at(table_of, F.col("pivot"))
+                home = pa.array((band * len(pivots) + near).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([batch.column(0), home, pa.array(d[np.arange(len(d)), near]), raw], names=["vec_id", "home", "d", "_x_b"])
+
+    schema = "vec_id long, home int, d double, _x_b binary"
+    homed = common.stage(rows.select("vec_id", "_x_v", "_x_band").mapInArrow(assign, schema), "homed")
+    counts = {r["home"]: r["n"] for r in homed.groupBy("home").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most MOST_PIVOTS rows a band
+    codes, parts = [0] * (len(bands) * len(pivots)), 0
+    for h in sorted(counts):
+        n = -(-counts[h] // (2 * per_shard))
+        codes[h] = parts * (1 << 32) + n
+        parts += n
+    code = F.get(F.split(F.lit(",".join(map(str, codes))), ",").cast("array<long>"), F.col("home"))
     shard = (F.shiftright(code, 32) + F.pmod(F.xxhash64("vec_id"), code % (1 << 32))).cast("int")
 
     def index(group: pa.Table) -> pa.Table:
         d = group["d"].to_numpy()
-        tree = index_shard(group["vec_id"].to_numpy(), _matrix(group["_x_b"], size), norm, k)
-        return pa.table({"shard": group["shard"][:1], "pivot": group["pivot"][:1], "least": pa.array([d.min()]), "most": pa.array([d.max()]), "tree": pa.array([tree], pa.binary())})
+        tree = index_shard(group["vec_id"].to_numpy(), _matrix(group["_x_b"], size), norms[group["home"][0].as_py() // len(pivots)], k)
+        return pa.table({"shard": group["shard"][:1], "home": group["home"][:1], "least": pa.array([d.min()]), "most": pa.array([d.max()]), "tree": pa.array([tree], pa.binary())})
 
-    shards = homed.withColumn("shard", shard).groupBy("shard").applyInArrow(index, "shard int, pivot int, least double, most double, tree binary")
+    shards = homed.withColumn("shard", shard).groupBy("shard").applyInArrow(index, "shard int, home int, least double, most double, tree binary")
     shards = common.stage(shards, "trees")
-    limits = shards.select("shard", "pivot", "least", "most").collect()  # one small row a shard
-    at = np.array([[r["shard"], r["pivot"]] for r in limits], np.int64)
+    limits = shards.select("shard", "home", "least", "most").collect()  # one small row a shard
+    at = np.array([[r["shard"], r["home"]] for r in limits], np.int64)
     least, high = np.array([r["least"] for r in limits]), np.array([r["most"] for r in limits])
 
-    asking = homed.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "pivot", "_x_b")
-    own = asking.join(shards.select("shard", "pivot"), "pivot").select("shard", "query_id", "_x_b", F.lit(float("inf")).alias("bound"))
-    near = common.stage(_searched(own, shards, size, norm, k, factor), "near")
-    bounds = near.where("vec_id IS NULL").groupBy(F.col("query_id").alias("q")).agg(F.min("bound").alias("bound"))
+    asking = homed.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "home", "_x_b")
+    own = asking.join(shards.select("shard", "home"), "home").select("shard", "query_id", "_x_b", F.lit(float("-inf")).alias("bound"))
+    near = common.stage(_searched(own, shards, size, k, factor), "near")
+    bounds = near.where("vec_id IS NULL").groupBy(F.col("query_id").alias("q")).agg(F.max("bound").alias("bound"))
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 q = _matrix(batch.column(2), size)
-                d = distances(np.hstack([q, np.zeros((len(q), 1))]), pivots)[:, at[:, 1]]
-                bound = batch.column(3).to_numpy()
+                d = distances(directions(q), pivots)[:, at[:, 1] % len(pivots)]
+                reach = farthest(batch.column(3).to_numpy()[:, None], norms[at[:, 1] // len(pivots)][None, :])
                 low = np.maximum(0.0, np.maximum(least[None, :] - d, d - high[None, :]))
-                who, what = np.nonzero((low * factor <= bound[:, None] + 1e-7) & (at[:, 1][None, :] != batch.column(1).to_numpy()[:, None]))
+                who, what = np.nonzero((low * factor <= reach + 1e-7) & (at[:, 1][None, :] != batch.column(1).to_numpy()[:, None]))
                 take = pa.array(who)
                 yield pa.RecordBatch.from_arrays([pa.array(at[what, 0].astype(np.int32)), batch.column(0).take(take), batch.column(2).take(take), batch.column(3).take(take)], names=["shard", "query_id", "_x_b", "bound"])
 
-    bounded = asking.join(bounds, F.col("query_id") == F.col("q")).select("query_id", "pivot", "_x_b", "bound")
-    far = _searched(bounded.mapInArrow(visit, "shard int, query_id long, _x_b binary, bound double"), shards, size, norm, k, factor)
+    bounded = asking.join(bounds, F.col("query_id") == F.col("q")).select("query_id", "home", "_x_b", "bound")
+    far = _searched(bounded.mapInArrow(visit, "shard int, query_id long, _x_b binary, bound double"), shards, size, k, factor)
     found = near.unionByName(far).where("vec_id IS NOT NULL").select("query_id", "vec_id", "score")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -195,6 +195,27 @@ def test_relaxed_search_recalls(spark):
     assert hits / (20 * 150) >= 0.9
 
 
+@pytest.mark.parametrize("scale", ["one long row", "half of the rows long", "norms over many halvings"])
+def test_recall_does_not_hang_on_norms(spark, scale):
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(20, 16))
+    x = centres[rng.integers(0, 20, 2000)] + 0.4 * rng.normal(size=(2000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if scale == "one long row":
+        x[7] *= 50
+    elif scale == "half of the rows long":
+        x[::2] *= 12
+    else:
+        x *= 2.0 ** rng.integers(-6, 6, (2000, 1))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    hits = Counter()
+    for r in vantage.nearest(frame, per_shard=300).collect():
+        s = x @ x[r["query_id"]]
+        s[r["query_id"]] = -np.inf
+        hits[r["query_id"]] += s[r["vec_id"]] >= np.sort(s)[-20]
+    assert sum(hits.values()) / (20 * 100) >= 0.9
+
+
 @pytest.fixture(scope="module")
 def labelled_documents(spark):
     rng, rows = random.Random(5), []
