@@ -15,9 +15,9 @@ sets of similarity 0.85 share no bucket with a chance of 8e-6.
 
 Cases: a null text is empty; texts without words have empty sets, link with nothing and are their
 own component; below SHINGLE words the whole sequence is the one shingle; a null doc_id takes
-part, but its component's id is the least that is not null, null if there is none, and it is not kept
-unless alone in its component; rows alike in id are one answer each; other columns are kept by
-deduplicate; an empty table gives an empty table. Nodes are told apart by 64-bit sums over sets.
+part, but its component's id is the least that is not null, null if there is none, and kept says whether
+a row's id is that one, so rows alike in id are one answer each; deduplicate takes one row a component and
+keeps other columns; an empty table gives an empty table. Nodes are told apart by 64-bit sums over sets.
 """
 
 from __future__ import annotations
@@ -234,7 +234,7 @@ def _between(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row; key (md5 of the text) to find its text by."""
+    """doc_id, n_shingles, component_id, kept of every row; key (md5 of the text) to find its text by, root (null without words) to tell components without ids apart."""
     signed = common.stage(_signed(docs), "signed")
     least = F.min(F.struct("key", "sig", "n_shingles"))
     nodes = signed.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), least.alias("l"))
@@ -254,22 +254,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     rooted = nodes.select("node", "rep").join(roots.toDF("root_node", "root"), F.col("node") == F.col("root_node"), "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     ids = rooted.groupBy(F.col("root").alias("of_root")).agg(F.min("rep").alias("component"))
-    named = rooted.join(ids, F.col("root") == F.col("of_root")).select(F.col("node").alias("named"), "component")
+    named = rooted.join(ids, F.col("root") == F.col("of_root")).select(F.col("node").alias("named"), "component", "root")
     out = signed.join(named, F.col("node") == F.col("named"), "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "key")
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "key", "root")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """docs without near-duplicates: of each component the row with its id, once; all columns as they were.
+    """docs without near-duplicates: of each component one row, of the least id and then md5 of its text; all columns as they were.
 
-    A row is known by its id and its text's md5. Texts move once, to the decisions about them.
+    Null ids come last; a component of null ids keeps a row, too. Texts without words fold only where id and text are equal. A row is known by its id and its text's md5. Texts move once, to the decisions about them.
     """
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_x_id"), F.col("key").alias("_x_key")).distinct()
+    rows = near_duplicates(docs)
+    alone = [F.when(F.col("root").isNull(), F.col(c)).alias(f"_x_{c}_alone") for c in ("doc_id", "key")]
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("_x_least")
+    kept = rows.groupBy("root", *alone).agg(least).select(F.col("_x_least.doc_id").alias("_x_id"), F.col("_x_least.key").alias("_x_key"))
     named = docs.withColumn("_x_own", F.unhex(F.md5(common.text_or_empty().cast("binary"))))
     found = named.join(kept, (F.col("_x_own") == F.col("_x_key")) & F.col("doc_id").eqNullSafe(F.col("_x_id")), "left_semi")
     return found.dropDuplicates(["doc_id", "_x_own"]).select(*docs.columns)
 
 
 def op10_lsh_forest(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(common.table(spark, sf_dir, "documents").select("doc_id", "text")).drop("key")
+    return near_duplicates(common.table(spark, sf_dir, "documents").select("doc_id", "text")).drop("key", "root")

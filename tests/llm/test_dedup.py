@@ -96,6 +96,17 @@ def test_deduplicate_keeps_one_row_and_all_columns(awkward, empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_deduplicate_keeps_one_of_null_and_of_equal_ids(spark):
+    rng, rows = random.Random(6), []
+    for ids in ([None, None], [None, None, None], [7, 7], [None, 9, 9]):
+        base = prose(rng, 200)
+        rows += [(d, " ".join([*base, f"end{i}"])) for i, d in enumerate(ids)]
+    rows += [(None, ""), (None, ""), (11, " "), (11, "")]
+    kept = [(r["doc_id"], r["text"]) for r in near_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(kept) == len(set(kept)) and Counter(d for d, t in kept if t.strip()) == Counter({None: 2, 7: 1, 9: 1})
+    assert Counter((d, t) for d, t in kept if not t.strip()) == Counter([(None, ""), (11, " "), (11, "")])
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5, 5)]
     random.Random(1).shuffle(chain)
