@@ -137,10 +137,11 @@ def missingness(df: DataFrame) -> DataFrame:
 
 
 def exact_text(df: DataFrame, column: str) -> Column:
-    """Text that two values share only if they are equal. Doubles go by their exact decimal digits."""
-    text = F.col(column).cast("string")
-    if dict(df.dtypes)[column] in ("double", "float"):
-        return F.coalesce(text.try_cast("decimal(38,18)").cast("string"), text)
+    """Text that two values share only if they are equal. Doubles go by their decimal digits where 18 decimals hold them, else by their plain text."""
+    text, kind = F.col(column).cast("string"), dict(df.dtypes)[column]
+    if kind in ("double", "float"):
+        digits = text.try_cast("decimal(38,18)")
+        return F.when(digits.cast(kind) == F.col(column), digits.cast("string")).otherwise(text)
     return text
 
 

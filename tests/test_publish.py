@@ -147,3 +147,9 @@ def test_params_are_checked():
         Params(target_cohort_size=0)
     with pytest.raises(ValueError):
         Params(minimum_age=91)
+
+
+def test_fingerprint_tells_small_and_long_doubles_apart(spark):
+    values = [0.0, 1e-20, 2e-20, 0.0012345678901234567, 0.0012345678901234569, 1e30, 0.5, None]
+    prints = [serving.table_fingerprint(spark.createDataFrame([(v,)], "x double")).first() for v in values]
+    assert len(set(prints)) == len(values)
