@@ -5,6 +5,7 @@ Working columns carry the prefix ``_x_`` so that they never clash with columns o
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -216,9 +217,10 @@ def _powers(n: int, base: int) -> np.ndarray:
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _WORD = np.ones(256, bool)
 _WORD[[32, 9, 10, 11, 12, 13]] = False
-_BYTES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256, dtype=np.uint64)
-_LOWER = np.arange(256)
+_LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: Bytes from which on a word is hashed by itself, not block by block beside others.
+_LONG = 512
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -232,12 +234,38 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of the rows in data: first byte, last byte + 1, 64-bit hash, and the rows' offsets among the words."""
+def lowered(data: np.ndarray) -> np.ndarray:
+    """The bytes with A to Z as a to z."""
+    return _LOWER[data]
+
+
+def _block_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes from each start to its end: blocks of eight bytes go one after the other through a finaliser."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    blocks = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
+    sizes = end - start
+    hashes = sizes.astype(np.uint64) * np.uint64(_BASE)
+    which = np.flatnonzero(sizes < _LONG)
+    at, left = start[which], sizes[which]
+    while len(which):
+        block = blocks[at]
+        short = left < 8
+        block[short] &= (np.uint64(1) << (left[short].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+        hashes[which] = mix(hashes[which] * np.uint64(_BASE) ^ block, 0x5851F42D4C957F2D)
+        more = left > 8
+        which, at, left = which[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(sizes >= _LONG):
+        digest = hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest()
+        hashes[i] = np.frombuffer(digest, "<u8")[0]
+    return hashes
+
+
+def runs(data: np.ndarray, offsets: np.ndarray, member: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Longest runs of member bytes within the rows of data: first byte, last byte + 1, 64-bit hash, and the rows' offsets among the runs."""
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    inside = _WORD[data]
+    inside = member[data]
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     ends[:-1] &= ~inside[1:]
@@ -246,11 +274,12 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[n
     edge = offsets[1:][offsets[1:] > 0] - 1
     ends[edge] = inside[edge]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    codes = (_BYTES[_LOWER] if lower else _BYTES)[data]
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(codes * _powers(n, _BASE)[:n], out=total[1:])
-    hashes = mix((total[end] - total[start]) * _powers(n, _INVERSE)[start])
-    return start, end, hashes, np.searchsorted(start, offsets)
+    return start, end, _block_hashes(lowered(data) if lower else data, start, end), np.searchsorted(start, offsets)
+
+
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of the rows in data: first byte, last byte + 1, 64-bit hash, and the rows' offsets among the words."""
+    return runs(data, offsets, _WORD, lower)
 
 
 def grams(hashes: np.ndarray, k: int) -> np.ndarray:
