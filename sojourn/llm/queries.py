@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, near_dedup, ngram, packing, quality_model, quality_rules, sharding, substrings, toxicity, vantage
+from . import divergence_audit, mixing, near_dedup, ngram, packing, pieces, quality_model, quality_rules, sharding, substrings, toxicity, vantage, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_elias_fano_bigrams": ngram.op1_elias_fano_bigrams,
@@ -19,8 +19,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_subword_toxicity": toxicity.op8_subword_toxicity,
     "op9_suffix_trees": substrings.op9_suffix_trees,
     "op10_lsh_forest": near_dedup.op10_lsh_forest,
+    "op11_piece_agenda": pieces.op11_piece_agenda,
+    "op12_gustavson_audit": divergence_audit.op12_gustavson_audit,
+    "op13_householder_whitening": whitening.op13_householder_whitening,
 }
 
 
 def statements() -> dict[str, str]:
-    return {"op4_poisson_mix": mixing.oracle(), "op6_divergence_rules": quality_rules.oracle()}
+    return {"op4_poisson_mix": mixing.oracle(), "op6_divergence_rules": quality_rules.oracle(), "op12_gustavson_audit": divergence_audit.oracle()}
