@@ -13,13 +13,18 @@ from pyspark.sql import types as T
 from . import common
 
 
+#: Bytes up to which a text may teach; longer ones are scored only. So the sample is at most 2 * per_class * LONGEST bytes.
+LONGEST = 1 << 18
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, per_class: int) -> tuple[pa.Array, np.ndarray, float]:
     """Texts and labels of at most per_class documents of each class, and the class odds among all labelled rows.
 
     Only rows whose id's remainder is not held take part. Rows that disagree about a document count
     by majority, an even split as 1; a null label is no label. The sample is the least of each class
-    in a hashed order, so it is the same on every run. Ids and texts of the sample, 2 * per_class
-    at most, are what reaches the driver.
+    in a hashed order, so it is the same on every run. A document of several rows teaches by one text, the
+    one of least md5; texts of more than LONGEST bytes do not teach. Ids and texts of the sample,
+    2 * per_class at most, are what reaches the driver.
     """
     marked = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.avg(F.col(label).cast("double")).alias("_x_y"))
     marked = marked.where(common.id_remainder(modulus) != held).select("doc_id", (F.col("_x_y") >= 0.5).cast("int").alias("_x_y"))
@@ -31,7 +36,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: i
     odds = (counts.get(1, 0) + 0.5) / (counts.get(0, 0) + 0.5)
     if not wanted:
         return pa.array([], pa.string()), np.zeros(0), odds
-    found = docs.where(F.col("doc_id").isin(list(wanted))).select("doc_id", common.text_or_empty().alias("text"))
+    found = docs.where(F.col("doc_id").isin(list(wanted))).select("doc_id", common.text_or_empty().alias("text")).where(F.octet_length("text") <= LONGEST)
+    found = found.groupBy("doc_id").agg(F.min(F.struct(F.md5(F.col("text").cast("binary")), "text"))["text"].alias("text"))
     rows = found.orderBy("doc_id", "text").collect()
     return pa.array([r["text"] for r in rows], pa.string()), np.array([wanted[r["doc_id"]] for r in rows], float), odds
 

@@ -6,7 +6,7 @@ numpy, from labels of documents alone. The sample is bounded by per_class; scori
 text whole.
 
 Cases: a null or empty text is a bag of one empty passage and gets a score like any other; a
-very long text has as many passages as it needs; rows alike score alike; without labels of both
+very long text has as many passages as it needs; a score hangs on its text alone, to the last bit; without labels of both
 classes the score is the share of label 1 among labelled rows; extra columns are not read.
 """
 
@@ -66,13 +66,17 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     grams = np.zeros((m, BINS))
     if n >= 3:
         mixed = (_CODES[0][data[:-2]] + _CODES[1][data[1:-1]] + _CODES[2][data[2:]]) * np.uint32(0x9E3779B1) >> np.uint32(25)
-        grams = np.bincount(of_byte[:-2] * BINS + mixed.astype(np.int64), minlength=BINS * m).reshape(m, BINS).astype(float)
+        own = np.repeat(np.arange(docs), np.diff(offsets))
+        inside = own[:-2] == own[2:]  # no gram reaches into the next text
+        grams = np.bincount((of_byte[:-2] * BINS + mixed.astype(np.int64))[inside], minlength=BINS * m).reshape(m, BINS).astype(float)
     words = np.maximum(np.bincount(of_word, minlength=m), 1).astype(float)
     extra = np.zeros((m, 2))
     if len(start):
         _, first = np.unique(common.mix(hashes + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)
         extra[:, 0] = np.bincount(of_word[first], minlength=m) / words
-        gram = common.mix(hashes + np.roll(hashes, -1) * np.uint64(3) + np.roll(hashes, -2) * np.uint64(7) + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        # the two words after it, none past the end of the text
+        one, two = (np.where(np.append(doc[k:] == doc[:-k], [False] * min(k, len(doc)))[: len(doc)], np.roll(hashes, -k), np.uint64(0)) for k in (1, 2))
+        gram = common.mix(hashes + one * np.uint64(3) + two * np.uint64(7) + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         _, first = np.unique(gram, return_index=True)
         extra[:, 1] = np.bincount(of_word[first], minlength=m) / words
     return np.hstack([classes / total, np.sqrt(grams / total), extra]), words / (words + HALF), at
@@ -91,23 +95,31 @@ class AttentionModel:
     def normal(self, x: np.ndarray, weight: np.ndarray) -> np.ndarray:
         return (x - self.mean) / self.scale * weight[:, None]
 
-    def parts(self, x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-        """x: normal features of passages."""
+    def parts(self, x: np.ndarray, at: np.ndarray, times=np.matmul) -> tuple[np.ndarray, ...]:
+        """x: normal features of passages; times: the matrix product."""
         w, b, v, u, a, c, d = self.weights
-        h = np.tanh(x @ w + b)
-        tv, su = np.tanh(h @ v), labelled.sigmoid(h @ u)
-        e = (tv * su) @ a
+        h = np.tanh(times(x, w) + b)
+        tv, su = np.tanh(times(h, v)), labelled.sigmoid(times(h, u))
+        e = times(tv * su, a[:, None])[:, 0]
         sizes = np.diff(at)
         e = np.exp(e - np.repeat(np.maximum.reduceat(e, at[:-1]), sizes))
         alpha = e / np.repeat(np.add.reduceat(e, at[:-1]), sizes)
         z = np.add.reduceat(alpha[:, None] * h, at[:-1], axis=0)
-        return h, tv, su, alpha, z, z @ c + d[0]
+        return h, tv, su, alpha, z, times(z, c[:, None])[:, 0] + d[0]
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(offsets) - 1, self.constant)
         x, weight, at = passages(data, offsets)
-        return labelled.sigmoid(self.parts(self.normal(x, weight), at)[-1] + self.shift)
+        return labelled.sigmoid(self.parts(self.normal(x, weight), at, by_columns)[-1] + self.shift)
+
+
+def by_columns(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """x @ w, added up column by column, so that a row's result never hangs on how many rows stand beside it."""
+    out = np.zeros((len(x), w.shape[1]))
+    for column, row in zip(x.T, w, strict=True):
+        out += column[:, None] * row
+    return out
 
 
 def train(texts, y: np.ndarray, odds: float, width: int = 32, gate: int = 16, epochs: int = 100, batch: int = 64, seed: int = 5) -> AttentionModel:

@@ -5,7 +5,7 @@ A text is the bag of its words and of their character n-grams with word borders
 never seen shares the vectors of the n-grams it keeps. The sample is bounded by per_class; scoring
 reads every text whole, with one number a bucket: after training, softmax and average commute.
 
-Cases: a null or empty text is an empty bag and scores the bias; rows alike score alike; without
+Cases: a null or empty text is an empty bag and scores the bias; a score hangs on its text alone, to the last bit; without
 labels of both classes the score is the share of label 1 among labelled rows; a text of any length is
 one average; extra columns are not read.
 """
@@ -76,9 +76,10 @@ class SubwordModel:
         found, begins = bags(data, offsets)
         total, count = np.zeros(docs), np.zeros(docs)
         for bucket, at in found:
-            running = np.concatenate([[0.0], np.cumsum(self.weight[bucket], dtype=np.float64)])
             edge = np.searchsorted(at, begins)
-            total += running[edge[1:]] - running[edge[:-1]]
+            full = np.flatnonzero(np.diff(edge))
+            if len(full):  # each text is added up by itself
+                total[full] += np.add.reduceat(self.weight[bucket].astype(np.float64), edge[:-1][full])
             count += np.diff(edge)
         return labelled.sigmoid(total / (count + PRIOR) + self.bias)
 

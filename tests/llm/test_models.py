@@ -14,7 +14,7 @@ from plainly import lower, prose, words_of
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sojourn.llm import elias_fano, ngram, packing, quality_model, toxicity, vantage
+from sojourn.llm import common, elias_fano, labelled, ngram, packing, quality_model, toxicity, vantage
 
 
 @pytest.mark.parametrize(("n", "top"), [(1, 1), (1, 2**62), (64, 64), (1000, 1500), (3000, 2**63 - 1)])
@@ -270,6 +270,125 @@ def test_classifiers_on_awkward_rows(spark, awkward, empty, score):
     assert score(empty, labels).count() == 0
 
 
+def bytes_of(texts):
+    raw = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+
+
+def awkward_texts(awkward):
+    return [r["text"] or "" for r in awkward.orderBy("doc_id", "text").collect()]
+
+
+@pytest.fixture(scope="module")
+def models(labelled_documents):
+    import pyarrow as pa
+
+    rows = labelled_documents.orderBy("doc_id").limit(500).collect()
+    texts = pa.array([r["text"] for r in rows])
+    return [model.train(texts, np.array([r[label] for r in rows], float), 0.5) for model, label in ((quality_model, "quality"), (toxicity, "toxic"))]
+
+
+@pytest.mark.parametrize("which", [0, 1])
+def test_a_score_hangs_on_its_text_alone(models, awkward, which):
+    texts = awkward_texts(awkward)
+    alone = [float(models[which].score(*bytes_of([t]))[0]) for t in texts]
+    rng = random.Random(3)
+    for size in (2, 7, len(texts)):
+        order = list(range(len(texts)))
+        rng.shuffle(order)
+        for first in range(0, len(order), size):
+            part = order[first : first + size]
+            assert models[which].score(*bytes_of([texts[i] for i in part])).tolist() == [alone[i] for i in part]
+
+
+@pytest.mark.parametrize(("score", "label"), [(quality_model.score_quality, "quality"), (toxicity.score_toxicity, "toxic")])
+def test_scores_stand_still_under_partitioning(labelled_documents, score, label):
+    docs, labels = labelled_documents.select("doc_id", "text"), labelled_documents.select("doc_id", label)
+    first, *others = [sorted(map(tuple, score(d, labels).collect())) for d in (docs.coalesce(1), docs.orderBy(F.desc("doc_id")).coalesce(1), docs.repartition(3), docs.repartition(7, "text"))]
+    assert all(o == first for o in others)
+
+
+def sigmoid(x):
+    return 1 / (1 + math.exp(-x))
+
+
+def plain_passages(text):
+    """Features and weight of each passage, byte by byte and word by word."""
+    raw = text.encode()
+    starts = [i for i in range(len(raw)) if raw[i] not in b" \t\n\x0b\x0c\r" and (i == 0 or raw[i - 1] in b" \t\n\x0b\x0c\r")]
+    words = raw.split()
+    parts = sorted({s // quality_model.PASSAGE for s in starts}) or [0]
+    number = {p: i for i, p in enumerate(parts)}
+    of_word = [number[s // quality_model.PASSAGE] for s in starts]
+    of_byte, now, at = [], 0, dict(zip(starts, of_word, strict=True))
+    for i in range(len(raw)):
+        now = at.get(i, now)
+        of_byte.append(now)
+    codes = quality_model._CODES.tolist()
+    out = []
+    for p in range(len(parts)):
+        own = [i for i in range(len(raw)) if of_byte[i] == p]
+        total = max(len(own), 1)
+        classes, grams = [0.0] * 8, [0.0] * quality_model.BINS
+        for i in own:
+            classes[quality_model._CLASS[raw[i]]] += 1 / total
+            if i + 2 < len(raw):
+                mixed = (codes[0][raw[i]] + codes[1][raw[i + 1]] + codes[2][raw[i + 2]]) % 2**32 * 0x9E3779B1 % 2**32 >> 25
+                grams[mixed] += 1
+        mine = [j for j in range(len(words)) if of_word[j] == p]
+        n = max(len(mine), 1)
+        new = sum(words[j] not in words[:j] for j in mine)
+        triples = [tuple(words[j : j + 3]) for j in range(len(words))]
+        new_triples = sum(triples[j] not in triples[:j] for j in mine)
+        extra = [new / n, new_triples / n] if words else [0.0, 0.0]
+        out.append((classes + [math.sqrt(g / total) for g in grams] + extra, n / (n + quality_model.HALF)))
+    return out
+
+
+def plain_quality(model, text):
+    w, b, v, u, a, c, d = model.weights
+    encoded, energy = [], []
+    for features, weight in plain_passages(text):
+        x = (np.array(features) - model.mean) / model.scale * weight
+        h = np.tanh(x @ w + b)
+        encoded.append(h)
+        energy.append(float((np.tanh(h @ v) * np.array([sigmoid(g) for g in h @ u])) @ a))
+    alpha = np.exp(np.array(energy) - max(energy))
+    return sigmoid(float((alpha / alpha.sum()) @ np.array(encoded) @ c) + d[0] + model.shift)
+
+
+def plain_toxicity(model, text):
+    raw = [32, *(c + 32 if 65 <= c < 91 else c for c in text.encode()), 32]
+    white = [c in (32, 9, 10, 11, 12, 13) for c in raw]
+    codes, total, count = toxicity._CODES.tolist(), 0.0, 0
+    for k in toxicity.SIZES:
+        for i in range(len(raw) - k + 1):
+            if any(white[i + 1 : i + k - 1]):
+                continue
+            value = sum(codes[c] * pow(0x9E3779B1, j, 2**32) for j, c in enumerate(raw[i : i + k])) % 2**32
+            value = (value ^ value >> 15) * (0x85EBCA6B + 2 * k) % 2**32
+            total, count = total + float(model.weight[value >> 32 - toxicity.BUCKET_BITS]), count + 1
+    for word in bytes(raw).split():
+        (one,) = common.words(np.frombuffer(word, np.uint8), np.array([0, len(word)]))[2].tolist()
+        total, count = total + float(model.weight[one >> 64 - toxicity.BUCKET_BITS]), count + 1
+    return sigmoid(total / (count + toxicity.PRIOR) + model.bias)
+
+
+@pytest.mark.parametrize(("which", "plain"), [(0, plain_quality), (1, plain_toxicity)])
+def test_scores_are_those_of_a_plain_forward_pass(models, awkward, which, plain):
+    texts = [t for t in awkward_texts(awkward) if len(t) < 8000]
+    got = models[which].score(*bytes_of(texts))
+    for text, score in zip(texts, got, strict=True):
+        assert score == pytest.approx(plain(models[which], text), rel=1e-9)
+
+
+def test_a_document_of_many_rows_teaches_once(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, "b"), (3, "x" * 300_000), (4, "d")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 0), (4, 1), (4, 0), (9, 1)], "doc_id long, quality int")
+    texts, y, _ = labelled.sample(docs, labels, "quality", 1, 5, 10)
+    assert len(texts) == 3 and sorted(y.tolist()) == [0, 0, 1]
+
+
 def test_quality_model_attends(spark):
     """A text is judged by the passage that matters, wherever it stands."""
     weights = quality_model.train.__defaults__
