@@ -5,6 +5,7 @@ Working columns carry the prefix ``_x_`` so that they never clash with columns o
 
 from __future__ import annotations
 
+import atexit
 import hashlib
 import os
 import tempfile
@@ -52,6 +53,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget_later(spark: SparkSession, name: str) -> None:
+    """Drop the named table from the catalog when this process ends; its files go with the session's other stages."""
+
+    def drop() -> None:
+        if spark.sparkContext._jsc is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    atexit.register(drop)
+
+
 def ship(spark: SparkSession) -> None:
     """Send the package to the executors, once a context, wherever they were started."""
     context = spark.sparkContext

@@ -36,7 +36,7 @@ from . import common
 WINDOW = 35
 ANCHOR = 12
 OFFSETS = WINDOW - ANCHOR + 1
-#: Suffixes of one prefix that a bin takes, some ten MB.
+#: Suffixes of one prefix that a bin takes, some twenty MB.
 HEAVY = 50_000
 PER_BIN = 20_000
 
@@ -68,6 +68,7 @@ def _distinct(docs: DataFrame) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"sojourn_texts_{uuid.uuid4().hex}"
     once.write.bucketBy(buckets, "key").option("path", common.stage_path(spark, "texts")).saveAsTable(name)
+    common.forget_later(spark, name)
     return spark.table(name)
 
 
@@ -110,8 +111,8 @@ def _suffixes(texts: DataFrame, wanted: DataFrame, heavy: bool) -> DataFrame:
                 sizes = end + WINDOW - begin
                 ends = np.cumsum(sizes)
                 index = np.repeat(begin - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
-                code = (hashes[index] >> np.uint64(32)).astype(np.uint32)
-                words = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(np.concatenate([[0], 4 * ends]).astype(np.int32).tobytes()), pa.py_buffer(code.tobytes())])
+                code = hashes[index]
+                words = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(np.concatenate([[0], 8 * ends]).astype(np.int32).tobytes()), pa.py_buffer(code.tobytes())])
                 columns = [pa.array(grams[place].view(np.int64)), batch.column(0).take(pa.array(first + row))]
                 columns += [pa.array(x.astype(np.int32)) for x in (place - rows[row], place - end, place - begin)]
                 yield pa.RecordBatch.from_arrays([*columns, words], names=["prefix", "key", "place", "least", "most", "words"])
@@ -125,14 +126,14 @@ def repeated(least: np.ndarray, most: np.ndarray, words: list[bytes]) -> np.ndar
     words: the words of a suffix's windows, from most words before the suffix on.
     """
     n = len(least)
-    sizes = np.array([len(w) // 4 for w in words], np.int64)
-    flat = np.frombuffer(b"".join(words), np.uint32)
+    sizes = np.array([len(w) // 8 for w in words], np.int64)
+    flat = np.frombuffer(b"".join(words), np.uint64)
     begin = np.cumsum(sizes) - sizes
-    after = np.zeros((n, WINDOW), np.uint32)
+    after = np.zeros((n, WINDOW), np.uint64)
     for j in range(WINDOW):
         have = most + j < sizes
         after[have, j] = flat[(begin + most + j)[have]]
-    order = np.argsort(np.ascontiguousarray(after.byteswap()).view(f"V{4 * WINDOW}").ravel(), kind="stable")
+    order = np.argsort(np.ascontiguousarray(after.byteswap()).view(f"V{8 * WINDOW}").ravel(), kind="stable")
     ranked = after[order]
     alike = ranked[1:] == ranked[:-1]
     common_prefix = np.where(alike.all(1), WINDOW, alike.argmin(1))  # of neighbours: the depth of the node above both
@@ -172,6 +173,7 @@ def repeats(texts: DataFrame) -> DataFrame:
     spark = texts.sparkSession
     anchors = common.stage(_anchors(texts), "anchors")
     counts = anchors.groupBy(F.col("prefix").alias("shared")).agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    counts = common.stage(counts, "shared-prefixes")  # written, so that a join splits a prefix that a third of all anchors have
     shared = common.stage(anchors.join(counts, F.col("prefix") == F.col("shared")).select("key", "place", (F.col("times") > HEAVY).alias("heavy")), "shared")
     total = shared.where("not heavy").count()
     light = _suffixes(texts, shared.where("not heavy"), False)
@@ -180,6 +182,7 @@ def repeats(texts: DataFrame) -> DataFrame:
     runs = light.groupBy("bin").applyInArrow(_bin_repeats, "key binary, first int, last int")
     windows = common.stage(_suffixes(texts, shared.where("heavy"), True), "heavy-windows")
     twice = windows.groupBy(F.col("window").alias("twice")).agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    twice = common.stage(twice, "repeated-windows")
     whole = windows.join(twice, F.col("window") == F.col("twice"), "left_semi").select("key", F.col("place").alias("first"), F.col("place").alias("last"))
     return runs.unionByName(whole)
 

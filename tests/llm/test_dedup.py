@@ -165,3 +165,37 @@ def test_words_and_grams_tell_texts_apart():
     assert rows.tolist() == [0, 1, 1, 6]
     assert hashes[0] == hashes[3] == hashes[5] and hashes[2] == hashes[4] and len(set(hashes.tolist())) == 3
     assert len(set(common.grams(hashes, 2).tolist())) == 4  # B ab is b ab
+
+
+def hashes_of(words, lower=False):
+    data = " ".join(words).encode()
+    return common.words(np.frombuffer(data, np.uint8), np.array([0, len(data)]), lower)[2]
+
+
+def test_no_pattern_of_letters_collides():
+    thue, other = "a", "b"
+    for _ in range(12):
+        thue, other = thue + other, other + thue
+    words = [thue, other] + ["ab" * n for n in range(1, 400)] + ["a" * n for n in range(1, 700)] + ["a" * n + "\x00" * m for n in range(8) for m in range(1, 9)]
+    words = list(dict.fromkeys(words))
+    assert len(set(hashes_of(words).tolist())) == len(words)
+    assert hashes_of(["ABC" * 300], True) == hashes_of(["abc" * 300])
+
+
+@pytest.mark.parametrize("heavy", [50_000, 2])
+def test_words_alike_in_half_their_hash_are_told_apart(spark, monkeypatch, heavy):
+    monkeypatch.setattr(substrings, "HEAVY", heavy)
+    names = [f"id{i}" for i in range(400_000)]
+    hashes = hashes_of(names)
+    for half in (hashes >> np.uint64(32), hashes & np.uint64(0xFFFFFFFF)):
+        order = np.argsort(half)
+        at = np.flatnonzero(half[order][1:] == half[order][:-1])
+        assert len(at)
+        one, two = names[order[at[0]]], names[order[at[0] + 1]]
+        rng, rows = random.Random(5), []
+        for place in range(35):
+            body = prose(rng, 35)
+            for word in (one, two):
+                rows.append((len(rows), " ".join([*body[:place], word, *body[place + 1 :]])))
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        assert sorted(map(tuple, substrings.dedup_substrings(docs).collect())) == rows
