@@ -153,7 +153,7 @@ def _neighbours(members: DataFrame) -> DataFrame:
     heavy = members.where(F.col("size") > REGION)
     deep = F.when(F.col("size") > REGION * REGION, _prefix(HASHES)).when(F.col("size") > 8 * REGION, _prefix(4 * DEPTH)).otherwise(_prefix(2 * DEPTH))
     heavy = heavy.withColumn("deep", deep)
-    alike = heavy.groupBy(F.col("deep").alias("of_deep")).agg(F.ceil(F.count(F.lit(1)) / REGION).alias("parts"))
+    alike = common.stage(heavy.groupBy(F.col("deep").alias("of_deep")).agg(F.ceil(F.count(F.lit(1)) / REGION).alias("parts")), "deep")
     heavy = heavy.join(alike, F.col("deep") == F.col("of_deep")).withColumn("region", F.xxhash64("deep", F.pmod(F.xxhash64("node"), "parts")))
     regions = regions.unionByName(heavy.drop("deep", "of_deep", "parts"))
     order = Window.partitionBy("region", "tree", "bucket").orderBy("rest", "node")
@@ -171,8 +171,8 @@ def _between(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame
     """a, b: links between different components of one bucket, enough of them to join what is linked there.
 
     Per block, an index from items to rows counts the items that a node shares with every row at
-    once; a component joined to the node's is not compared again. Items are halved to 32 bits, which
-    can only add to a count; links found are confirmed on whole items afterwards.
+    once; a component joined to the node's is not compared again. Items are whole, so that a link
+    that joins components here is one.
     """
     spark = members.sparkSession
     member = members.join(roots.toDF("root_node", "root"), F.col("node") == F.col("root_node"), "left").select("bucket", "node", F.coalesce("root", "node").alias("comp"))
@@ -187,7 +187,7 @@ def _between(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame
     dealt = minor.select(*columns, F.lit(True).alias("minor")).unionByName(every.select(*columns, F.lit(False).alias("minor")))
     bins = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.withColumn("bin", F.when((F.col("chunk") == 0) & (F.col("block") == 0), F.pmod(F.xxhash64("bucket"), F.lit(16 * bins))).otherwise(F.xxhash64("bucket", "chunk", "block")))
-    dealt = dealt.join(sets.select(F.col("node").alias("set_node"), F.transform("items", lambda x: F.shiftright(x, 32).cast("int")).alias("items")), F.col("node") == F.col("set_node")).drop("set_node")
+    dealt = dealt.join(sets.select(F.col("node").alias("set_node"), "items"), F.col("node") == F.col("set_node")).drop("set_node")
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -241,6 +241,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = common.stage(nodes.select("node", "rep", "l.key", "l.sig", "l.n_shingles"), "nodes")
     in_trees = nodes.select("node", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).select("node", "tree", _prefix(DEPTH).alias("bucket"))
     shared = in_trees.groupBy(F.col("bucket").alias("of")).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = common.stage(shared, "buckets")  # written, so that a join splits a bucket of very many nodes
     members = in_trees.join(shared, F.col("bucket") == F.col("of")).select("node", "tree", "bucket", "size")
     members = common.stage(members.join(nodes.select(F.col("node").alias("own"), "sig"), F.col("node") == F.col("own")).drop("own"), "members")
 
