@@ -3,8 +3,8 @@
 A document's histogram of character classes and of its language's common words is held against
 the language's reference, which is the sum over all documents of that language long enough to
 count, by Jensen-Shannon distance (base 2, from 0 to 1). Short texts are guarded: a distance is
-only judged from a minimum length on. The filter judges word distances of shorter texts, too, by
-SHORT_WORD_LIMITS; the query op6 keeps to the verdict its SQL states, without them.
+only judged from a minimum length on, and by a limit that is wider for shorter texts, which chance
+alone moves farther. The filter and the query op6 judge alike.
 
 Cases: a null text counts as empty; an empty text has no words and fails the base rule; a null or
 unlisted language is a language of its own without common words, so only characters are compared;
@@ -45,17 +45,13 @@ class DivergenceRules:
     """Limits of the verdict; lengths are code points and words."""
 
     max_char_distance: float = 0.30
-    max_word_distance: float = 0.26
+    #: Limits of the word distance, each from a number of words on, the longest first.
+    word_limits: tuple[tuple[int, float], ...] = ((100, 0.26), (50, 0.30))
     min_chars: int = 300
-    min_words: int = 150
     min_reference_words: int = 50
     common_words: dict = field(default_factory=lambda: dict(COMMON_WORDS))
 
 
-#: Limits of the word distance below min_words, each from a number of words on, the longest first: chance alone moves shorter texts farther.
-SHORT_WORD_LIMITS: tuple[tuple[int, float], ...] = ((100, 0.26), (50, 0.30))
-
-
 def _words_of(name: str) -> Column:
     trimmed = F.btrim(F.col(name), F.lit(WHITE))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, "[ \\t\\n\\x0B\\f\\r]+"))
@@ -126,15 +122,15 @@ def js_distance(a: Column, b: Column) -> Column:
     return F.when((sum_a > 0) & (sum_b > 0), F.sqrt(F.greatest(F.lit(0.0), divergence)))
 
 
-def judged(counted: DataFrame, reference: DataFrame, rules: DivergenceRules = DivergenceRules(), short: tuple[tuple[int, float], ...] = ()) -> DataFrame:
-    """counted with _x_char_distance, _x_word_distance and the verdict _x_kept; short as SHORT_WORD_LIMITS."""
+def judged(counted: DataFrame, reference: DataFrame, rules: DivergenceRules = DivergenceRules()) -> DataFrame:
+    """counted with _x_char_distance, _x_word_distance and the verdict _x_kept."""
     df = counted.join(reference, F.col("_x_lang") == F.col("_x_ref_lang"), "left").drop("_x_ref_lang")
     df = df.withColumn("_x_n_chars", F.aggregate("_x_chars", F.lit(0).cast("long"), lambda a, x: a + x))
     long_enough = F.col("_x_n_words") >= rules.min_reference_words
     df = df.withColumn("_x_char_distance", F.when(long_enough & (F.col("_x_n_chars") >= rules.min_chars), js_distance(F.col("_x_chars"), F.col("_x_ref_chars"))))
-    word_limit = F.when(F.col("_x_n_words") >= rules.min_words, F.lit(rules.max_word_distance))
-    for least, limit in short:
-        word_limit = word_limit.when(F.col("_x_n_words") >= least, F.lit(limit))
+    word_limit = F.lit(None).cast("double")
+    for least, limit in reversed(rules.word_limits):
+        word_limit = F.when(F.col("_x_n_words") >= least, F.lit(limit)).otherwise(word_limit)
     df = df.withColumn("_x_word_distance", F.when(long_enough & word_limit.isNotNull(), js_distance(F.col("_x_common"), F.col("_x_ref_common"))))
     bad = F.coalesce(F.col("_x_char_distance") > rules.max_char_distance, F.lit(False)) | F.coalesce(F.col("_x_word_distance") > word_limit, F.lit(False))
     # one expression over both sides of the join: a part of the left alone would be pushed down, its steps inlined and repeated
@@ -148,7 +144,7 @@ def apply_quality_rules(docs: DataFrame, rules: DivergenceRules = DivergenceRule
     """
     counted = base_counts(docs, rules)
     reference = stage(references(base_counts(docs, rules), rules), "references")
-    return judged(counted, reference, rules, SHORT_WORD_LIMITS).where("_x_kept").select(*docs.columns)
+    return judged(counted, reference, rules).where("_x_kept").select(*docs.columns)
 
 
 def op6_divergence_rules(spark, sf_dir: str) -> DataFrame:
@@ -184,6 +180,7 @@ def oracle(rules: DivergenceRules = DivergenceRules()) -> str:
         nested = f"t{i}"
     chars = "[" + ", ".join([f"{a} - {b}" for a, b in zip(lengths, lengths[1:], strict=False)] + [lengths[-1]]) + "]"
     listed = " ".join(f"WHEN '{k}' THEN {_list(v)}" for k, v in rules.common_words.items())
+    word_limit = " ".join(f"WHEN n_words >= {least} THEN {limit}::DOUBLE" for least, limit in rules.word_limits)
     distance = lambda a, b: (
         f"(SELECT CASE WHEN sum(x) > 0 AND sum(y) > 0 THEN sqrt(greatest(0.0, sum((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2))) END"
         f" FROM (SELECT x, y, x / sum(x) OVER () AS p, y / sum(y) OVER () AS q FROM (SELECT unnest({a})::DOUBLE AS x, unnest({b})::DOUBLE AS y)))"
@@ -217,11 +214,11 @@ ref_common AS (
 judged AS (
   SELECT f.*,
          CASE WHEN n_words >= {rules.min_reference_words} AND length(t) >= {rules.min_chars} THEN {distance("chars", "ref_chars")} END AS dc,
-         CASE WHEN n_words >= {rules.min_reference_words} AND n_words >= {rules.min_words} THEN {distance("common", "ref_common")} END AS dw
-  FROM full_hist f LEFT JOIN ref_chars USING (lang) LEFT JOIN ref_common USING (lang))
+         CASE WHEN n_words >= {rules.min_reference_words} AND word_limit IS NOT NULL THEN {distance("common", "ref_common")} END AS dw
+  FROM (SELECT *, CASE {word_limit} END AS word_limit FROM full_hist) f LEFT JOIN ref_chars USING (lang) LEFT JOIN ref_common USING (lang))
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
        n_repeat_words::BIGINT AS n_repeat_words, base_failed,
-       NOT base_failed AND coalesce(dc <= {rules.max_char_distance}, true) AND coalesce(dw <= {rules.max_word_distance}, true) AS kept,
+       NOT base_failed AND coalesce(dc <= {rules.max_char_distance}, true) AND coalesce(dw <= word_limit, true) AS kept,
        round(dc * 1000000)::BIGINT AS char_distance_millionths, round(dw * 1000000)::BIGINT AS word_distance_millionths
 FROM judged
 """
