@@ -71,27 +71,41 @@ def curve_index(levels: list[Column], bits: int = BITS) -> Column:
     )
 
 
-def _number(df: DataFrame, name: str) -> Column:
-    """A number in the order of the column; texts go by their first seven bytes."""
-    kind = dict(df.dtypes)[name]
-    if kind == "string":
-        head = F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 7)), 14, "0")
-        return F.conv(head, 16, 10).cast("long").cast("double")
-    return F.col(name).cast("double")
+def text_limits(df: DataFrame, name: str, cuts: list[float]) -> list[str]:
+    """For each cut the least value of a text column up to which at least that share of rows with a value lies.
+
+    Values are counted and dealt to ranges, and a running sum goes over ranges and within each, so no
+    task sees all values; len(cuts) texts reach the driver.
+    """
+    spark = df.sparkSession
+    counts = df.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stage(counts.repartitionByRange(ranges, "value").withColumn("range", F.spark_partition_id()), "text-values")
+    so_far = Window.partitionBy("range").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = dealt.groupBy("range").agg(F.sum("n").alias("of_range"), F.min("value").alias("first"))
+    before = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    starts = ends.select(F.col("range").alias("_range"), F.coalesce(F.sum("of_range").over(before), F.lit(0)).alias("start"))
+    running = dealt.withColumn("within", F.sum("n").over(so_far)).join(F.broadcast(starts), F.col("range") == F.col("_range"))
+    total = dealt.agg(F.sum("n")).scalar()
+    at = F.col("start") + F.col("within")
+    row = running.agg(*[F.min(F.when(at >= cut * F.coalesce(total, F.lit(0)), F.col("value"))).alias(f"l{i}") for i, cut in enumerate(cuts)]).first()
+    return [x for x in row if x is not None]
 
 
 def hilbert_shards(df: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
     """All columns of df, with shard (from 0) and slot (gapless from 0 within the shard).
 
-    Level limits are quantiles over all rows, at most 2**bits - 1 numbers for each dimension.
+    Level limits are quantiles over all rows, at most 2**bits - 1 values for each dimension; those of
+    a text column come from its counted values, whole.
     Ranks come from counted buckets (see ranked), so neither a cell nor a shard is held by a task.
     """
     df = df.drop("shard", "slot")
     at = [f"_x_d{i}" for i in range(len(dimensions))]
-    df = df.withColumns({a: _number(df, d) for a, d in zip(at, dimensions, strict=True)})
+    texts = {a for a, d in zip(at, dimensions, strict=True) if dict(df.dtypes)[d] == "string"}
+    df = df.withColumns({a: F.col(d) if a in texts else F.col(d).cast("double") for a, d in zip(at, dimensions, strict=True)})
     cuts = [i / (1 << bits) for i in range(1, 1 << bits)]
-    limits = df.agg(*[F.percentile_approx(a, cuts, 10_000).alias(a) for a in at], F.count(F.lit(1)).alias("n")).first()
-    rows = limits["n"]
+    found = df.agg(*[F.percentile_approx(a, cuts, 10_000).alias(a) for a in at if a not in texts], F.count(F.lit(1)).alias("n")).first()
+    rows, limits = found["n"], {a: text_limits(df, a, cuts) if a in texts else found[a] for a in at}
     levels = {}
     for a in at:
         level = F.lit(0)

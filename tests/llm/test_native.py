@@ -92,6 +92,22 @@ def test_runs_span_few_levels(spark):
     assert all(r["w"] <= 16 and r["h"] <= 16 for r in spans.collect())
 
 
+def test_texts_with_a_long_common_start_get_levels(spark):
+    prefix = "https://a.very.long.name/"
+    docs = spark.range(4000).select("id", F.concat(F.lit(prefix), F.lpad((F.col("id") * 37 % 40).cast("string"), 2, "0")).alias("source"), (F.col("id") % 100).alias("size"))
+    out = sharding.hilbert_shards(docs, ("source", "size"))
+    assert python_free(out)
+    spans = out.groupBy("shard").agg(F.count_distinct("source").alias("sources"), (F.max("size") - F.min("size")).alias("sizes")).collect()
+    assert len(spans) == 16 and all(r["sources"] <= 11 and r["sizes"] <= 40 for r in spans)
+    cuts = [i / 16 for i in range(1, 16)]
+    limits = sharding.text_limits(docs, "source", cuts)
+    names = sorted(r["source"] for r in docs.collect())
+    assert limits == [names[math.ceil(c * 4000) - 1] for c in cuts]
+    assert sharding.text_limits(docs.where("false"), "source", cuts) == []
+    hot = docs.withColumn("source", F.when(F.col("id") < 3000, "hot").otherwise(F.col("source")))
+    assert set(sharding.text_limits(hot, "source", cuts)) >= {"hot"}
+
+
 def test_rates_meet_target_weights(spark):
     docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 15_000, "large").when(F.col("id") < 19_000, "small").otherwise(None).alias("source"), F.lit("t").alias("text"))
     mixed = mixing.poisson_mix(docs, {"large": 1, "small": 1, None: 2})
