@@ -36,8 +36,8 @@ from . import common
 
 MIN_DOCS, TOP = 10, 10
 SCALE = 1_000_000_000
-#: Counts in a block, and numbers that a task returns, about.
-BLOCK, ANSWER = 500_000, 1_000_000
+#: Counts in a block, or as many as a language has pairs of sources, if that is more; and numbers that a task returns, about.
+BLOCK, ANSWER = 50_000, 1_000_000
 
 _TERM = np.zeros(256, bool)
 _TERM[0x41:0x5B] = _TERM[0x61:0x7B] = _TERM[0x80:] = True
@@ -195,10 +195,11 @@ def divergence_audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP,
     groups = counts.where("term IS NULL").select("lang", "source").join(in_group, ["lang", "source"], "left").na.fill(0, ["n", "rows"])
     in_lang = index.select("lang", "term", "_x_all").distinct().groupBy("lang").agg(F.sum("_x_all").alias("all"), F.count(F.lit(1)).alias("terms"))
     shape = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("peers"), F.sum("rows").alias("rows")).join(in_lang, "lang", "left").na.fill(0, ["all", "terms"])
-    # blocks: as many as the counts need; slices: so many that rows of groups times peers stay in bounds
+    # blocks: as many as the counts need, but no more numbers returned than counts read; slices: so many that rows of groups times peers stay in bounds
+    pairs = F.col("peers").cast("double") * F.col("peers")
     shape = shape.select(
-        "lang", "all", "terms", F.greatest(F.lit(1), F.ceil(F.col("rows") / block)).alias("blocks"),
-        F.greatest(F.lit(1), F.ceil(F.col("peers").cast("double") * F.col("peers") / answer)).alias("slices"),
+        "lang", "all", "terms", F.greatest(F.lit(1), F.ceil(F.col("rows") / F.greatest(F.lit(float(block)), pairs))).alias("blocks"),
+        F.greatest(F.lit(1), F.ceil(pairs / answer)).alias("slices"),
     )
     groups = common.stage(groups.drop("rows").join(shape, "lang"), "audit-groups")
 

@@ -55,7 +55,7 @@ def test_awkward_rows(awkward):
 def test_blocks_and_slices_do_not_change_a_value(awkward):
     expected = plain(texts(awkward), min_docs=2, top=3)
     assert found(awkward, min_docs=2, top=3) == expected
-    assert found(awkward, min_docs=2, top=3, block=40, answer=4) == expected
+    assert found(awkward, min_docs=2, top=3, block=25, answer=4) == expected
 
 
 def test_many_sources_with_shared_and_own_terms(spark):
