@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -254,11 +255,41 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv_table(spark, path, table.schema)
 
 
+def _published(spark: SparkSession, sf_dir: str, gold: str, observed: publish.Observed | None = None) -> str:
+    """Folder of a run published to ``gold``."""
+    return publish.publish(spark, observed or roles.observed(spark, sf_dir), BOUND, gold, gate=_hold_nothing)
+
+
 def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish all seven tables through the gate and read one back."""
+    """Publish all seven tables, read them back from their files, and count and fingerprint what was read."""
     gold = files.new_stage(spark)
-    publish.publish(spark, roles.observed(spark, sf_dir), BOUND, gold, gate=_hold_nothing)
-    return publish.load_published(spark, gold, ["patient"])["patient"]
+    _published(spark, sf_dir, gold)
+    tables = publish.load_published(spark, gold)
+    return publish.fingerprints(publish.fingerprint_leaves(tables))
+
+
+def published_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest tree's leaves as the run reports them: rows and hash of every key range of the seven tables."""
+    return publish.load_fingerprint_leaves(spark, _published(spark, sf_dir, files.new_stage(spark)))
+
+
+def changed_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish twice, with the insurance of the frailest corrected in between, and name the key ranges that differ."""
+    gold, observed = files.new_stage(spark), roles.observed(spark, sf_dir)
+    corrected = F.when(F.col("frailty_proxy") > 0.985, F.lit("medicaid")).otherwise(F.col("insurance_type"))
+    later = dataclasses.replace(observed, patient=observed.patient.withColumn("insurance_type", corrected))
+    runs = [_published(spark, sf_dir, gold, o) for o in (observed, later)]
+    return serving.changed_ranges(*[publish.load_fingerprint_leaves(spark, run) for run in runs])
+
+
+def kpi_report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KPI report of a published run, read back."""
+    return publish.load_kpi_report(spark, _published(spark, sf_dir, files.new_stage(spark)))
+
+
+def features_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features as known on the eligibility date: a referral delay observed later is not there."""
+    return timeline.model_ready_features(journey(spark, sf_dir), as_of="eligibility_date")
 
 
 def publish_held(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -350,6 +381,10 @@ QUERIES: dict[str, Query] = {
     "table_fingerprint": table_fingerprint,
     "csv_roundtrip": csv_roundtrip,
     "publish_roundtrip": publish_roundtrip,
+    "published_fingerprints": published_fingerprints,
+    "changed_ranges": changed_ranges,
+    "kpi_report_roundtrip": kpi_report_roundtrip,
+    "features_as_of": features_as_of,
     "publish_held": publish_held,
     "sql_top_segments": sql_top_segments,
 }

@@ -26,7 +26,7 @@ from sojourn.operators.pathway import build_encounters, referral_pathway, with_v
 from sojourn.params import TABLES, Params
 from sojourn.plans.quality import gate as verdict
 from sojourn.plans.quality import raise_on_critical, validate_tables
-from sojourn.plans.serving import kpis, missingness, table_fingerprint, value_counts
+from sojourn.plans.serving import kpis, missingness, range_fingerprints, roll_up, value_counts
 from sojourn.plans.timeline import (
     DISEASE_COLUMNS,
     FIRST_TREATMENT,
@@ -35,6 +35,7 @@ from sojourn.plans.timeline import (
     finish_journey,
     initial_provider,
 )
+from sojourn.sources import versions
 from sojourn.sources.files import (
     export_tables,
     load_exported_tables,
@@ -66,23 +67,6 @@ class Observed:
     target_visit: str = "oncology_consultation"
 
 
-@dataclass(frozen=True)
-class Derived:
-    """Tables derived from the observed inputs, as lazy plans."""
-
-    eligibility: DataFrame
-    encounter: DataFrame
-    treatment: DataFrame
-    outcome: DataFrame
-    patient_journey: DataFrame
-
-
-def outcome_spine(observed: Observed, eligibility: DataFrame, params: Params) -> DataFrame:
-    """One row per patient: disease state, index date, clinical dates."""
-    index = eligibility.select("patient_id", "mhspc_flag", "eligibility_date")
-    return with_clinical_dates(index, observed.clinical, params)
-
-
 def observed_pathway(observed: Observed) -> DataFrame:
     return referral_pathway(observed.visits, observed.source_visit, observed.target_visit)
 
@@ -139,65 +123,55 @@ def observed_journey(observed: Observed, params: Params) -> DataFrame:
     return finish_journey(with_outcome(named, params), params)
 
 
-def derive(observed: Observed, params: Params) -> Derived:
-    """Lazy plans for every derived table."""
-    eligibility = build_eligibility(observed.patient, observed.diagnosis, params)
-    spine = outcome_spine(observed, eligibility, params)
-    history = treatment_history(observed.fills, spine, params)
-    return Derived(
-        eligibility,
-        with_visited_provider(
-            encounter_rows(observed.diagnosis, observed_pathway(observed)), observed.assignment
-        ),
-        with_prescriber(build_treatments(history, params), observed.provider),
-        derive_outcome(spine, treated_patients(history), params),
-        observed_journey(observed, params),
-    )
+def build_tables(
+    observed: Observed, params: Params, stage: str, work: str | None = None,
+    form: Callable[[DataFrame], DataFrame] = lambda table: table,
+) -> dict[str, DataFrame]:
+    """Write the seven tables to a stage folder, each once; what several of them need is staged once, too.
 
+    ``work`` takes what is only needed on the way, if that is another folder. ``form`` is how tables are
+    written, such as with published keys; what is read back to make further tables is in that form as well.
+    """
+    apart = work is not None and work != stage
 
-def build_tables(observed: Observed, params: Params, stage: str) -> dict[str, DataFrame]:
-    """Write the seven tables to a stage folder; what several of them need is staged once."""
+    def staged(plans: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        return stage_tables(plans, lambda name: work if apart and name.startswith("_") else stage)
 
-    roots = stage_tables(
-        {"_diagnosis": observed.diagnosis, "_assignment": observed.assignment, "provider": observed.provider},
-        stage,
-    )
+    roots = staged({"_diagnosis": observed.diagnosis, "_assignment": observed.assignment, "provider": observed.provider})
     diagnosis, assignment, provider = roots.values()
     judged = build_eligibility(observed.patient, diagnosis, params)
-    spine = stage_table(with_clinical_dates(judged, observed.clinical, params), stage, "_spine")
+    spine = staged({"_spine": with_clinical_dates(judged, observed.clinical, params)})["_spine"]
     visited = encounter_rows(diagnosis, observed_pathway(observed))
-    events = stage_tables(
+    published = diagnosis.drop("hormone_sensitive_confirmation_date")
+    events = staged(
         {
             "_history": treatment_history(observed.fills, spine, params),
-            "encounter": with_visited_provider(visited, assignment),
-        },
-        stage,
+            "encounter": form(with_visited_provider(visited, assignment)),
+            **({"diagnosis": form(published)} if apart else {}),
+        }
     )
-    history, encounter = events.values()
-    courses = stage_tables(
+    courses = staged(
         {
-            "treatment": with_prescriber(build_treatments(history, params), provider),
-            "outcome": derive_outcome(spine, treated_patients(history), params),
-        },
-        stage,
+            "treatment": form(with_prescriber(build_treatments(events["_history"], params), provider)),
+            "outcome": form(derive_outcome(spine, treated_patients(events["_history"]), params)),
+        }
     )
     treatment, outcome = courses.values()
-    person = observed.patient.drop("contraindication_flag")
-    eligibility = spine.select(*judged.columns)
-    final = stage_tables(
+    person = form(observed.patient.drop("contraindication_flag"))
+    final = staged(
         {
             "patient": attach_death_date(person, outcome),
             "patient_journey": build_patient_journey(
-                person, diagnosis, assignment, eligibility, encounter, treatment, outcome, params
+                person, form(diagnosis), form(assignment), form(spine.select(*judged.columns)),
+                events["encounter"], treatment, outcome, params,
             ),
-        },
-        stage,
+        }
     )
     return {
         "patient": final["patient"],
-        "diagnosis": diagnosis.drop("hormone_sensitive_confirmation_date"),
+        "diagnosis": events.get("diagnosis", published),
         "provider": provider,
-        "encounter": encounter,
+        "encounter": events["encounter"],
         "treatment": treatment,
         "outcome": outcome,
         "patient_journey": final["patient_journey"],
@@ -219,15 +193,35 @@ def write_cohort_report(journey: DataFrame, params: Params, directory: str) -> N
     write_csv_table(missingness(journey).coalesce(1), f"{directory}/cohort_missingness.csv")
 
 
-def fingerprints(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Row count and hash of every column, per table, to compare runs."""
-    prints: DataFrame | None = None
+#: Key that deals a published table's rows to the ranges of its digest tree.
+RANGE_KEY = {name: "provider_id" if name == "provider" else "patient_id" for name in TABLES}
+
+
+def fingerprint_leaves(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Row count and hash of every key range of every table, all columns in the order of their names."""
+    leaves: DataFrame | None = None
     for name, df in tables.items():
-        row = table_fingerprint(df).withColumn("table_name", F.lit(name))
-        prints = row if prints is None else prints.unionByName(row)
-    if prints is None:
-        raise ValueError("fingerprints needs at least one table")
-    return prints.select("table_name", "n_rows", "fingerprint", "fingerprint_low")
+        rows = range_fingerprints(df, RANGE_KEY.get(name, df.columns[0]), sorted(df.columns))
+        rows = rows.select(F.lit(name).alias("table_name"), "key_range", "n_rows", "fingerprint", "fingerprint_low")
+        leaves = rows if leaves is None else leaves.unionByName(rows)
+    if leaves is None:
+        raise ValueError("fingerprints need at least one table")
+    return leaves
+
+
+def fingerprints(leaves: DataFrame, names: Iterable[str] = TABLES) -> DataFrame:
+    """Row count and hash per table, rolled up from its key ranges; a table without rows has none of either."""
+    listed = F.explode(F.array(*[F.lit(name) for name in names])).alias("table_name")
+    every = leaves.sparkSession.range(1).select(listed)
+    numbers = ("n_rows", "fingerprint", "fingerprint_low")
+    rolled = every.join(roll_up(leaves, "table_name"), "table_name", "left")
+    return rolled.select("table_name", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in numbers])
+
+
+def write_fingerprints(tables: Mapping[str, DataFrame], directory: str) -> None:
+    """Leaves and roots of the digest trees of tables as they were written; at most 256 small rows a table."""
+    leaves = stage_table(fingerprint_leaves(tables).coalesce(1), directory, "fingerprint_ranges")
+    write_csv_table(fingerprints(leaves, tables).coalesce(1), f"{directory}/output_fingerprints.csv")
 
 
 def audit(
@@ -243,23 +237,25 @@ def publish(
 ) -> str:
     """Write, audit, publish. Returns the run folder that readers now see.
 
-    Tables go to a run folder of their own. Only when no critical rule fails is
-    the run added to the published list in ``gold``; a failed run raises and
-    leaves the published version untouched. ``gate`` decides from the rule
-    results and raises to hold the run back.
+    Tables are written once, as Parquet with published keys, to a run folder of their own; the audit and
+    the fingerprints read those files, and other formats are copied from them. Only when no critical
+    rule fails is the run promoted to the next version of ``gold``. A failed run raises and leaves the
+    published version untouched, and so does a run that another publisher overtook. ``gate`` decides
+    from the rule results and raises to hold the run back.
     """
-    stage = new_stage(spark)
-    tables = build_tables(observed, params, stage)
-    results = audit(tables, params, stage)
+    seen, work = versions.latest(spark, gold), new_stage(spark)
     run = f"{gold}/runs/{uuid.uuid4().hex}"
-    write_quality_report(results, f"{run}/reports")
-    gate(results)
-    gold_tables = {name: publish_keys(tables[name]) for name in TABLES}
-    export_tables(gold_tables, run, formats)
-    write_csv_table(fingerprints(gold_tables).coalesce(1), f"{run}/reports/output_fingerprints.csv")
-    write_cohort_report(tables["patient_journey"], params, f"{run}/reports")
-    pointer = spark.range(1).select(F.lit(run).alias("run"), F.current_timestamp().alias("published_at"))
-    pointer.coalesce(1).write.mode("append").parquet(f"{gold}/published")
+    try:
+        tables = build_tables(observed, params, run, work, publish_keys)
+        results = audit(tables, params, work)
+        write_quality_report(results, f"{run}/reports")
+        gate(results)
+        export_tables(tables, run, [kind for kind in formats if kind != "parquet"])
+        write_fingerprints(tables, f"{run}/reports")
+        write_cohort_report(tables["patient_journey"], params, f"{run}/reports")
+        versions.promote(spark, gold, seen, run)
+    finally:
+        versions.remove_folder(spark, work)
     return run
 
 
@@ -273,14 +269,32 @@ def load_quality_reports(spark: SparkSession, gold: str) -> DataFrame:
 
 def has_published(spark: SparkSession, gold: str) -> bool:
     """Whether readers of ``gold`` see any run."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{gold}/published")
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    return versions.latest(spark, gold) > 0
+
+
+def published_run(spark: SparkSession, gold: str) -> str:
+    """Folder of the run promoted last."""
+    number = versions.latest(spark, gold)
+    if not number:
+        raise FileNotFoundError(f"nothing is published in {gold}")
+    return versions.run_of(spark, gold, number)
 
 
 def load_published(
     spark: SparkSession, gold: str, names: Iterable[str] = TABLES
 ) -> dict[str, DataFrame]:
     """The seven tables of the run published last."""
-    latest = F.max_by("run", "published_at").alias("run")
-    run = spark.read.parquet(f"{gold}/published").agg(latest).first()["run"]
-    return load_exported_tables(spark, run, names)
+    return load_exported_tables(spark, published_run(spark, gold), names)
+
+
+LEAVES = "table_name string, key_range string, n_rows bigint, fingerprint bigint, fingerprint_low bigint"
+KPIS = "kpi string, value bigint, data_label string"
+
+
+def load_fingerprint_leaves(spark: SparkSession, run: str) -> DataFrame:
+    return spark.read.schema(LEAVES).parquet(f"{run}/reports/fingerprint_ranges.parquet")
+
+
+def load_kpi_report(spark: SparkSession, run: str) -> DataFrame:
+    """The KPI report of a run, as it was written."""
+    return spark.read.schema(KPIS).option("header", True).csv(f"{run}/reports/cohort_kpis.csv")

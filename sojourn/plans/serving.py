@@ -156,6 +156,21 @@ def row_text(df: DataFrame, columns: Sequence[str]) -> Column:
 
 
 FINGERPRINT_MODULUS = 2**61 - 1
+#: Key ranges of a table's digest tree: the first two hex digits of a row key's hash.
+RANGE_DIGITS = 2
+
+
+def _summed(value: Column) -> Column:
+    """Sum modulo a fixed prime, 0 of nothing. Sums of sums are the sum of all, so ranges roll up to the table."""
+    zero = F.lit(0).cast("decimal(38,0)")
+    total = F.coalesce(F.sum(value), zero)
+    return F.pmod(total, F.lit(FINGERPRINT_MODULUS).cast("decimal(38,0)")).cast("bigint")
+
+
+def _digests(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
+    digest = F.md5(row_text(df, columns))
+    halves = {"fingerprint": F.substring(digest, 1, 16), "fingerprint_low": F.substring(digest, 17, 16)}
+    return {name: F.conv(half, 16, 10).cast("decimal(20,0)") for name, half in halves.items()}
 
 
 def table_fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -163,19 +178,47 @@ def table_fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> Da
 
     Both halves of each row's digest are summed, each into a number of its own.
     """
-    digest = F.md5(row_text(df, columns or df.columns))
-    halves = {"fingerprint": F.substring(digest, 1, 16), "fingerprint_low": F.substring(digest, 17, 16)}
-    zero = F.lit(0).cast("decimal(38,0)")
+    halves = _digests(df, columns or df.columns)
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"), *[_summed(half).alias(name) for name, half in halves.items()]
+    )
 
-    def summed(half: Column) -> Column:
-        total = F.coalesce(F.sum(F.conv(half, 16, 10).cast("decimal(20,0)")), zero)
-        return F.pmod(total, F.lit(FINGERPRINT_MODULUS).cast("decimal(38,0)")).cast("bigint")
 
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"), *[summed(half).alias(name) for name, half in halves.items()]
+def range_fingerprints(df: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """The leaves of a table's digest tree: key_range, row count and content hash of the rows in it.
+
+    Rows are dealt to 256 ranges by the hash of their key, a missing one as the empty text, and summed map-side.
+    """
+    spread = F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, RANGE_DIGITS)
+    halves = _digests(df, columns or df.columns)
+    return (
+        df.groupBy(spread.alias("key_range"))
+        .agg(F.count(F.lit(1)).alias("n_rows"), *[_summed(half).alias(name) for name, half in halves.items()])
     )
 
 
+def roll_up(leaves: DataFrame, *by: str) -> DataFrame:
+    """Row counts and fingerprints of ranges added up: the root of a digest tree, equal to the fingerprint of its table."""
+    names = ("fingerprint", "fingerprint_low")
+    return leaves.groupBy(*by).agg(
+        F.sum("n_rows").alias("n_rows"), *[_summed(F.col(name).cast("decimal(20,0)")).alias(name) for name in names]
+    )
+
+
+def changed_ranges(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Ranges in which two sets of leaves differ, with the rows each has there; a range that one lacks has none."""
+    def side(leaves: DataFrame, suffix: str) -> DataFrame:
+        return leaves.select(
+            "table_name", "key_range", F.col("n_rows").alias(f"rows_{suffix}"),
+            F.struct("n_rows", "fingerprint", "fingerprint_low").alias(f"print_{suffix}"),
+        )
+
+    both = side(old, "before").join(side(new, "after"), ["table_name", "key_range"], "full")
+    differ = ~F.col("print_before").eqNullSafe(F.col("print_after"))
+    rows = {name: F.coalesce(F.col(name), F.lit(0)) for name in ("rows_before", "rows_after")}
+    return both.filter(differ).withColumns(rows).select("table_name", "key_range", *rows)
+
+
 def share_missing(df: DataFrame, limit: float) -> Column:
     """Number of columns whose null share exceeds a limit, as an aggregate."""
     rows = F.count(F.lit(1))

@@ -6,10 +6,11 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sojourn.params import TABLES
@@ -78,10 +79,38 @@ def export_tables(
         list(pool.map(lambda job: job[0](job[1], job[2]), jobs))
 
 
+NANOS_OF_DAY = 86_400 * 10**9
+
+
+def is_date_column(name: str) -> bool:
+    """Whether the published tables hold a date under this name."""
+    return name.endswith("_date") or name == "date_of_death"
+
+
+def read_parquet_table(spark: SparkSession, path: str) -> DataFrame:
+    """A published table by its physical schema, its date columns as dates.
+
+    Files written elsewhere may hold dates as timestamps, also of nanoseconds, which are read as whole numbers.
+    A time before 1970 belongs to the day it lies in.
+    """
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    df = spark.read.parquet(path)
+    dates = {}
+    for field in df.schema:
+        if not is_date_column(field.name) or isinstance(field.dataType, T.DateType):
+            continue
+        if isinstance(field.dataType, T.LongType):
+            days = F.expr(f"cast((`{field.name}` - pmod(`{field.name}`, {NANOS_OF_DAY})) div {NANOS_OF_DAY} AS INT)")
+            dates[field.name] = F.date_add(F.lit("1970-01-01").cast("date"), days)
+        else:
+            dates[field.name] = F.col(field.name).cast("date")
+    return df.withColumns(dates) if dates else df
+
+
 def load_exported_tables(
     spark: SparkSession, directory: str, names: Iterable[str] = TABLES
 ) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{directory}/{name}.parquet") for name in names}
+    return {name: read_parquet_table(spark, f"{directory}/{name}.parquet") for name in names}
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -113,8 +142,9 @@ def stage_table(df: DataFrame, directory: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage_tables(plans: Mapping[str, DataFrame], directory: str) -> dict[str, DataFrame]:
-    """Stage tables that do not depend on each other, as jobs side by side."""
+def stage_tables(plans: Mapping[str, DataFrame], directory: str | Callable[[str], str]) -> dict[str, DataFrame]:
+    """Stage tables that do not depend on each other, as jobs side by side. ``directory`` may be chosen by name."""
+    place = directory if callable(directory) else lambda name: directory
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
-        staged = pool.map(lambda item: stage_table(item[1], directory, item[0]), plans.items())
+        staged = pool.map(lambda item: stage_table(item[1], place(item[0]), item[0]), plans.items())
         return dict(zip(plans, staged, strict=True))

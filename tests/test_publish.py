@@ -1,14 +1,20 @@
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
+import os
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from sojourn.operators.episodes import TREATMENT_COLUMNS
 from sojourn.params import TABLES, Params
-from sojourn.plans import publish, quality, serving, timeline
-from sojourn.sources import files, roles
+from sojourn.plans import catalog, publish, quality, serving, timeline
+from sojourn.sources import files, roles, versions
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -41,10 +47,9 @@ def test_one_plan_journey_equals_the_journey_from_tables(observed, tables):
     assert whole.exceptAll(joined).count() == 0 and joined.exceptAll(whole).count() == 0
 
 
-def test_lazy_tables_equal_staged_ones(observed, tables):
-    derived = publish.derive(observed, roles.BOUND)
-    for name in ("encounter", "treatment", "outcome"):
-        lazy = getattr(derived, name).select(*tables[name].columns)
+def test_lazy_queries_equal_staged_tables(spark, tables):
+    for name, query in (("encounter", catalog.encounter), ("treatment", catalog.treatment), ("outcome", catalog.outcome_status)):
+        lazy = query(spark, SF_DIR).select(*tables[name].columns)
         assert lazy.exceptAll(tables[name]).count() == 0
         assert lazy.count() == tables[name].count()
 
@@ -81,8 +86,79 @@ def test_a_critical_failure_holds_the_run_back(spark, observed, tmp_path):
     doubled = dataclasses.replace(observed, patient=observed.patient.unionByName(observed.patient.limit(1)))
     with pytest.raises(quality.CriticalQualityFailure, match="patient_unique"):
         publish.publish(spark, doubled, roles.BOUND, gold)
-    listed = spark.read.parquet(f"{gold}/published").collect()
-    assert [r["run"] for r in listed] == [good]
+    assert [versions.run_of(spark, gold, v) for v in versions.versions(spark, gold)] == [good]
+
+
+def test_of_two_publishers_at_once_one_wins(spark, observed, tmp_path):
+    gold, both = str(tmp_path / "gold"), threading.Barrier(2)
+
+    def attempt(_):
+        try:
+            return publish.publish(spark, presentable(observed), roles.BOUND, gold, gate=lambda results: both.wait(300))
+        except versions.PublishConflict:
+            return None
+
+    with ThreadPoolExecutor(2) as pool:
+        runs = list(pool.map(attempt, range(2)))
+    (winner,) = [r for r in runs if r is not None]
+    assert versions.versions(spark, gold) == [1] and publish.published_run(spark, gold) == winner
+    assert len(list((tmp_path / "gold" / "runs").iterdir())) == 2
+    after = publish.publish(spark, presentable(observed), roles.BOUND, gold)
+    assert versions.versions(spark, gold) == [1, 2] and publish.published_run(spark, gold) == after
+
+
+def test_a_version_is_created_once(spark, tmp_path):
+    path = str(tmp_path / "versions" / "000000000001")
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: versions.create_once(spark, path, f"run {i}\n"), range(24)))
+    assert won.count(True) == 1
+    assert versions.read_text(spark, path) == f"run {won.index(True)}\n"
+    assert [p.name for p in (tmp_path / "versions").iterdir() if not p.name.startswith(".")] == ["000000000001"]
+    assert versions.versions(spark, str(tmp_path)) == [1] and versions.latest(spark, str(tmp_path / "absent")) == 0
+    with pytest.raises(FileNotFoundError):
+        publish.published_run(spark, str(tmp_path / "absent"))
+
+
+def test_each_table_is_written_once_and_nothing_stays_behind(spark, observed, tmp_path, monkeypatch):
+    written, put = [], files.write_parquet_table
+    monkeypatch.setattr(files, "write_parquet_table", lambda df, path: (written.append(path.rsplit("/", 1)[1]), put(df, path)))
+    root = files.stage_root(spark)
+    before = set(os.listdir(f"{root}/sojourn"))
+    run = publish.publish(spark, presentable(observed), roles.BOUND, str(tmp_path / "gold"))
+    assert all(written.count(f"{name}.parquet") == 1 for name in TABLES)
+    assert not [name for name in os.listdir(run) if name.startswith("_")]
+    assert set(os.listdir(f"{root}/sojourn")) == before
+
+
+def test_ranges_roll_up_to_the_table_and_name_what_changed(spark):
+    df = spark.range(3000).withColumn("text", F.when(F.col("id") % 7 > 0, F.col("id").cast("string"))).withColumn("x", F.col("id") / 7)
+    leaves = serving.range_fingerprints(df, "id")
+    assert leaves.count() == 256
+    assert serving.roll_up(leaves).first().asDict() == serving.table_fingerprint(df).first().asDict()
+    named = lambda frame: serving.range_fingerprints(frame, "id").select(F.lit("t").alias("table_name"), "*")
+    where = F.substring(F.md5(F.col("id").cast("string")), 1, 2)
+    other = df.withColumn("text", F.when(F.col("id") == 5, "new").otherwise(F.col("text"))).filter("id <> 9").unionByName(df.filter("id = 11"))
+    expected = {r["r"] for r in df.filter("id IN (5, 9, 11)").select(where.alias("r")).collect()}
+    assert {r["key_range"] for r in serving.changed_ranges(named(df), named(other)).collect()} == expected
+    assert serving.changed_ranges(named(df), named(df.repartition(7))).count() == 0
+    lost = serving.changed_ranges(named(df), named(df.filter(where != "00"))).first()
+    assert lost["key_range"] == "00" and lost["rows_after"] == 0 < lost["rows_before"]
+    none = publish.fingerprints(publish.fingerprint_leaves({"patient": df.withColumnRenamed("id", "patient_id").limit(0)}), ["patient"]).first()
+    assert tuple(none) == ("patient", 0, 0, 0)
+
+
+def test_nanosecond_dates_are_read_by_their_physical_schema(spark, tables, tmp_path):
+    moments = [dt.datetime(1969, 12, 31, 23, 59, 59), dt.datetime(1970, 1, 1), dt.datetime(2024, 2, 29), None]
+    nanos = pa.array(moments, pa.timestamp("ns"))
+    pq.write_table(pa.table({"patient_id": ["a", "b", "c", "d"], "death_date": nanos, "censor_date": pa.array(moments, pa.timestamp("us")), "days": pa.array([1, 2, 3, None])}), str(tmp_path / "outcome.parquet"))
+    pq.write_table(pa.table({"patient_id": ["a"], "birth_date": pa.array([dt.date(1950, 5, 1)]), "date_of_death": nanos.slice(2, 1)}), str(tmp_path / "patient.parquet"))
+    loaded = files.load_exported_tables(spark, str(tmp_path), ["outcome", "patient"])
+    days = [m.date() if m else None for m in moments]
+    assert [(r["death_date"], r["censor_date"], r["days"]) for r in loaded["outcome"].orderBy("patient_id").collect()] == list(zip(days, days, [1, 2, 3, None], strict=True))
+    assert tuple(loaded["patient"].first()) == ("a", dt.date(1950, 5, 1), dt.date(2024, 2, 29))
+    files.export_tables({"outcome": tables["outcome"]}, str(tmp_path / "own"), ["parquet"])
+    again = files.load_exported_tables(spark, str(tmp_path / "own"), ["outcome"])["outcome"]
+    assert again.schema == tables["outcome"].schema and again.exceptAll(tables["outcome"]).count() == 0
 
 
 def test_no_fills_at_all(spark, observed):
