@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sojourn.functions.expr import keyed_hash
-from sojourn.operators.sampling import dense_index, oversample_exact, sample_exact, sample_to_size
+from sojourn.operators.sampling import oversample_exact, positions, sample_exact, sample_to_size
 
 
 def numbers(spark, n):
@@ -25,13 +25,30 @@ def test_sample_ignores_partitioning(spark):
     assert sample_exact(df, "id", 250, 1).exceptAll(sample_exact(df.repartition(11), "id", 250, 1)).count() == 0
 
 
-def test_dense_index_numbers_every_cell_from_zero(spark):
-    # One cell holds most rows, one holds a single row.
-    cell = F.when(F.col("id") < 1700, "big").when(F.col("id") < 1999, "small").otherwise("single")
-    df = numbers(spark, 2000).withColumn("cell", cell)
-    rows = dense_index(df, "id", 4, ["cell"]).collect()
-    for name, n in (("big", 1700), ("small", 299), ("single", 1)):
-        assert sorted(r["position"] for r in rows if r["cell"] == name) == list(range(n))
+@pytest.mark.parametrize("per_group", [1, 40, 50_000])
+def test_the_cut_is_found_at_any_depth(spark, per_group):
+    df = numbers(spark, 5000)
+    for size in (1, 1234, 4999):
+        expected = df.orderBy(keyed_hash(9, "id"), "id").limit(size)
+        assert sorted(sample_exact(df, "id", size, 9, per_group).collect()) == sorted(expected.collect())
+    assert sample_exact(df, "id", 0, 9).count() == 0
+
+
+def test_a_key_on_many_rows_does_not_swell_the_sample(spark):
+    df = spark.range(3000).select(F.when(F.col("id") < 2000, F.lit(7)).otherwise(F.col("id")).alias("id"), F.lit("x").alias("v"))
+    assert [sample_exact(df, "id", size, 4, 10).count() for size in (1, 700, 2500, 3000)] == [1, 700, 2500, 3000]
+
+
+def test_a_sample_ranks_no_whole_rows(spark):
+    plan = sample_exact(numbers(spark, 2000), "id", 500, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "TakeOrderedAndProject" in plan
+
+
+@pytest.mark.parametrize(("rows", "per_group"), [(1, 50_000), (1000, 3), (4000, 50_000)])
+def test_positions_are_dense_in_hash_order(spark, rows, per_group):
+    df = numbers(spark, rows)
+    got = {r["id"]: r["_position"] for r in positions(df, "id", 4, rows, per_group).collect()}
+    assert got == {r["id"]: i for i, r in enumerate(df.orderBy(keyed_hash(4, "id"), "id").collect())}
 
 
 def test_oversample_draws_exactly_and_only_from_the_rows(spark):
