@@ -5,6 +5,7 @@ import hashlib
 import pytest
 
 from sojourn.operators.matching import match_with_fallback
+from sojourn.sources import roles
 
 SUBJECT = "patient_id bigint, area string, kind string"
 CANDIDATE = "provider_id bigint, area string, kind string, name string"
@@ -28,15 +29,15 @@ def expected(subjects, candidates, seed):
     return out
 
 
-@pytest.mark.parametrize("max_broadcast", [1000, 0])
-def test_matches_equal_brute_force(spark, max_broadcast):
+@pytest.mark.parametrize("digits", [1, 3])
+def test_matches_equal_brute_force(spark, digits):
     candidates = [(i, "dense", "x" if i % 3 else "y", f"n{i}") for i in range(300)]
     candidates += [(900, "single", "x", "n900"), (901, "odd", None, "n901")]
     subjects = [(i, "dense", ("x", "y", "z")[i % 3]) for i in range(200)]
     subjects += [(500, "single", "x"), (501, "single", "y"), (502, "nowhere", "x"), (503, "dense", None), (504, "odd", "x"), (505, None, "x")]
     got = match_with_fallback(
         spark.createDataFrame(subjects, SUBJECT), spark.createDataFrame(candidates, CANDIDATE),
-        "area", "kind", "patient_id", "provider_id", 5, carry=("name",), max_broadcast=max_broadcast,
+        "area", "kind", "patient_id", "provider_id", 5, carry=("name",), digits=digits,
     ).collect()
     assert len(got) == len(subjects)
     assert {r["patient_id"]: (r["provider_id"], r["match_tier"]) for r in got} == expected(subjects, candidates, 5)
@@ -49,3 +50,16 @@ def test_every_candidate_of_a_dense_cell_is_used(spark):
     got = match_with_fallback(subjects, candidates, "area", "kind", "patient_id", "provider_id", 1)
     counts = [r["count"] for r in got.groupBy("provider_id").count().collect()]
     assert len(counts) == 20 and min(counts) > 120 and max(counts) < 290
+
+
+def test_candidates_are_read_twice_and_planning_runs_no_job(spark):
+    group = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    plan = roles.assignments(spark, "/root/testdata/sf0.001")
+    started = group.getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not started
+    plan.collect()
+    final = plan._jdf.queryExecution().executedPlan().toString()
+    reads = [line for line in final.split("Initial Plan")[0].splitlines() if "Scan parquet" in line and "s_suppkey" in line]
+    assert len(reads) == 2 and "collect_list" not in final and "CartesianProduct" not in final and "NestedLoop" not in final
