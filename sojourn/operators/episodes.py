@@ -34,16 +34,27 @@ def fill_days(fills: DataFrame, params: Params) -> DataFrame:
 def treatment_episodes(
     fills: DataFrame, index: DataFrame, params: Params, index_date: str = "index_date",
     grace: bool = False,
+) -> DataFrame:
+    """Episodes of fills, see ``episodes_of_days``."""
+    observed = fills.filter(F.col("fill_date") < F.lit(params.observation_end_date))
+    return episodes_of_days(fill_days(observed, params), index, params, index_date, grace)
+
+
+def episodes_of_days(
+    days: DataFrame, index: DataFrame, params: Params, index_date: str = "index_date",
+    grace: bool = False,
 ) -> DataFrame:
     """Contiguous exposure per patient: a new episode starts past the allowable gap.
 
+    ``days`` are fills folded by ``fill_days``; those past the end of observation do not count.
+
     ``index`` has one row per patient. Coverage runs to the latest supply end
     seen so far (overlapping fills do not shorten it) and is capped at the end
     of observation; ``grace`` extends it by the allowable gap.
     """
     end = F.lit(params.observation_end_date)
     gap = params.allowable_gap_days
-    days = fill_days(fills.filter(F.col("fill_date") < end), params)
+    days = days.filter(F.col("fill_date") < end)
     anchors = index.select("patient_id", F.col(index_date).alias("_index"))
     exposed = days.join(anchors, "patient_id").filter(F.col("fill_date") >= F.col("_index"))
 

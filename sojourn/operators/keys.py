@@ -77,14 +77,15 @@ def ordered_pairs(
 
 def after_terminal(
     events: DataFrame, event_date: str, terminal: DataFrame, terminal_date: str,
-    key: str = "patient_id",
+    key: str = "patient_id", counted: str | None = None,
 ) -> DataFrame:
     """Events per subject dated after its terminal date; no terminal date, no failure.
 
     Events are counted per day first, so the join sees at most one row per
-    subject and calendar day.
+    subject and calendar day. ``counted`` names the number of events that a row stands for.
     """
-    days = events.groupBy(key, F.col(event_date).alias("_date")).agg(F.count(F.lit(1)).alias("_n"))
+    number = F.count(F.lit(1)) if counted is None else F.sum(counted)
+    days = events.groupBy(key, F.col(event_date).alias("_date")).agg(number.alias("_n"))
     ends = terminal.groupBy(key).agg(F.min(terminal_date).alias("terminal_date"))
     return (
         days.join(ends, key)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sojourn.functions.expr import weighted_bucket
 from sojourn.operators import cohort, eligibility, episodes, keys, network, pathway, sampling
 from sojourn.operators.lines import lines_of_therapy
-from sojourn.operators.outcomes import derive_outcome, with_clinical_dates
+from sojourn.operators.outcomes import with_clinical_dates
 from sojourn.plans import publish, quality, serving, timeline
 from sojourn.sources import files, roles
 from sojourn.sources.roles import BOUND
@@ -168,9 +168,7 @@ def treatment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outcome_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spine = _spine(spark, sf_dir)
-    history = episodes.treatment_history(roles.fills(spark, sf_dir), spine, BOUND)
-    return derive_outcome(spine, episodes.treated_patients(history), BOUND)
+    return publish.observed_outcome(roles.observed(spark, sf_dir), BOUND)
 
 
 def top_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,9 +203,11 @@ def coverage_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def after_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keys.after_terminal(
-        roles.fills(spark, sf_dir), "fill_date", outcome_status(spark, sf_dir), "censor_date"
-    )
+    """Fills after censoring. Fills are folded to days once, for the outcome and for what is checked against it."""
+    observed = roles.observed(spark, sf_dir)
+    days = files.stage_table(episodes.fill_days(observed.fills, BOUND), files.new_stage(spark), "_fill_days")
+    outcome = publish.observed_outcome(observed, BOUND, days)
+    return keys.after_terminal(days, "fill_date", outcome, "censor_date", counted="n_fills")
 
 
 def distinct_regions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ from sojourn.operators.cohort import attach_death_date, publish_keys
 from sojourn.operators.eligibility import build_eligibility, eligibility_columns
 from sojourn.operators.episodes import (
     build_treatments,
+    episodes_of_days,
     treated_patients,
     treatment_columns,
     treatment_episodes,
@@ -21,7 +22,7 @@ from sojourn.operators.episodes import (
     with_neighbours,
     with_prescriber,
 )
-from sojourn.operators.outcomes import derive_outcome, with_clinical_dates, with_outcome
+from sojourn.operators.outcomes import OUTCOME_COLUMNS, derive_outcome, with_clinical_dates, with_outcome
 from sojourn.operators.pathway import build_encounters, referral_pathway, with_visited_provider
 from sojourn.params import TABLES, Params
 from sojourn.plans.quality import gate as verdict
@@ -78,6 +79,34 @@ def encounter_rows(diagnosis: DataFrame, pathway: DataFrame) -> DataFrame:
     )
 
 
+#: The index date is the latest of these.
+INDEX_DATES = ("diagnosis_date", "metastatic_date", "hormone_sensitive_confirmation_date")
+
+
+def _first_episodes(observed: Observed, params: Params, days: DataFrame | None = None) -> DataFrame:
+    """Each patient's first episode with what follows it; ``days`` are fills folded before."""
+    index = observed.diagnosis.select("patient_id", F.greatest(*INDEX_DATES).alias("eligibility_date"))
+    if days is None:
+        episodes = treatment_episodes(observed.fills, index, params, "eligibility_date")
+    else:
+        episodes = episodes_of_days(days, index, params, "eligibility_date")
+    return with_neighbours(episodes).filter(F.col("episode_no") == 1)
+
+
+def observed_outcome(observed: Observed, params: Params, days: DataFrame | None = None) -> DataFrame:
+    """The outcome table straight from observed inputs, in one plan.
+
+    Clinical events and fills are read once each: stops and restarts of the first episode are found on the
+    row that carries the clinical dates. ``days`` are fills folded before, if other results share them.
+    """
+    judged = build_eligibility(observed.patient, observed.diagnosis, params)
+    index = judged.select("patient_id", "mhspc_flag", "eligibility_date")
+    dated = with_clinical_dates(index, observed.clinical, params)
+    rows = dated.join(_first_episodes(observed, params, days), "patient_id", "left")
+    treated = with_course(rows, params).withColumn("switch_flag", F.col("has_other_drug"))
+    return with_outcome(treated, params).select("patient_id", *OUTCOME_COLUMNS)
+
+
 def observed_journey(observed: Observed, params: Params) -> DataFrame:
     """The journey straight from observed inputs, in one plan.
 
@@ -86,14 +115,11 @@ def observed_journey(observed: Observed, params: Params) -> DataFrame:
     joined, and all later steps are projections over one row per patient.
     """
     disease = observed.diagnosis
-    dates = ("diagnosis_date", "metastatic_date", "hormone_sensitive_confirmation_date")
-    index = disease.select("patient_id", F.greatest(*dates).alias("eligibility_date"))
-    episodes = treatment_episodes(observed.fills, index, params, "eligibility_date")
-    first = with_neighbours(episodes).filter(F.col("episode_no") == 1)
+    first = _first_episodes(observed, params)
     pathway = observed_pathway(observed)
     base = (
         observed.patient.select(*PERSON_COLUMNS, "contraindication_flag")
-        .join(disease.select(*DISEASE_COLUMNS, "prostate_cancer_flag", *dates), "patient_id")
+        .join(disease.select(*DISEASE_COLUMNS, "prostate_cancer_flag", *INDEX_DATES), "patient_id")
         .withColumns(eligibility_columns(params))
     )
     rows = (

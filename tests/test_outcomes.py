@@ -4,9 +4,14 @@ import datetime as dt
 
 import pytest
 
+from sojourn.operators.eligibility import build_eligibility
+from sojourn.operators.episodes import fill_days, treated_patients, treatment_history
 from sojourn.operators.outcomes import derive_outcome, with_clinical_dates
 from sojourn.params import Params
+from sojourn.plans import catalog, publish
+from sojourn.sources import roles
 
+SF_DIR = "/root/testdata/sf0.001"
 PARAMS = Params(observation_end_date=dt.date(2022, 12, 31), loss_to_follow_up_days=180)
 END = PARAMS.observation_end_date
 INDEX = dt.date(2021, 1, 1)
@@ -98,3 +103,30 @@ def test_events_after_observation_are_dropped_and_before_index_ignored(spark):
     row = with_clinical_dates(index, events, PARAMS).first()
     assert row["death_date"] is None and row["progression_date"] == INDEX
     assert (row["adverse_event_date"], row["adverse_event_type"]) == (END, "fatigue")
+
+
+def scans(df, column):
+    """Scans of the final plan that read a column; the plan's exchanges are reused where they are alike."""
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    return [line for line in final.splitlines() if "Scan parquet" in line and column in line]
+
+
+def test_outcome_reads_line_items_once_for_fills_and_once_for_events(spark):
+    assert len(scans(catalog.outcome_status(spark, SF_DIR), "l_shipdate")) == 2
+
+
+def test_fills_after_censoring_share_the_fold(spark):
+    checked = catalog.after_terminal(spark, SF_DIR)
+    # the fold itself was staged by one scan
+    assert len(scans(checked, "l_shipdate")) == 1
+
+
+def test_outcome_equals_the_one_from_tables(spark):
+    observed = roles.observed(spark, SF_DIR)
+    judged = build_eligibility(observed.patient, observed.diagnosis, roles.BOUND)
+    spine = with_clinical_dates(judged, observed.clinical, roles.BOUND)
+    treated = treated_patients(treatment_history(observed.fills, spine, roles.BOUND))
+    apart, one = derive_outcome(spine, treated, roles.BOUND), publish.observed_outcome(observed, roles.BOUND)
+    days = publish.observed_outcome(observed, roles.BOUND, fill_days(observed.fills, roles.BOUND))
+    assert one.exceptAll(apart).count() == 0 and apart.exceptAll(one).count() == 0 and one.exceptAll(days).count() == 0
