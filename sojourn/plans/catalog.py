@@ -13,7 +13,7 @@ from sojourn.operators import cohort, eligibility, episodes, keys, network, path
 from sojourn.operators.lines import lines_of_therapy
 from sojourn.operators.outcomes import with_clinical_dates
 from sojourn.plans import publish, quality, serving, timeline
-from sojourn.sources import files, roles
+from sojourn.sources import files, intake, roles
 from sojourn.sources.roles import BOUND
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -292,6 +292,29 @@ def features_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeline.model_ready_features(journey(spark, sf_dir), as_of="eligibility_date")
 
 
+def _raw_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Raw patients as a folder of CSV files, some records with a comma too many, as an export without quotes leaves them."""
+    raw = roles.raw_patients(spark, sf_dir)
+    split = F.concat(F.substring("ZIP", 1, 2), F.lit(","), F.substring("ZIP", 3, 3))
+    damaged = raw.withColumn("ZIP", F.when(F.col("frailty_proxy").between(0.0905, 0.0995), split).otherwise(F.col("ZIP")))
+    line = F.array_join(F.array(*[F.col(c).cast("string") for c in raw.columns]), ",", "")
+    folder = f"{files.new_stage(spark)}/raw"
+    lines = damaged.select(line.alias(",".join(raw.columns)))
+    lines.write.option("header", True).option("sep", "\u0001").csv(f"{folder}/Patients.csv")
+    files.write_csv_table(roles.read(spark, sf_dir, "supplier"), f"{folder}/payers.csv")
+    return folder
+
+
+def _cohort_of(size: int) -> Query:
+    params = dataclasses.replace(BOUND, target_cohort_size=size)
+    return lambda spark, sf_dir: intake.cohort_from_csv(spark, _raw_folder(spark, sf_dir), params)
+
+
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the raw folder that cannot be used, with the reason."""
+    return intake.patient_intake(spark, _raw_folder(spark, sf_dir)).quarantined
+
+
 def publish_held(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run that its gate holds back: the rule results it left, and whether readers see it."""
     gold = files.new_stage(spark)
@@ -380,6 +403,9 @@ QUERIES: dict[str, Query] = {
     "match_fallback": match_fallback,
     "table_fingerprint": table_fingerprint,
     "csv_roundtrip": csv_roundtrip,
+    "cohort_from_csv": _cohort_of(400),
+    "cohort_from_csv_oversampled": _cohort_of(25_000),
+    "csv_quarantine": csv_quarantine,
     "publish_roundtrip": publish_roundtrip,
     "published_fingerprints": published_fingerprints,
     "changed_ranges": changed_ranges,

@@ -41,23 +41,21 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | None =
     return reader.csv(path)
 
 
-def load_csv_directory(
-    spark: SparkSession, directory: str, schemas: Mapping[str, T.StructType] | None = None
-) -> dict[str, DataFrame]:
-    """Every ``*.csv`` of a folder keyed by lower-case stem, in name order; empty if none."""
+def csv_paths(spark: SparkSession, directory: str) -> dict[str, str]:
+    """Every ``*.csv`` file or folder in a folder by lower-case stem, in name order; empty if none."""
     root, fs = _hadoop_path(spark, directory)
     if not fs.exists(root):
         return {}
-    names = sorted(
-        status.getPath().getName()
-        for status in fs.listStatus(root)
-        if status.getPath().getName().lower().endswith(".csv")
-    )
-    tables = {}
-    for name in names:
-        stem = name[: -len(".csv")].lower()
-        tables[stem] = read_csv_table(spark, f"{directory}/{name}", (schemas or {}).get(stem))
-    return tables
+    names = sorted(status.getPath().getName() for status in fs.listStatus(root))
+    return {name[: -len(".csv")].lower(): f"{directory}/{name}" for name in names if name.lower().endswith(".csv")}
+
+
+def load_csv_directory(
+    spark: SparkSession, directory: str, schemas: Mapping[str, T.StructType] | None = None
+) -> dict[str, DataFrame]:
+    """Every CSV table of a folder keyed by lower-case stem, in name order; empty if none."""
+    known = schemas or {}
+    return {stem: read_csv_table(spark, path, known.get(stem)) for stem, path in csv_paths(spark, directory).items()}
 
 
 def write_csv_table(df: DataFrame, path: str) -> None:
