@@ -177,9 +177,9 @@ def top_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage the tables, then run the rules over what was written."""
-    stage = files.new_stage(spark)
-    tables = publish.build_tables(roles.observed(spark, sf_dir), BOUND, stage)
-    return quality.validate_tables(tables, BOUND)
+    measured: dict[str, int] = {}
+    tables = publish.build_tables(roles.observed(spark, sf_dir), BOUND, files.new_stage(spark), measured=measured)
+    return quality.validate_tables(tables, BOUND, measured=measured)
 
 
 def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -335,6 +335,45 @@ def sql_top_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _registered(spark: SparkSession, sf_dir: str) -> None:
+    """All seven tables and the eight views in the session's catalog, the tables bucketed by patient."""
+    stage = files.new_stage(spark)
+    tables = publish.build_tables(roles.observed(spark, sf_dir), BOUND, stage)
+    serving.register_tables(publish.bucket_tables(spark, tables, f"{stage}/bucketed"))
+
+
+def sql_patient_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per patient from six registered tables, in SQL; all are bucketed by patient, so none is moved."""
+    _registered(spark, sf_dir)
+    return spark.sql(
+        """
+        SELECT p.patient_id, p.region, d.prostate_stage, o.outcome_status, j.eligible_for_arpi, j.persistent_12m,
+          coalesce(t.n_treatments, 0) AS n_treatments, t.n_drugs, t.first_start, coalesce(e.n_encounters, 0) AS n_encounters, e.last_encounter
+        FROM patient p
+        JOIN diagnosis d ON d.patient_id = p.patient_id
+        JOIN outcome o ON o.patient_id = p.patient_id
+        JOIN patient_journey j ON j.patient_id = p.patient_id
+        LEFT JOIN (SELECT patient_id, count(*) AS n_treatments, size(collect_set(drug_name)) AS n_drugs, min(treatment_start_date) AS first_start
+                   FROM treatment GROUP BY patient_id) t ON t.patient_id = p.patient_id
+        LEFT JOIN (SELECT patient_id, count(*) AS n_encounters, max(encounter_date) AS last_encounter
+                   FROM encounter GROUP BY patient_id) e ON e.patient_id = p.patient_id"""
+    )
+
+
+def sql_provider_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per provider from the registered provider, treatment and encounter tables, in SQL."""
+    _registered(spark, sf_dir)
+    return spark.sql(
+        """
+        SELECT r.provider_id, r.provider_specialty, r.academic_flag, coalesce(t.n_treatments, 0) AS n_treatments,
+          coalesce(t.n_stops, 0) AS n_stops, coalesce(e.n_encounters, 0) AS n_encounters
+        FROM provider r
+        LEFT JOIN (SELECT prescribing_provider_id, count(*) AS n_treatments, count_if(discontinuation_flag) AS n_stops
+                   FROM treatment GROUP BY prescribing_provider_id) t ON t.prescribing_provider_id = r.provider_id
+        LEFT JOIN (SELECT provider_id, count(*) AS n_encounters FROM encounter GROUP BY provider_id) e ON e.provider_id = r.provider_id"""
+    )
+
+
 def _hold_nothing(results: DataFrame) -> None:
     """These tables bind fills after death, which the gate would hold back."""
 
@@ -413,4 +452,6 @@ QUERIES: dict[str, Query] = {
     "features_as_of": features_as_of,
     "publish_held": publish_held,
     "sql_top_segments": sql_top_segments,
+    "sql_patient_summary": sql_patient_summary,
+    "sql_provider_summary": sql_provider_summary,
 }

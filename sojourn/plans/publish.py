@@ -26,7 +26,7 @@ from sojourn.operators.outcomes import OUTCOME_COLUMNS, derive_outcome, with_cli
 from sojourn.operators.pathway import build_encounters, referral_pathway, with_visited_provider
 from sojourn.params import TABLES, Params
 from sojourn.plans.quality import gate as verdict
-from sojourn.plans.quality import raise_on_critical, validate_tables
+from sojourn.plans.quality import raise_on_critical, row_measures, validate_tables
 from sojourn.plans.serving import kpis, missingness, range_fingerprints, roll_up, value_counts
 from sojourn.plans.timeline import (
     DISEASE_COLUMNS,
@@ -41,6 +41,7 @@ from sojourn.sources.files import (
     export_tables,
     load_exported_tables,
     new_stage,
+    save_bucketed,
     stage_table,
     stage_tables,
     write_csv_table,
@@ -151,17 +152,20 @@ def observed_journey(observed: Observed, params: Params) -> DataFrame:
 
 def build_tables(
     observed: Observed, params: Params, stage: str, work: str | None = None,
-    form: Callable[[DataFrame], DataFrame] = lambda table: table,
+    form: Callable[[DataFrame], DataFrame] = lambda table: table, measured: dict[str, int] | None = None,
 ) -> dict[str, DataFrame]:
     """Write the seven tables to a stage folder, each once; what several of them need is staged once, too.
 
     ``work`` takes what is only needed on the way, if that is another folder. ``form`` is how tables are
     written, such as with published keys; what is read back to make further tables is in that form as well.
+    ``measured`` receives the failure counts of all row rules, taken while the tables are written.
     """
     apart = work is not None and work != stage
 
     def staged(plans: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-        return stage_tables(plans, lambda name: work if apart and name.startswith("_") else stage)
+        place = lambda name: work if apart and name.startswith("_") else stage
+        measures = {} if measured is None else {name: row_measures(name, df, params) for name, df in plans.items()}
+        return stage_tables(plans, place, measures, measured)
 
     roots = staged({"_diagnosis": observed.diagnosis, "_assignment": observed.assignment, "provider": observed.provider})
     diagnosis, assignment, provider = roots.values()
@@ -251,10 +255,10 @@ def write_fingerprints(tables: Mapping[str, DataFrame], directory: str) -> None:
 
 
 def audit(
-    tables: Mapping[str, DataFrame], params: Params, stage: str
+    tables: Mapping[str, DataFrame], params: Params, stage: str, measured: Mapping[str, int] | None = None
 ) -> DataFrame:
     """Rule results over the tables, staged so that they are computed once."""
-    return stage_table(validate_tables(tables, params), stage, "_quality")
+    return stage_table(validate_tables(tables, params, measured=measured), stage, "_quality")
 
 
 def publish(
@@ -272,8 +276,9 @@ def publish(
     seen, work = versions.latest(spark, gold), new_stage(spark)
     run = f"{gold}/runs/{uuid.uuid4().hex}"
     try:
-        tables = build_tables(observed, params, run, work, publish_keys)
-        results = audit(tables, params, work)
+        measured: dict[str, int] = {}
+        tables = build_tables(observed, params, run, work, publish_keys, measured)
+        results = audit(tables, params, work, measured)
         write_quality_report(results, f"{run}/reports")
         gate(results)
         export_tables(tables, run, [kind for kind in formats if kind != "parquet"])
@@ -306,6 +311,11 @@ def published_run(spark: SparkSession, gold: str) -> str:
     return versions.run_of(spark, gold, number)
 
 
+def bucket_tables(spark: SparkSession, tables: Mapping[str, DataFrame], directory: str, buckets: int | None = None) -> dict[str, DataFrame]:
+    """The tables saved for SQL, laid out for the joins: by patient, the provider table by provider."""
+    return save_bucketed(spark, tables, directory, RANGE_KEY, buckets)
+
+
 def load_published(
     spark: SparkSession, gold: str, names: Iterable[str] = TABLES
 ) -> dict[str, DataFrame]:

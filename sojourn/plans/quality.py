@@ -1,7 +1,7 @@
 """Cross-table data-quality rules as a few aggregates, and the gate over them.
 
-Row rules of a table share one scan. Key rules share one census per key. Date
-rules across tables count per day instead of forming row pairs.
+Row rules are measured while a table is written, or else share one scan of it. Key rules share one census
+per key. Date rules across tables count per day instead of forming row pairs.
 """
 
 from __future__ import annotations
@@ -74,29 +74,27 @@ NONNEGATIVE = (
 )
 
 
-def _patient_rules(tables: Tables) -> list[DataFrame]:
-    return [tables["patient"].agg(F.count_if(~F.col("sex").eqNullSafe("male")).alias("male_only"))]
+def _patient_conditions() -> dict[str, Column]:
+    return {"male_only": ~F.col("sex").eqNullSafe("male")}
 
 
-def _treatment_rules(tables: Tables) -> list[DataFrame]:
+def _treatment_conditions() -> dict[str, Column]:
     start, refill = F.col("treatment_start_date"), F.col("refill_date")
     reason = F.col("discontinuation_reason")
-    rules = {
+    return {
         "treatment_dates": start >= F.col("treatment_end_date"),
         "death_not_nonadherence": reason == "death",
         "ltfu_not_discontinuation": reason == "lost_to_follow_up",
         "refill_after_start": refill < start,
         "coverage_after_refill": F.col("covered_until_date") < refill,
     }
-    return [_count(tables["treatment"], rules)]
 
 
-def _outcome_rules(tables: Tables) -> list[DataFrame]:
-    rules = {
+def _outcome_conditions() -> dict[str, Column]:
+    return {
         "death_has_date": F.col("death_flag") & F.col("death_date").isNull(),
         "ltfu_has_last_observed": F.col("lost_to_follow_up_flag") & F.col("last_observed_date").isNull(),
     }
-    return [_count(tables["outcome"], rules)]
 
 
 def _journey_conditions() -> dict[str, Column]:
@@ -116,10 +114,6 @@ def _journey_conditions() -> dict[str, Column]:
     }
 
 
-def _journey_rules(tables: Tables) -> list[DataFrame]:
-    return [_count(tables["patient_journey"], _journey_conditions())]
-
-
 def _patient_key_rules(tables: Tables) -> list[DataFrame]:
     """Uniqueness, orphans, coverage, and patient-weighted row rules from one census.
 
@@ -192,8 +186,7 @@ def _date_rules(tables: Tables) -> list[DataFrame]:
     ]
 
 
-def _extra_rules(tables: Tables, params: Params) -> list[DataFrame]:
-    j = tables["patient_journey"]
+def _extra_measures(j: DataFrame, params: Params) -> dict[str, Column]:
     unexpected = [
         _total((F.col(column).isNotNull() & ~F.col(column).isin(*allowed)).cast("bigint"))
         for column, allowed in EXPECTED_CATEGORIES.items()
@@ -208,18 +201,34 @@ def _extra_rules(tables: Tables, params: Params) -> list[DataFrame]:
         | truth(F.col("first_hospitalisation_date") > censor)
     )
     age = F.col("age_at_index")
-    return [
-        j.agg(
-            share_missing(j, params.missingness_warning_share).alias("missingness"),
-            total.alias("expected_categories"),
-            F.count_if(~age.between(params.minimum_age, params.maximum_age)).alias("age_in_configured_range"),
-            F.count_if(late).alias("event_after_censor"),
-        )
-    ]
+    return {
+        "missingness": share_missing(j, params.missingness_warning_share),
+        "expected_categories": total,
+        "age_in_configured_range": F.count_if(~age.between(params.minimum_age, params.maximum_age)),
+        "event_after_censor": F.count_if(late),
+    }
+
 
+#: Conditions that a row of a table fails by itself.
+ROW_RULES = {
+    "patient": _patient_conditions,
+    "treatment": _treatment_conditions,
+    "outcome": _outcome_conditions,
+    "patient_journey": _journey_conditions,
+}
 
-def _count(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    return df.agg(*[F.count_if(condition).alias(name) for name, condition in rules.items()])
+
+def row_measures(name: str, df: DataFrame, params: Params | None = None) -> dict[str, Column]:
+    """Aggregates that measure the row rules of a table, by rule; none for a table without any.
+
+    They can be taken while the table is written, so that no scan of its own is needed.
+    """
+    if name not in ROW_RULES:
+        return {}
+    measures = {rule: F.count_if(condition) for rule, condition in ROW_RULES[name]().items()}
+    if name == "patient_journey" and params is not None:
+        measures |= _extra_measures(df, params)
+    return measures
 
 
 def _total(value: Column) -> Column:
@@ -243,24 +252,25 @@ def _as_results(counts: DataFrame) -> DataFrame:
 
 
 def validate_tables(
-    tables: Tables, params: Params | None = None, only: Collection[str] | None = None
+    tables: Tables, params: Params | None = None, only: Collection[str] | None = None,
+    measured: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Result rows (rule, severity, status, failure_count, detail) for the 34 rules.
 
     With ``params`` the warnings on missingness, categories, age range and
-    events after censoring are added. ``only`` restricts the check to some rules.
+    events after censoring are added. ``only`` restricts the check to some rules. ``measured`` holds
+    failure counts that are known already, such as those taken while a table was written.
     """
-    probes = (
-        _patient_rules(tables)
-        + _treatment_rules(tables)
-        + _outcome_rules(tables)
-        + _journey_rules(tables)
-        + _patient_key_rules(tables)
-        + _provider_key_rules(tables)
-        + _date_rules(tables)
-    )
-    if params is not None:
-        probes += _extra_rules(tables, params)
+    known = dict(measured or {})
+    probes = []
+    for name in ROW_RULES:
+        wanted = {r: m for r, m in row_measures(name, tables[name], params).items() if r not in known}
+        if wanted:
+            probes.append(tables[name].agg(*[m.alias(r) for r, m in wanted.items()]))
+    probes += _patient_key_rules(tables) + _provider_key_rules(tables) + _date_rules(tables)
+    if known:
+        one = tables["patient"].sparkSession.range(1)
+        probes.append(one.select(*[F.lit(int(count)).cast("bigint").alias(rule) for rule, count in known.items()]))
     if only is not None:
         wanted = [[rule for rule in probe.columns if rule in only] for probe in probes]
         probes = [probe.select(*rules) for probe, rules in zip(probes, wanted, strict=True) if rules]

@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,9 +140,52 @@ def stage_table(df: DataFrame, directory: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage_tables(plans: Mapping[str, DataFrame], directory: str | Callable[[str], str]) -> dict[str, DataFrame]:
-    """Stage tables that do not depend on each other, as jobs side by side. ``directory`` may be chosen by name."""
+def stage_tables(
+    plans: Mapping[str, DataFrame], directory: str | Callable[[str], str],
+    measures: Mapping[str, Mapping[str, Column]] | None = None, measured: dict[str, int] | None = None,
+) -> dict[str, DataFrame]:
+    """Stage tables that do not depend on each other, as jobs side by side. ``directory`` may be chosen by name.
+
+    ``measures`` are aggregates by table that are taken while it is written and put into ``measured``.
+    """
     place = directory if callable(directory) else lambda name: directory
+
+    def write(item: tuple[str, DataFrame]) -> DataFrame:
+        name, df = item
+        wanted = (measures or {}).get(name)
+        if not wanted:
+            return stage_table(df, place(name), name)
+        seen = Observation(f"{name}-{uuid.uuid4().hex}")
+        staged = stage_table(df.observe(seen, *[column.alias(rule) for rule, column in wanted.items()]), place(name), name)
+        measured.update(seen.get)
+        return staged
+
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
-        staged = pool.map(lambda item: stage_table(item[1], place(item[0]), item[0]), plans.items())
-        return dict(zip(plans, staged, strict=True))
+        return dict(zip(plans, pool.map(write, plans.items()), strict=True))
+
+
+def save_bucketed(
+    spark: SparkSession, tables: Mapping[str, DataFrame], directory: str, keys: Mapping[str, str], buckets: int | None = None
+) -> dict[str, DataFrame]:
+    """Tables of the catalog, bucketed and sorted by a key each, one file a bucket; joins on the key then move no row.
+
+    Names are unique to the call; the entries go when this process ends, the files stay.
+    """
+    number = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    mark = uuid.uuid4().hex
+
+    def save(item: tuple[str, DataFrame]) -> DataFrame:
+        name, df = item
+        key, entry = keys[name], f"sojourn_{name}_{mark}"
+        writer = df.repartition(number, key).write.bucketBy(number, key).sortBy(key)
+        writer.option("path", f"{directory}/{name}").saveAsTable(entry)
+        atexit.register(_drop_entry, spark, entry)
+        return spark.table(entry)
+
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        return dict(zip(tables, pool.map(save, tables.items()), strict=True))
+
+
+def _drop_entry(spark: SparkSession, entry: str) -> None:
+    if spark.sparkContext._jsc is not None:
+        spark.sql(f"DROP TABLE IF EXISTS {entry}")

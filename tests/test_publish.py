@@ -229,3 +229,17 @@ def test_fingerprint_tells_small_and_long_doubles_apart(spark):
     values = [0.0, 1e-20, 2e-20, 0.0012345678901234567, 0.0012345678901234569, 1e30, 0.5, None]
     prints = [serving.table_fingerprint(spark.createDataFrame([(v,)], "x double")).first() for v in values]
     assert len(set(prints)) == len(values)
+
+
+def test_sql_over_bucketed_tables_moves_no_patient(spark):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        summary = catalog.sql_patient_summary(spark, SF_DIR)
+        assert summary.count() == 150
+        summary.collect()
+        plan = summary._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "Exchange" not in plan and plan.count("Bucketed: true") >= 6
+    assert {r["tableName"] for r in spark.sql("SHOW TABLES").collect()} >= {*TABLES, "vw_switches"}

@@ -1,13 +1,17 @@
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
+import re
 
 import pytest
 
 from sojourn.params import Params
-from sojourn.plans import quality
+from sojourn.plans import publish, quality
+from sojourn.sources import files, roles
 
 D = dt.date
+SF_DIR = "/root/testdata/sf0.001"
 SCHEMAS = {
     "patient": "patient_id string, sex string, birth_date date",
     "diagnosis": "patient_id string, diagnosis_date date, metastatic_date date",
@@ -228,3 +232,36 @@ def test_gate_and_raise_name_critical_rules_only(spark):
     with pytest.raises(quality.CriticalQualityFailure, match="male_only"):
         quality.raise_on_critical(results(spark, rows))
     assert quality.gate(results(spark, rows)).first()["verdict"] == "hold"
+
+
+def _read_schemas(df):
+    """Columns that the scans of a plan read, as name:type lists."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    return re.findall(r"ReadSchema: struct<([^>]*)>", df._jdf.queryExecution().executedPlan().toString())
+
+
+def row_rules():
+    return {rule for conditions in quality.ROW_RULES.values() for rule in conditions()} | set(quality.EXTRA_RULES)
+
+
+def test_row_rules_are_measured_while_tables_are_written(spark):
+    observed, measured = roles.observed(spark, SF_DIR), {}
+    tables = publish.build_tables(observed, roles.BOUND, files.new_stage(spark), measured=measured)
+    assert set(measured) == row_rules()
+    scanned = {r["rule"]: r["failure_count"] for r in quality.validate_tables(tables, roles.BOUND).collect()}
+    assert measured == {rule: scanned[rule] for rule in measured} and sum(measured.values()) > 0
+    results = quality.validate_tables(tables, roles.BOUND, measured=measured)
+    assert {r["rule"]: r["failure_count"] for r in results.collect()} == scanned
+    # no column is read that only row rules ask for
+    read = {field.split(":")[0] for part in _read_schemas(results) for field in part.split(",")}
+    assert "patient_id" in read and not read & {"sex", "discontinuation_reason", "persistent_12m", "last_observed_date"}
+
+
+def test_nothing_to_measure_is_measured_as_nothing(spark):
+    observed = roles.observed(spark, SF_DIR)
+    empty = dataclasses.replace(observed, **{f.name: getattr(observed, f.name).limit(0) for f in dataclasses.fields(observed) if f.name not in ("source_visit", "target_visit")})
+    measured = {}
+    tables = publish.build_tables(empty, roles.BOUND, files.new_stage(spark), measured=measured)
+    assert set(measured) == row_rules() and not any(measured.values())
+    assert not any(r["failure_count"] for r in quality.validate_tables(tables, roles.BOUND, measured=measured).collect())
