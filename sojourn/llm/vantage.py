@@ -40,8 +40,12 @@ PER_SHARD = 4096
 MOST_PIVOTS = 1024
 LEAF = 64
 BLOCK = 1024
+#: Queries that are held against the cells of all pivots at a time.
+VISITORS = 512
 #: Points kept beyond k while a tree is searched, so that rounding decides no tie.
 SLACK = 4
+#: Inner products of unit vectors that differ by less may be ties; then every point of the shard at that place is looked at.
+TIE = 1e-9
 FACTOR = 1.15
 
 
@@ -181,6 +185,13 @@ def search_shard(raw: bytes, query_ids: np.ndarray, queries: np.ndarray, bound:
     for i, row in enumerate(place):
         row = row[row >= 0]
         score = (points[row] * queries[i]).sum(1)
+        if len(row) == k + 1 + SLACK:
+            # the last place of the answer is at best that of the k-th point; where those kept beyond it are as near, more may be
+            edge = np.sort(score)[-k - 1]
+            slip = TIE * norm * np.linalg.norm(queries[i])
+            if score.min() >= edge - slip:
+                row = np.flatnonzero(points @ queries[i] >= edge - 2 * slip)
+                score = (points[row] * queries[i]).sum(1)
         sizes = starts[row + 1] - starts[row]
         at = np.repeat(starts[row], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         vec, s, own = ids[at], np.repeat(score, sizes), np.repeat(row, sizes)
@@ -289,8 +300,8 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, factor: float = FA
 
     shards = homed.withColumn("shard", shard).groupBy("shard").applyInArrow(index, "shard int, home int, least double, most double, tree binary")
     shards = common.stage(shards, "trees")
-    limits = shards.select("shard", "home", "least", "most").collect()  # one small row a shard
-    at = np.array([[r["shard"], r["home"]] for r in limits], np.int64)
+    limits = homed.groupBy("home").agg(F.min("d").alias("least"), F.max("d").alias("most")).orderBy("home").collect()  # at most MOST_PIVOTS rows a band
+    homes = np.array([r["home"] for r in limits], np.int64)
     least, high = np.array([r["least"] for r in limits]), np.array([r["most"] for r in limits])
 
     asking = homed.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "home", "_x_b")
@@ -299,18 +310,20 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, factor: float = FA
     bounds = near.where("vec_id IS NULL").groupBy(F.col("query_id").alias("q")).agg(F.max("bound").alias("bound"))
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The other cells that may hold something within a query's bound, some queries at a time."""
         for batch in batches:
-            if batch.num_rows:
-                q = _matrix(batch.column(2), size)
-                d = distances(directions(q), pivots)[:, at[:, 1] % len(pivots)]
-                reach = farthest(batch.column(3).to_numpy()[:, None], norms[at[:, 1] // len(pivots)][None, :])
+            for first in range(0, batch.num_rows, VISITORS):
+                part = batch.slice(first, VISITORS)
+                d = distances(directions(_matrix(part.column(2), size)), pivots)[:, homes % len(pivots)]
+                reach = farthest(part.column(3).to_numpy()[:, None], norms[homes // len(pivots)][None, :])
                 low = np.maximum(0.0, np.maximum(least[None, :] - d, d - high[None, :]))
-                who, what = np.nonzero((low * factor <= reach + 1e-7) & (at[:, 1][None, :] != batch.column(1).to_numpy()[:, None]))
+                who, what = np.nonzero((low * factor <= reach + 1e-7) & (homes[None, :] != part.column(1).to_numpy()[:, None]))
                 take = pa.array(who)
-                yield pa.RecordBatch.from_arrays([pa.array(at[what, 0].astype(np.int32)), batch.column(0).take(take), batch.column(2).take(take), batch.column(3).take(take)], names=["shard", "query_id", "_x_b", "bound"])
+                yield pa.RecordBatch.from_arrays([pa.array(homes[what].astype(np.int32)), *(part.column(c).take(take) for c in (0, 2, 3))], names=["home", "query_id", "_x_b", "bound"])
 
     bounded = asking.join(bounds, F.col("query_id") == F.col("q")).select("query_id", "home", "_x_b", "bound")
-    far = _searched(bounded.mapInArrow(visit, "shard int, query_id long, _x_b binary, bound double"), shards, size, k, factor)
+    cells = bounded.mapInArrow(visit, "home int, query_id long, _x_b binary, bound double")
+    far = _searched(cells.join(shards.select("shard", "home"), "home").select("shard", "query_id", "_x_b", "bound"), shards, size, k, factor)
     found = near.unionByName(far).where("vec_id IS NOT NULL").select("query_id", "vec_id", "score")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

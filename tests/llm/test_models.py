@@ -177,6 +177,7 @@ def test_search_with_factor_one_is_exact(spark, per_shard):
     got = sorted(map(tuple, vantage.nearest(frame, 10, 20, 1.0, per_shard=per_shard).collect()))
     assert got == sorted(brute_nearest(rows, 10, 20))
     assert vantage.nearest(frame.where("vec_id = 400")).count() == 0
+    assert vantage.nearest(frame.where("false")).count() == 0
     assert sorted(r["rank"] for r in vantage.nearest(frame.where("vec_id < 3"), every=20).collect()) == sorted(range(1, len([1 for i, v in rows[:3] if any(v)]))) * bool(any(rows[0][1]))
 
 
@@ -216,6 +217,22 @@ def test_recall_does_not_hang_on_norms(spark, scale):
     assert sum(hits.values()) / (20 * 100) >= 0.9
 
 
+@pytest.mark.parametrize(("per_shard", "levels"), [(4096, 2), (150, 2), (300, 3)])
+def test_ties_go_to_the_smaller_ids(spark, per_shard, levels):
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, levels, (2000, 12)) * 2.0 - levels + 1
+    x = x[np.abs(x).sum(1) > 0]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(5)
+    got = {}
+    for r in vantage.nearest(frame, 10, 20, 1.0, per_shard=per_shard).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    for q in range(0, len(x), 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        want = np.lexsort((np.arange(len(x)), -s))[:10]
+        assert [got[q][j + 1] for j in range(10)] == [(int(i), float(s[i])) for i in want]
+
+
 @pytest.fixture(scope="module")
 def labelled_documents(spark):
     rng, rows = random.Random(5), []
