@@ -38,7 +38,7 @@ from . import common
 
 PER_SHARD = 4096
 MOST_PIVOTS = 1024
-LEAF = 64
+LEAF = 512
 BLOCK = 1024
 #: Queries that are held against the cells of all pivots at a time.
 VISITORS = 512
