@@ -140,11 +140,11 @@ def judged(counted: DataFrame, reference: DataFrame, rules: DivergenceRules = Di
 def apply_quality_rules(docs: DataFrame, rules: DivergenceRules = DivergenceRules()) -> DataFrame:
     """The documents kept, all their columns, nothing shuffled but the references.
 
-    The references are one small row per language; the join to them is left to Spark's size check.
+    Texts are counted once and written with their counts, from which the references and the verdicts are read. The
+    references are one small row per language; the join to them is left to Spark's size check.
     """
-    counted = base_counts(docs, rules)
-    reference = stage(references(base_counts(docs, rules), rules), "references")
-    return judged(counted, reference, rules).where("_x_kept").select(*docs.columns)
+    counted = stage(base_counts(docs, rules), "quality-counted")
+    return judged(counted, references(counted, rules), rules).where("_x_kept").select(*docs.columns)
 
 
 def op6_divergence_rules(spark, sf_dir: str) -> DataFrame:
