@@ -247,9 +247,10 @@ def lines_of(spark, rows, **options):
 
 
 @pytest.mark.parametrize("width", [4096, 2, 1])
-def test_lines_equal_brute_force_for_any_slices(spark, width):
+@pytest.mark.parametrize("limit", [65_536, 30, 0])
+def test_lines_equal_brute_force_for_any_slices(spark, width, limit):
     rows = random_fills(spark, seed=8)
-    assert lines_of(spark, rows, slice_width=width) == brute_lines(rows)
+    assert lines_of(spark, rows, slice_width=width, patient_limit=limit) == brute_lines(rows)
 
 
 def test_missing_drugs_are_lines_of_their_own(spark):
@@ -264,6 +265,7 @@ def test_hot_patient_and_hot_day_with_a_sequence_that_grows_with_the_date(spark)
     rows += [("hot", day(5), rng.choice([None, rng.randrange(10**6)]), "ADT", 1, 30) for _ in range(300)]
     want = brute_lines(rows)
     assert len(want) > 100 and lines_of(spark, rows, slice_width=16) == want
+    assert lines_of(spark, rows, slice_width=16, patient_limit=100) == want
 
 
 def test_lines_scan_fills_once(spark, tmp_path):
