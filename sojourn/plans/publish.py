@@ -31,6 +31,7 @@ from sojourn.plans.serving import kpis, missingness, range_fingerprints, roll_up
 from sojourn.plans.timeline import (
     DISEASE_COLUMNS,
     FIRST_TREATMENT,
+    INITIAL,
     PERSON_COLUMNS,
     build_patient_journey,
     finish_journey,
@@ -144,10 +145,7 @@ def observed_journey(observed: Observed, params: Params) -> DataFrame:
             if name in FIRST_TREATMENT
         }
     )
-    named = treated.withColumnsRenamed(
-        {"drug_name": "initial_treatment", "drug_class": "initial_treatment_class"}
-    )
-    return finish_journey(with_outcome(named, params), params)
+    return finish_journey(with_outcome(treated.withColumnsRenamed(INITIAL), params), params)
 
 
 def build_tables(

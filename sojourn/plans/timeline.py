@@ -94,29 +94,19 @@ FEATURE_COLUMNS = (
     "eligible_not_initiated_90d",
 )
 
-FIRST_TREATMENT = {
-    "drug_name": "initial_treatment",
-    "drug_class": "initial_treatment_class",
-    "treatment_start_date": "treatment_start_date",
-    "discontinuation_flag": "discontinuation_flag",
-    "discontinuation_date": "discontinuation_date",
-    "discontinuation_reason": "discontinuation_reason",
-    "switch_flag": "switch_flag",
-    "switch_date": "switch_date",
-    "switched_to_drug": "switched_to_drug",
-    "restart_flag": "restart_flag",
-    "restart_date": "restart_date",
-    "covered_until_date": "covered_until_date",
-    "max_refill_gap_days": "max_refill_gap_days",
-}
+#: Columns of the first treatment that a journey carries; two go under other names there.
+FIRST_TREATMENT = (
+    "drug_name", "drug_class", "treatment_start_date", "discontinuation_flag", "discontinuation_date",
+    "discontinuation_reason", "switch_flag", "switch_date", "switched_to_drug", "restart_flag", "restart_date",
+    "covered_until_date", "max_refill_gap_days",
+)
+INITIAL = {"drug_name": "initial_treatment", "drug_class": "initial_treatment_class"}
 
 
 def first_treatment(treatment: DataFrame) -> DataFrame:
     """The whole first treatment row per patient, by start date and then line."""
-    row = first_record(
-        treatment, "patient_id", ("treatment_start_date", "treatment_line"), tuple(FIRST_TREATMENT)
-    )
-    return row.select("patient_id", *[F.col(c).alias(name) for c, name in FIRST_TREATMENT.items()])
+    row = first_record(treatment, "patient_id", ("treatment_start_date", "treatment_line"), FIRST_TREATMENT)
+    return row.withColumnsRenamed(INITIAL)
 
 
 def initiation_columns(params: Params) -> dict[str, Column]:
