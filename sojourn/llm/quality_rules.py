@@ -144,7 +144,8 @@ def apply_quality_rules(docs: DataFrame, rules: DivergenceRules = DivergenceRule
     references are one small row per language; the join to them is left to Spark's size check.
     """
     counted = stage(base_counts(docs, rules), "quality-counted")
-    return judged(counted, references(counted, rules), rules).where("_x_kept").select(*docs.columns)
+    reference = stage(references(counted, rules), "references")  # written, so that its size is known before texts would be moved
+    return judged(counted, reference, rules).where("_x_kept").select(*docs.columns)
 
 
 def op6_divergence_rules(spark, sf_dir: str) -> DataFrame:
