@@ -63,3 +63,11 @@ def test_header_case_and_absent_columns(spark, tmp_path):
     assert [(r["record_key"], r["reason"]) for r in found.quarantined.collect()] == [("8", "BIRTHDATE is not a date")]
     cohort = intake.cohort_from_csv(spark, str(tmp_path), dataclasses.replace(PARAMS, target_cohort_size=1)).first()
     assert cohort["synthea_patient_id"] == "7" and cohort["postal_code_prefix"] is None
+
+
+def test_a_quarantined_record_keeps_its_missing_fields(spark, tmp_path):
+    """A field without a value stays an empty field, malformed record or not; dropping it would shift all that follow."""
+    lines = ["k,1955-06-01,,02,186,", "l,soon,,02186,"]
+    (tmp_path / "patients.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    found = intake.patient_intake(spark, str(tmp_path))
+    assert sorted(r["record"] for r in found.quarantined.collect()) == lines and found.accepted.count() == 0
