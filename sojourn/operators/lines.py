@@ -5,7 +5,8 @@ drug fold map-side, and the fold is staged, so that it is made once and its size
 fills are one slice, unless there are more than a limit of them: those patients are cut along the order, by
 day and within a day by ``fill_seq`` in steps of a fixed width. Runs are found inside each slice, and
 runs that meet at a border are joined by a window over slice summaries alone. So no task ever
-holds more of a patient than the limit, nor all of one of its days. A missing drug is a drug of its own.
+holds more of a patient than the limit, nor all of one of its days. The number of tasks grows with the files
+that the fills come from. A missing drug is a drug of its own.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sojourn.functions.expr import days_between, truth
 from sojourn.params import Params
-from sojourn.sources.files import new_stage, stage_table
+from sojourn.sources.files import new_stage, spread, stage_table, task_count
 
 #: Steps of ``fill_seq`` in one slice of a day.
 SLICE_WIDTH = 4096
@@ -126,9 +127,11 @@ def lines_of_therapy(
     """
     end = F.lit(params.observation_end_date)
     supply = F.coalesce(F.col("days_supply"), F.lit(params.days_supply)).cast("int")
-    anchors = index.select("patient_id", F.col(index_date).alias("_index"))
+    tasks = task_count(fills)
+    # dealt like the fills, which would be dealt like the index otherwise
+    anchors = spread(index.select("patient_id", F.col(index_date).alias("_index")), "patient_id", tasks=tasks)
     exposed = (
-        fills.filter(F.col("fill_date") < end)
+        spread(fills.filter(F.col("fill_date") < end), "patient_id", tasks=tasks)
         .join(anchors, "patient_id")
         .filter(F.col("fill_date") >= F.col("_index"))
     )
@@ -137,7 +140,7 @@ def lines_of_therapy(
     )
     folded = stage_table(folded, new_stage(fills.sparkSession), "_fill_order")
     rows, cut = _sliced(folded, slice_width, patient_limit)
-    runs = _sliced_runs(rows)
+    runs = _sliced_runs(spread(rows, *(SLICE if cut else SLICE[:1]), tasks=tasks))
     # where no patient was cut there are no borders: its runs are its lines
     runs = _joined_runs(runs) if cut else runs.withColumnsRenamed({"first_day": "line_start_date", "last_day": "last_fill_date"})
 

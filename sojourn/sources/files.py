@@ -164,6 +164,26 @@ def stage_tables(
         return dict(zip(plans, pool.map(write, plans.items()), strict=True))
 
 
+#: Bytes of input files behind one task of a step that sorts or groups; some 600,000 line items.
+INPUT_PER_TASK = 8 << 20
+
+
+def task_count(df: DataFrame, per_task: int | None = None) -> int:
+    """Tasks for a step over a frame: the session's shuffle partitions, or as many more as its input files ask for."""
+    paths = [_hadoop_path(df.sparkSession, name) for name in df.inputFiles()]
+    size = sum(fs.getFileStatus(path).getLen() for path, fs in paths)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // (per_task or INPUT_PER_TASK)))
+
+
+def spread(df: DataFrame, *keys: str, tasks: int | None = None) -> DataFrame:
+    """Rows dealt by keys to tasks that grow in number with the input, so that what a task sorts or groups does not grow.
+
+    A small input is left as it is. ``tasks`` is the number, if it comes from the input of an earlier step.
+    """
+    wanted = tasks or task_count(df)
+    return df.repartition(wanted, *keys) if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def save_bucketed(
     spark: SparkSession, tables: Mapping[str, DataFrame], directory: str, keys: Mapping[str, str], buckets: int | None = None
 ) -> dict[str, DataFrame]:

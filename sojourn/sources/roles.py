@@ -20,6 +20,7 @@ from sojourn.operators.network import academic_flag, organization_number
 from sojourn.operators.pathway import first_record
 from sojourn.params import Params
 from sojourn.plans.publish import Observed
+from sojourn.sources.files import spread
 
 #: The scenario as it fits the years these tables cover.
 BOUND = Params(
@@ -260,7 +261,8 @@ def fills(spark: SparkSession, sf_dir: str, params: Params = BOUND) -> DataFrame
     line = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"
     )
-    joined = line.join(part, "l_partkey").join(order_subjects(spark, sf_dir), "l_orderkey")
+    dealt = spread(line.join(part, "l_partkey"), "l_orderkey")
+    joined = dealt.join(order_subjects(spark, sf_dir), "l_orderkey")
     return joined.select(
         "patient_id",
         F.col("l_shipdate").cast("date").alias("fill_date"),
