@@ -122,7 +122,8 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             "visit": (roles.read(spark, sf_dir, "events"), "user_id", "ts"),
         }
     )
-    return log.groupBy("patient_id", "event_type", "event_date").agg(F.count(F.lit(1)).alias("n_events"))
+    key = ("patient_id", "event_type", "event_date")
+    return files.spread(log, *key).groupBy(*key).agg(F.count(F.lit(1)).alias("n_events"))
 
 
 def encounter(spark: SparkSession, sf_dir: str) -> DataFrame:

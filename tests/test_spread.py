@@ -8,7 +8,7 @@ from sojourn.sources import files
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["lines_of_therapy"])
+@pytest.mark.parametrize("name", ["lines_of_therapy", "event_log"])
 def test_tasks_grow_with_the_input(spark, monkeypatch, name):
     """A task of a wide step takes a bounded share of the input, and no result depends on how many tasks there are."""
     query = entry.queries()[name]
