@@ -167,10 +167,32 @@ def _summed(value: Column) -> Column:
     return F.pmod(total, F.lit(FINGERPRINT_MODULUS).cast("decimal(38,0)")).cast("bigint")
 
 
-def _digests(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
-    digest = F.md5(row_text(df, columns))
-    halves = {"fingerprint": F.substring(digest, 1, 16), "fingerprint_low": F.substring(digest, 17, 16)}
-    return {name: F.conv(half, 16, 10).cast("decimal(20,0)") for name, half in halves.items()}
+#: First hex digit of each half of a digest.
+HALVES = {"fingerprint": 1, "fingerprint_low": 17}
+#: A half in pieces that sum up as whole numbers, for 2**39 rows at least: first digit, digits, bits below.
+PIECES = ((0, 6, 40), (6, 5, 20), (11, 5, 0))
+
+
+def _digest_sums(df: DataFrame, columns: Sequence[str], by: Mapping[str, Column]) -> DataFrame:
+    """Row count and both halves of the rows' digests, summed modulo a fixed prime, of all rows or by key.
+
+    Each digest is made once, and its pieces are summed as whole numbers; only the sums are decimals.
+    """
+    hashed = df.select(*[key.alias(name) for name, key in by.items()], F.md5(row_text(df, columns)).alias("_digest"))
+    parts = {
+        f"_{name}_{below}": F.sum(F.conv(F.substring("_digest", start + first, digits), 16, 10).cast("bigint"))
+        for name, start in HALVES.items() for first, digits, below in PIECES
+    }
+    sums = hashed.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), *[part.alias(name) for name, part in parts.items()])
+
+    def whole(name: str) -> Column:
+        terms = [
+            F.coalesce(F.col(f"_{name}_{below}"), F.lit(0)).cast("decimal(19,0)") * F.lit(2**below).cast("decimal(13,0)")
+            for _, _, below in PIECES
+        ]
+        return F.pmod(terms[0] + terms[1] + terms[2], F.lit(FINGERPRINT_MODULUS).cast("decimal(38,0)")).cast("bigint")
+
+    return sums.select(*by, "n_rows", *[whole(name).alias(name) for name in HALVES])
 
 
 def table_fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -178,10 +200,7 @@ def table_fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> Da
 
     Both halves of each row's digest are summed, each into a number of its own.
     """
-    halves = _digests(df, columns or df.columns)
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"), *[_summed(half).alias(name) for name, half in halves.items()]
-    )
+    return _digest_sums(df, columns or df.columns, {})
 
 
 def range_fingerprints(df: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -190,11 +209,7 @@ def range_fingerprints(df: DataFrame, key: str, columns: Sequence[str] | None =
     Rows are dealt to 256 ranges by the hash of their key, a missing one as the empty text, and summed map-side.
     """
     spread = F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, RANGE_DIGITS)
-    halves = _digests(df, columns or df.columns)
-    return (
-        df.groupBy(spread.alias("key_range"))
-        .agg(F.count(F.lit(1)).alias("n_rows"), *[_summed(half).alias(name) for name, half in halves.items()])
-    )
+    return _digest_sums(df, columns or df.columns, {"key_range": spread})
 
 
 def roll_up(leaves: DataFrame, *by: str) -> DataFrame:
