@@ -53,6 +53,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*staged: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more, so that they take no room beside those that follow."""
+    for df in staged:
+        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            at = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def forget_later(spark: SparkSession, name: str) -> None:
     """Drop the named table from the catalog when this process ends; its files go with the session's other stages."""
 

@@ -175,6 +175,7 @@ def repeats(texts: DataFrame) -> DataFrame:
     counts = anchors.groupBy(F.col("prefix").alias("shared")).agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     counts = common.stage(counts, "shared-prefixes")  # written, so that a join splits a prefix that a third of all anchors have
     shared = common.stage(anchors.join(counts, F.col("prefix") == F.col("shared")).select("key", "place", (F.col("times") > HEAVY).alias("heavy")), "shared")
+    common.discard(anchors, counts)
     total = shared.where("not heavy").count()
     light = _suffixes(texts, shared.where("not heavy"), False)
     bins = common.task_count(spark, total, PER_BIN)

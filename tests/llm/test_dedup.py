@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -199,3 +200,24 @@ def test_words_alike_in_half_their_hash_are_told_apart(spark, monkeypatch, heavy
                 rows.append((len(rows), " ".join([*body[:place], word, *body[place + 1 :]])))
         docs = spark.createDataFrame(rows, "doc_id long, text string")
         assert sorted(map(tuple, substrings.dedup_substrings(docs).collect())) == rows
+
+
+def test_anchors_take_no_room_beside_what_follows(spark, monkeypatch):
+    """All anchors and their counts are gone once the shared ones are written, before suffixes are made."""
+    staged, seen = {}, {}
+    stage, suffixes = common.stage, substrings._suffixes
+
+    def noted(df, name):
+        staged[name] = stage(df, name)
+        seen[name] = [p.removeprefix("file:").rsplit("/", 1)[0] for p in staged[name].inputFiles()][0]
+        return staged[name]
+
+    def looked(texts, wanted, heavy):
+        assert not any(os.path.exists(seen[name]) for name in ("anchors", "shared-prefixes")) and os.path.exists(seen["shared"])
+        return suffixes(texts, wanted, heavy)
+
+    monkeypatch.setattr(common, "stage", noted)
+    monkeypatch.setattr(substrings, "_suffixes", looked)
+    words = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, f"a {words} b"), (2, f"c {words} d")], "doc_id long, text string")
+    assert sorted(r["text"] for r in substrings.dedup_substrings(docs).collect()) == ["a b", "c d"]
