@@ -172,14 +172,15 @@ def with_course(rows: DataFrame, params: Params) -> DataFrame:
 
 
 def treatment_history(
-    fills: DataFrame, spine: DataFrame, params: Params, index_date: str = "eligibility_date"
+    fills: DataFrame, spine: DataFrame, params: Params, index_date: str = "eligibility_date", days: DataFrame | None = None
 ) -> DataFrame:
     """All episodes with follow-up, stops and restarts, in one distribution by patient.
 
     ``spine`` has one row per patient with the index date, death_date and
-    adverse_event_date.
+    adverse_event_date. ``days`` are fills folded by ``fill_days`` before.
     """
-    episodes = with_neighbours(treatment_episodes(fills, spine, params, index_date))
+    found = treatment_episodes(fills, spine, params, index_date) if days is None else episodes_of_days(days, spine, params, index_date)
+    episodes = with_neighbours(found)
     dates = spine.select("patient_id", "death_date", "adverse_event_date")
     return with_course(episodes.join(dates, "patient_id"), params)
 

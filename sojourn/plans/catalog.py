@@ -276,7 +276,8 @@ def published_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def changed_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish twice, with the insurance of the frailest corrected in between, and name the key ranges that differ."""
-    gold, observed = files.new_stage(spark), roles.observed(spark, sf_dir)
+    gold = files.new_stage(spark)
+    observed = publish.staged_inputs(roles.observed(spark, sf_dir), BOUND, files.new_stage(spark))
     corrected = F.when(F.col("frailty_proxy") > 0.985, F.lit("medicaid")).otherwise(F.col("insurance_type"))
     later = dataclasses.replace(observed, patient=observed.patient.withColumn("insurance_type", corrected))
     runs = [_published(spark, sf_dir, gold, o) for o in (observed, later)]
