@@ -4,10 +4,11 @@ A fill is (patient_id, fill_date, fill_seq, drug_name, provider_id,
 days_supply); ``fill_seq`` orders fills of one day and ``drug_name`` breaks
 what ties remain.
 
-Fills are first folded to one row per patient, day and drug. That fold combines
-map-side, keeps every figure the episode rules need, and caps a patient at
-(days observed x drugs) rows, so the windows below are bounded whatever share
-of all fills one patient holds.
+Fills are first folded to one row per patient, day and drug. That fold keeps every
+figure the episode rules need and caps a patient at (days observed x drugs) rows, so
+the windows below are bounded whatever share of all fills one patient holds. Large
+inputs are dealt by patient before the fold, in which a task holds folded rows alone;
+all later steps keep that distribution, so fills move once. Small ones fold map-side.
 """
 
 from __future__ import annotations
@@ -18,12 +19,14 @@ from pyspark.sql import functions as F
 from sojourn.functions.expr import days_between, literal_map, sql_columns, surrogate_key, truth
 from sojourn.operators.outcomes import follow_up
 from sojourn.params import DRUG_CLASS, Params
+from sojourn.sources.files import spread
 
 
 def fill_days(fills: DataFrame, params: Params) -> DataFrame:
-    """One row per patient, fill day and drug. Primitive buffers only, so hash-aggregated."""
+    """One row per patient, fill day and drug, dealt by patient if there are many. Primitive buffers only, so hash-aggregated."""
     supply = F.coalesce(F.col("days_supply"), F.lit(params.days_supply)).cast("int")
-    return fills.groupBy("patient_id", "fill_date", "drug_name").agg(
+    dealt = spread(fills, "patient_id")
+    return dealt.groupBy("patient_id", "fill_date", "drug_name").agg(
         F.max(F.date_add("fill_date", supply)).alias("covered_date"),
         F.min("fill_seq").alias("first_seq"),
         F.min("provider_id").alias("provider_id"),
@@ -55,7 +58,8 @@ def episodes_of_days(
     end = F.lit(params.observation_end_date)
     gap = params.allowable_gap_days
     days = days.filter(F.col("fill_date") < end)
-    anchors = index.select("patient_id", F.col(index_date).alias("_index"))
+    # One date a patient is the smaller side by far; hashing it spares a sort of all days.
+    anchors = index.select("patient_id", F.col(index_date).alias("_index")).hint("shuffle_hash")
     exposed = days.join(anchors, "patient_id").filter(F.col("fill_date") >= F.col("_index"))
 
     # Both windows share one partitioning and order, so one sort serves them.
