@@ -339,9 +339,7 @@ def sql_top_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _registered(spark: SparkSession, sf_dir: str) -> None:
     """All seven tables and the eight views in the session's catalog, the tables bucketed by patient."""
-    stage = files.new_stage(spark)
-    tables = publish.build_tables(roles.observed(spark, sf_dir), BOUND, stage)
-    serving.register_tables(publish.bucket_tables(spark, tables, f"{stage}/bucketed"))
+    serving.register_tables(publish.build_bucketed(roles.observed(spark, sf_dir), BOUND, files.new_stage(spark)))
 
 
 def sql_patient_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

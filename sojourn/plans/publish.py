@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +40,7 @@ from sojourn.plans.timeline import (
 )
 from sojourn.sources import versions
 from sojourn.sources.files import (
+    bucket_table,
     export_tables,
     load_exported_tables,
     new_stage,
@@ -47,6 +48,7 @@ from sojourn.sources.files import (
     spread,
     stage_table,
     stage_tables,
+    task_count,
     write_csv_table,
 )
 
@@ -58,8 +60,7 @@ class Observed:
     patient: normalised rows plus ``contraindication_flag``; diagnosis: one
     staged record per patient; provider: the network; assignment: one provider
     row per patient; visits: (patient_id, event_type, event_date);
-    clinical: the same with ``event_detail``; fills: dispensing records; days: the fills
-    folded by ``fill_days``, where that was done before.
+    clinical: the same with ``event_detail``; fills: dispensing records.
     """
 
     patient: DataFrame
@@ -71,16 +72,24 @@ class Observed:
     fills: DataFrame
     source_visit: str = "urology_follow_up"
     target_visit: str = "oncology_consultation"
+    days = None
+
+
+@dataclass(frozen=True)
+class FoldedInputs(Observed):
+    """Observed inputs with their fills folded by ``fill_days`` before."""
+
     days: DataFrame | None = None
 
 
-def staged_inputs(observed: Observed, params: Params, stage: str) -> Observed:
+def staged_inputs(observed: Observed, params: Params, stage: str) -> FoldedInputs:
     """What several runs read of the same inputs, staged once; the fills as days. Patients and providers stay as they are."""
     plans = {
         "_days": fill_days(observed.fills, params), "_diagnosis": observed.diagnosis, "_assignment": observed.assignment,
         "_clinical": observed.clinical, "_visits": observed.visits,
     }
-    return replace(observed, **{name[1:]: table for name, table in stage_tables(plans, stage).items()})
+    known = {field.name: getattr(observed, field.name) for field in fields(observed)}
+    return FoldedInputs(**known | {name[1:]: table for name, table in stage_tables(plans, stage).items()})
 
 
 def observed_pathway(observed: Observed) -> DataFrame:
@@ -164,19 +173,24 @@ def observed_journey(observed: Observed, params: Params) -> DataFrame:
 def build_tables(
     observed: Observed, params: Params, stage: str, work: str | None = None,
     form: Callable[[DataFrame], DataFrame] = lambda table: table, measured: dict[str, int] | None = None,
+    save: Callable[[DataFrame, str, str], DataFrame] = stage_table,
 ) -> dict[str, DataFrame]:
     """Write the seven tables to a stage folder, each once; what several of them need is staged once, too.
 
     ``work`` takes what is only needed on the way, if that is another folder. ``form`` is how tables are
     written, such as with published keys; what is read back to make further tables is in that form as well.
-    ``measured`` receives the failure counts of all row rules, taken while the tables are written.
+    ``measured`` receives the failure counts of all row rules, taken as soon as a table is written.
+    ``save`` writes the tables themselves, if other than by ``stage_table``; with it, ``work`` should be given.
     """
     apart = work is not None and work != stage
 
+    def kept(df: DataFrame, directory: str, name: str) -> DataFrame:
+        return (stage_table if name.startswith("_") else save)(df, directory, name)
+
     def staged(plans: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         place = lambda name: work if apart and name.startswith("_") else stage
         measures = {} if measured is None else {name: row_measures(name, df, params) for name, df in plans.items()}
-        return stage_tables(plans, place, measures, measured)
+        return stage_tables(plans, place, measures, measured, kept)
 
     roots = staged({"_diagnosis": observed.diagnosis, "_assignment": observed.assignment, "provider": observed.provider})
     diagnosis, assignment, provider = roots.values()
@@ -328,6 +342,19 @@ def bucket_tables(spark: SparkSession, tables: Mapping[str, DataFrame], director
     return save_bucketed(spark, tables, directory, RANGE_KEY, buckets)
 
 
+def build_bucketed(observed: Observed, params: Params, stage: str) -> dict[str, DataFrame]:
+    """The seven tables written once, at once in buckets for SQL, see ``bucket_tables``.
+
+    There are as many buckets as tasks that deal the fills, so that a bucket does not grow with the input.
+    """
+    buckets = task_count(observed.fills)
+
+    def save(df: DataFrame, directory: str, name: str) -> DataFrame:
+        return bucket_table(df, directory, name, RANGE_KEY[name], buckets)
+
+    return build_tables(observed, params, f"{stage}/bucketed", f"{stage}/work", save=save)
+
+
 def load_published(
     spark: SparkSession, gold: str, names: Iterable[str] = TABLES
 ) -> dict[str, DataFrame]:

@@ -1,6 +1,6 @@
 """Cross-table data-quality rules as a few aggregates, and the gate over them.
 
-Row rules are measured while a table is written, or else share one scan of it. Key rules share one census
+Row rules are measured as soon as a table is written, or later, by one scan of the columns they need. Key rules share one census
 per key. Date rules across tables count per day instead of forming row pairs.
 """
 
@@ -221,7 +221,7 @@ ROW_RULES = {
 def row_measures(name: str, df: DataFrame, params: Params | None = None) -> dict[str, Column]:
     """Aggregates that measure the row rules of a table, by rule; none for a table without any.
 
-    They can be taken while the table is written, so that no scan of its own is needed.
+    They can be taken as soon as the table is written; ``observe`` would interpret them row by row during the write.
     """
     if name not in ROW_RULES:
         return {}
@@ -259,7 +259,7 @@ def validate_tables(
 
     With ``params`` the warnings on missingness, categories, age range and
     events after censoring are added. ``only`` restricts the check to some rules. ``measured`` holds
-    failure counts that are known already, such as those taken while a table was written.
+    failure counts that are known already, such as those taken when a table was written.
     """
     known = dict(measured or {})
     probes = []

@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,21 +143,20 @@ def stage_table(df: DataFrame, directory: str, name: str) -> DataFrame:
 def stage_tables(
     plans: Mapping[str, DataFrame], directory: str | Callable[[str], str],
     measures: Mapping[str, Mapping[str, Column]] | None = None, measured: dict[str, int] | None = None,
+    save: Callable[[DataFrame, str, str], DataFrame] = stage_table,
 ) -> dict[str, DataFrame]:
     """Stage tables that do not depend on each other, as jobs side by side. ``directory`` may be chosen by name.
 
-    ``measures`` are aggregates by table that are taken while it is written and put into ``measured``.
+    ``measures`` are aggregates by table, taken over the columns they need once it is written, and put into ``measured``.
+    ``save`` writes a table under a name in a folder and returns it as it was written.
     """
     place = directory if callable(directory) else lambda name: directory
 
     def write(item: tuple[str, DataFrame]) -> DataFrame:
         name, df = item
-        wanted = (measures or {}).get(name)
-        if not wanted:
-            return stage_table(df, place(name), name)
-        seen = Observation(f"{name}-{uuid.uuid4().hex}")
-        staged = stage_table(df.observe(seen, *[column.alias(rule) for rule, column in wanted.items()]), place(name), name)
-        measured.update(seen.get)
+        staged, wanted = save(df, place(name), name), (measures or {}).get(name)
+        if wanted:
+            measured.update(staged.agg(*[column.alias(rule) for rule, column in wanted.items()]).first().asDict())
         return staged
 
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
@@ -184,26 +183,27 @@ def spread(df: DataFrame, *keys: str, tasks: int | None = None) -> DataFrame:
     return df.repartition(wanted, *keys) if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
 
 
-def save_bucketed(
-    spark: SparkSession, tables: Mapping[str, DataFrame], directory: str, keys: Mapping[str, str], buckets: int | None = None
-) -> dict[str, DataFrame]:
-    """Tables of the catalog, bucketed and sorted by a key each, one file a bucket; joins on the key then move no row.
+def bucket_table(df: DataFrame, directory: str, name: str, key: str, buckets: int | None = None) -> DataFrame:
+    """A table of the catalog, bucketed and sorted by a key, one file a bucket; joins on the key then move no row.
 
-    Names are unique to the call; the entries go when this process ends, the files stay.
+    The entry's name is unique to the call; it goes when this process ends, the files stay.
     """
+    spark = df.sparkSession
     number = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    mark = uuid.uuid4().hex
+    entry = f"sojourn_{name}_{uuid.uuid4().hex}"
+    writer = df.repartition(number, key).write.bucketBy(number, key).sortBy(key)
+    writer.option("path", f"{directory}/{name}").saveAsTable(entry)
+    atexit.register(_drop_entry, spark, entry)
+    return spark.table(entry)
 
-    def save(item: tuple[str, DataFrame]) -> DataFrame:
-        name, df = item
-        key, entry = keys[name], f"sojourn_{name}_{mark}"
-        writer = df.repartition(number, key).write.bucketBy(number, key).sortBy(key)
-        writer.option("path", f"{directory}/{name}").saveAsTable(entry)
-        atexit.register(_drop_entry, spark, entry)
-        return spark.table(entry)
 
+def save_bucketed(
+    spark: SparkSession, tables: Mapping[str, DataFrame], directory: str, keys: Mapping[str, str], buckets: int | None = None
+) -> dict[str, DataFrame]:
+    """Tables saved by ``bucket_table``, each by a key of its own, as jobs side by side."""
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
-        return dict(zip(tables, pool.map(save, tables.items()), strict=True))
+        saved = pool.map(lambda name: bucket_table(tables[name], directory, name, keys[name], buckets), tables)
+        return dict(zip(tables, saved, strict=True))
 
 
 def _drop_entry(spark: SparkSession, entry: str) -> None:

@@ -245,6 +245,18 @@ def test_sql_over_bucketed_tables_moves_no_patient(spark):
     assert {r["tableName"] for r in spark.sql("SHOW TABLES").collect()} >= {*TABLES, "vw_switches"}
 
 
+@pytest.mark.parametrize("name", ["sql_patient_summary", "sql_provider_summary"])
+def test_sql_tables_are_written_once(spark, monkeypatch, name):
+    """No table is staged first and then copied into buckets; there are more buckets if there is more input."""
+    staged, saved, write, bucket = [], {}, files.stage_table, files.bucket_table
+    monkeypatch.setattr(publish, "stage_table", lambda df, directory, table: staged.append(table) or write(df, directory, table))
+    monkeypatch.setattr(publish, "bucket_table", lambda df, directory, table, *rest: saved.update({table: rest}) or bucket(df, directory, table, *rest))
+    monkeypatch.setattr(files, "INPUT_PER_TASK", 1 << 14)
+    rows = getattr(catalog, name)(spark, SF_DIR).collect()
+    assert rows and sorted(saved) == sorted(TABLES) and not set(staged) & set(TABLES)
+    assert {key for key, _ in saved.values()} == {"patient_id", "provider_id"} and min(n for _, n in saved.values()) > 4
+
+
 def test_runs_over_staged_inputs_read_the_sources_once(spark, observed):
     """Tables made from staged inputs equal those made from the sources, and no line items or events are read again."""
     staged = publish.staged_inputs(observed, roles.BOUND, files.new_stage(spark))
